@@ -72,19 +72,18 @@ def out_of_order(
 
 
 def _sizes(records: DataFrame, keys: list[str], cap: int, block_rows: int) -> DataFrame:
-    """Key columns, block, offset and size; rows that cannot be packed fail here."""
-    missing = F.lit(False)
-    for name in keys + ["offset"]:
-        missing = missing | F.col(name).isNull()
+    """Key columns, block, offset and size; an oversized record fails here."""
     too_large = F.format_string(
         f"record %s/%d offset %d takes %d bytes, more than a segment of {cap} can hold",
         "topic", "partition", "offset", "_size",
     )
-    return records.select(*keys, "offset", record_size().alias("_size")).select(
+    # records that lack a key column are left to attach_segments, which refuses them
+    complete = records.select(*keys, "offset", record_size().alias("_size")).dropna(
+        subset=keys + ["offset"]
+    )
+    return complete.select(
         *keys,
-        F.when(missing, F.raise_error(F.lit("record without topic, partition, offset or epoch")).cast("long"))
-        .otherwise(F.expr(f"offset div {block_rows}"))
-        .alias("_block"),
+        F.expr(f"offset div {block_rows}").alias("_block"),
         "offset",
         F.when(
             F.col("_size") + SEGMENT_OVERHEAD > cap, F.raise_error(too_large).cast("long")
@@ -265,11 +264,15 @@ def attach_segments(
 ) -> DataFrame:
     """Records with ``segment_start`` looked up in a table made by ``segment_starts``."""
     keys = _group_keys(epoch_col)
+    refused = F.raise_error(F.lit("record without topic, partition, offset or epoch"))
     found = F.array_max(F.filter("_starts", lambda s: s <= F.col("offset")))
     return (
         records.withColumn("_bucket", F.expr(f"offset div {bucket_rows}"))
         .join(starts, keys + ["_bucket"], "left")
-        .select(*records.columns, F.coalesce(found, "_open").alias("segment_start"))
+        .select(
+            *records.columns,
+            F.coalesce(found, "_open", refused.cast("long")).alias("segment_start"),
+        )
     )
 
 

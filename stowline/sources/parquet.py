@@ -48,9 +48,23 @@ def _view(node: Field) -> View:
     return View(T.ArrayType(one.type), reshape)
 
 
+def _signed(value: Column, bits: int, to: str) -> Column:
+    """Stored signed number of an unsigned column.
+
+    Spark refuses to read dictionary pages of these columns by their stored type.
+    """
+    full = F.lit(str(2**bits)).cast("decimal(21,0)")
+    value = value.cast("decimal(20,0)")
+    return F.when(value * 2 >= full, value - full).otherwise(value).cast(to)
+
+
 def _single(node: Field) -> View:
     if node.physical == "int96":
         return View(T.TimestampType(), int96_bytes)
+    if node.logical == "Int(bitWidth=32, isSigned=false)":
+        return View(T.LongType(), lambda c: _signed(c, 32, "int"))
+    if node.logical == "Int(bitWidth=64, isSigned=false)":
+        return View(T.DecimalType(20, 0), lambda c: _signed(c, 64, "long"))
     if node.physical:
         text = node.physical == "binary" and node.annotation == "String"
         return View(T.StringType() if text else SPARK_TYPES[node.physical])

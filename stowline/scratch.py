@@ -1,5 +1,8 @@
 """Folders for intermediate tables."""
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -8,12 +11,17 @@ from pyspark.sql import SparkSession
 from stowline.sources.storage import join_path
 
 
+@functools.cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="stowline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a local one only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    return folder or tempfile.gettempdir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _local_folder()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

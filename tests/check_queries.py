@@ -1,0 +1,79 @@
+"""Compare every registered query with its SQL: ``python tests/check_queries.py [folder] [name...]``."""
+
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import duckdb
+import pandas as pd
+from pyspark.sql import SparkSession
+
+import __spark_entry__ as entry
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def rows(frame: pd.DataFrame) -> list:
+    frame = frame[sorted(frame.columns)]
+    plain = frame.astype(object).where(frame.notna(), None)
+    return sorted((tuple(r) for r in plain.itertuples(index=False)), key=repr)
+
+
+def compare(spark, folder, names=None):
+    """Yield (name, problem or None, seconds) of each query."""
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    sql = entry.oracle_sql()
+    for name, query in entry.queries().items():
+        if names and name not in names:
+            continue
+        began = time.time()
+        try:
+            df = query(spark, folder)
+            ours = pd.DataFrame([tuple(r) for r in df.collect()], columns=df.columns)
+        except Exception as error:
+            yield name, f"failed: {error}", time.time() - began
+            continue
+        took = time.time() - began
+        if name not in sql:
+            yield name, None if len(ours) else "no rows", took
+            continue
+        try:
+            result = con.execute(sql[name])
+        except duckdb.Error as error:
+            yield name, f"SQL failed: {error}", took
+            continue
+        columns = [d[0] for d in result.description]
+        theirs = pd.DataFrame(result.fetchall(), columns=columns)
+        problem = None
+        if sorted(columns) != sorted(ours.columns):
+            problem = f"columns {sorted(ours.columns)} and {sorted(columns)}"
+        elif len(ours) != len(theirs):
+            problem = f"{len(ours)} and {len(theirs)} rows"
+        else:
+            for a, b in zip(rows(ours), rows(theirs)):
+                if a != b:
+                    problem = f"{a} and {b}"
+                    break
+        yield name, problem, took
+
+
+if __name__ == "__main__":
+    session = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    base = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    for name, problem, took in compare(session, base, sys.argv[2:]):
+        print(f"{'ok  ' if problem is None else 'BAD '} {took:6.2f}s {name} {(problem or '')[:600]}", flush=True)

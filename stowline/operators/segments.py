@@ -29,7 +29,7 @@ from stowline.functions.codec import (
 from stowline.functions.keys import object_key
 from stowline.operators.running import BLOCK_WIDTH, previous_value
 
-BLOCK_ROWS = 1 << 20
+BLOCK_ROWS = 1 << 18
 
 
 def _group_keys(epoch_col: str | None) -> list[str]:

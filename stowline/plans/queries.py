@@ -362,7 +362,7 @@ def scan_text_from_offsets(spark, folder):
 
 def tail_text_lines(spark, folder):
     out = _text_files(spark, folder)
-    return _placed(_to_table(tail_lines(spark, directory=out, recursive=True, stride=1 << 16)))
+    return _placed(_to_table(tail_lines(spark, directory=out, recursive=True, stride=1 << 20)))
 
 
 def _split_text(spark, folder):

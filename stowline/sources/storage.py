@@ -1,13 +1,14 @@
 """Opening single files and objects from inside a task, through Arrow's file systems."""
 
-import functools
-
 from pyarrow import fs
 
+_systems = {}
+
 
-@functools.lru_cache(maxsize=64)
 def _file_system(root: str):
-    return fs.FileSystem.from_uri(root)
+    if root not in _systems:
+        _systems[root] = fs.FileSystem.from_uri(root)
+    return _systems[root]
 
 
 def locate(uri: str) -> tuple[fs.FileSystem, str]:

@@ -71,9 +71,10 @@ _FILES = """
 files AS (SELECT source || '/' || doc_id AS path, n_chars AS length, doc_id FROM documents),
 state AS (
   SELECT path AS filename,
-         CASE doc_id % 6 WHEN 0 THEN length WHEN 1 THEN length // 2 END AS position,
-         CASE doc_id % 6 WHEN 2 THEN CAST(1.0 AS DOUBLE) WHEN 3 THEN CAST(0.5 AS DOUBLE) END AS progress
-  FROM files WHERE doc_id % 6 < 4)"""
+         CASE WHEN toxic = 1 THEN NULL WHEN quality = 1 THEN length ELSE length // 2 END AS position,
+         CASE WHEN toxic = 1 AND quality = 1 THEN CAST(1.0 AS DOUBLE)
+              WHEN toxic = 1 THEN CAST(0.5 AS DOUBLE) END AS progress
+  FROM files JOIN labels USING (doc_id))"""
 
 _LINES = f"""
 parts AS (

@@ -250,17 +250,19 @@ def _files(spark, folder):
 
 
 def _offsets(spark, folder):
-    """Finished, half-read and Parquet-like state of two thirds of the files."""
-    third = F.col("doc_id") % 6
+    """State of the labelled documents: read wholly or half, by position or by progress."""
+    labels = _table(spark, folder, "labels")
+    good, by_progress = F.col("quality") == 1, F.col("toxic") == 1
     return (
         _files(spark, folder)
-        .where(third < 4)
+        .join(labels, "doc_id")
         .select(
             F.col("path").alias("filename"),
-            F.when(third == 0, F.col("length"))
-            .when(third == 1, F.expr("length div 2"))
+            F.when(by_progress, F.lit(None))
+            .when(good, F.col("length"))
+            .otherwise(F.expr("length div 2"))
             .alias("position"),
-            F.when(third == 2, 1.0).when(third == 3, 0.5).alias("progress"),
+            F.when(by_progress & good, 1.0).when(by_progress, 0.5).alias("progress"),
         )
     )
 

@@ -1,12 +1,16 @@
 """Latency log: one number per line."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stowline.functions.latency import latency_ms
 
 
-def latency_lines(records: DataFrame, now: Column | None = None, drop_null: bool = False) -> DataFrame:
+def latency_lines(
+    records: DataFrame, now: Column | datetime | None = None, drop_null: bool = False
+) -> DataFrame:
     """The lines of the log: the latency of each record in milliseconds, as text.
 
     A record without timestamp fails the query unless ``drop_null`` leaves it out.
@@ -20,7 +24,7 @@ def latency_lines(records: DataFrame, now: Column | None = None, drop_null: bool
 
 
 def append_latencies(
-    records: DataFrame, directory: str, now: Column | None = None, drop_null: bool = False
+    records: DataFrame, directory: str, now: Column | datetime | None = None, drop_null: bool = False
 ) -> None:
     """Append the latencies of a batch to a directory of text files."""
     latency_lines(records, now, drop_null).write.mode("append").text(directory)

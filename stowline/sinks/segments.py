@@ -1,14 +1,12 @@
 """Segments as objects under their own keys."""
 
-import os
 import uuid
 from dataclasses import dataclass
 
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from stowline.sources.storage import join_path, locate
+from stowline.sources.storage import join_path, locate, qualify
 
 FORMAT = "stowline_segments"
 
@@ -38,14 +36,16 @@ class SegmentWriter(DataSourceArrowWriter):
 
     def _put(self, key: str, payload: bytes) -> None:
         system, path = locate(join_path(self.base, key))
-        if isinstance(system, fs.LocalFileSystem):
+        if system.type_name in ("local", "hdfs"):
             # readers must never see half an object; object stores put atomically
             folder, name = path.rsplit("/", 1)
             system.create_dir(folder, recursive=True)
             partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
             with system.open_output_stream(partial) as stream:
                 stream.write(payload)
-            os.replace(partial, path)
+            if system.type_name == "hdfs" and system.get_file_info(path).is_file:
+                system.delete_file(path)  # a rename does not replace there
+            system.move(partial, path)
         else:
             with system.open_output_stream(path) as stream:
                 stream.write(payload)
@@ -64,7 +64,8 @@ class SegmentObjects(DataSource):
 
 def write_segments(segments: DataFrame, path: str) -> None:
     """Put each segment at ``path`` under its object key, replacing an object of that key."""
-    segments.sparkSession.dataSource.register(SegmentObjects)
+    spark = segments.sparkSession
+    spark.dataSource.register(SegmentObjects)
     segments.select("object_key", "payload").write.format(FORMAT).mode("append").option(
-        "path", path
+        "path", qualify(spark, path)
     ).save()

@@ -3,18 +3,33 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stowline.sources.storage import is_file, qualify
+
+
+SCHEMA = "path string, length long, modificationTime timestamp"
+
 
 def list_files(
-    spark: SparkSession, path: str | list[str], recursive: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    recursive: bool = False,
+    ignore_missing: bool = False,
 ) -> DataFrame:
     """Regular files under a path: ``path``, ``length``, ``modificationTime``; no content is read.
 
     One level deep, or all levels with ``recursive``. Names starting with ``_`` or
-    ``.`` are hidden, as in every Spark file source.
+    ``.`` are hidden, as in every Spark file source. With ``ignore_missing`` names of a
+    list that are not there, and files that vanish before they are looked at, are left
+    out.
     """
+    if ignore_missing and isinstance(path, list):
+        path = [p for p in path if is_file(qualify(spark, p))]
+        if not path:
+            return spark.createDataFrame([], SCHEMA)
     return regular_files(
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", recursive)
+        .option("ignoreMissingFiles", ignore_missing)
         .load(path)
         .select("path", "length", "modificationTime")
     )

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from stowline.functions.physical import int96_bytes, physical_list, physical_map
 from stowline.sources.footers import Field, message_of, open_footer
 from stowline.sources.listing import list_files
+from stowline.sources.storage import check_on_error
 
 # The Spark type each stored type is read as.
 SPARK_TYPES = {
@@ -149,24 +150,36 @@ def _physical(rows: DataFrame, message: Field, *extra: Column) -> DataFrame:
     )
 
 
+def _skipping(reader, on_error: str):
+    """Let a reader pass over files that are corrupt or gone."""
+    skip = check_on_error(on_error) == "skip"
+    return reader.option("ignoreCorruptFiles", skip).option("ignoreMissingFiles", skip)
+
+
 def scan_parquet_physical(
-    spark: SparkSession, path: str | list[str], with_file: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    with_file: bool = False,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Rows by physical type; lists and maps keep their groups, INT96 its 12 bytes.
 
-    ``with_file`` adds ``filename`` and ``row_index``. INT96 needs the UTC session time
+    ``with_file`` adds ``filename`` and ``row_index``. ``on_error="skip"`` passes over
+    files that are corrupt or gone. INT96 needs the UTC session time
     zone and ``spark.sql.parquet.int96RebaseModeInRead=CORRECTED``.
     """
     message = _message(spark, path)
-    rows = spark.read.schema(_struct(message).type).parquet(
+    rows = _skipping(spark.read.schema(_struct(message).type), on_error).parquet(
         *(path if isinstance(path, list) else [path])
     )
     return _physical(rows, message, *(_file_columns() if with_file else []))
 
 
 def _file_columns() -> list[Column]:
+    # the scan names its file by an encoded URI, the file inventory by a plain one
+    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
     return [
-        F.col("_metadata.file_path").alias("filename"),
+        F.regexp_replace(F.url_decode(path), "^file:/+", "file:/").alias("filename"),
         F.col("_metadata.row_index").alias("row_index"),
     ]
 
@@ -176,10 +189,11 @@ def stream_parquet(
     directory: str,
     max_files_per_trigger: int | None = None,
     with_file: bool = False,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Stream of the rows of Parquet files as they appear; the schema is that of a present file."""
     message = _message(spark, directory)
-    reader = spark.readStream.schema(_struct(message).type)
+    reader = _skipping(spark.readStream.schema(_struct(message).type), on_error)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return _physical(
@@ -255,17 +269,11 @@ def parquet_progress(
     ``broadcast_files`` files; beyond that rows and counts meet by a shuffle on the file.
     """
     rows = scan_parquet_physical(spark, path, with_file=True)
-    # the scan prints encoded URIs, the listing plain ones
-    counts = row_counts(spark, path).select(
-        F.regexp_replace("path", "^file:/+", "/").alias("_plain"), "rows"
-    )
+    counts = row_counts(spark, path).withColumnRenamed("path", "filename")
     if list_files(spark, path, recursive=True).count() <= broadcast_files:
         counts = F.broadcast(counts)
-    decoded = F.try_url_decode(F.replace("filename", F.lit("+"), F.lit("%2B")))
-    plain = F.regexp_replace(decoded, "^file:/+", "/")
     return (
-        rows.withColumn("_plain", plain)
-        .join(counts, "_plain", "left")
+        rows.join(counts, "filename", "left")
         .withColumn("progress", (F.col("row_index") + 1) / F.col("rows"))
-        .drop("_plain", "rows")
+        .drop("rows")
     )

@@ -1,6 +1,9 @@
 """Opening single files and objects from inside a task, through Arrow's file systems."""
 
+import os
+
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 _systems = {}
 
@@ -11,6 +14,22 @@ def _file_system(root: str):
     return _systems[root]
 
 
+def qualify(spark: SparkSession, path: str) -> str:
+    """The path as a full URI, on the cluster's default file system if it names none."""
+    scheme, colon, _ = path.partition(":")
+    if colon and "/" not in scheme:
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if default.startswith("file:"):
+        return "file:" + os.path.abspath(path)
+    return default.rstrip("/") + path
+
+
+def is_file(uri: str) -> bool:
+    system, path = locate(uri)
+    return system.get_file_info(path).type == fs.FileType.File
+
+
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI as Spark prints it (``file:/a b``, ``s3a://bucket/key``)."""
     scheme, colon, rest = uri.partition(":")
@@ -44,3 +63,9 @@ def drop_folder(uri: str) -> None:
     system, path = locate(uri)
     if system.get_file_info(path).type == fs.FileType.Directory:
         system.delete_dir(path)
+
+
+def check_on_error(on_error: str) -> str:
+    if on_error not in ("fail", "skip"):
+        raise ValueError("on_error must be 'fail' or 'skip'")
+    return on_error

@@ -1,5 +1,7 @@
 """Archiving and measuring a stream of records."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,7 +43,7 @@ def append_latencies_stream(
     records: DataFrame,
     directory: str,
     checkpoint: str,
-    now: Column | None = None,
+    now: Column | datetime | None = None,
     drop_null: bool = False,
     trigger: dict | None = None,
 ) -> StreamingQuery:

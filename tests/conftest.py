@@ -13,10 +13,11 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("stowline-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.int96RebaseModeInRead", "CORRECTED")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )

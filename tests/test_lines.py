@@ -95,20 +95,24 @@ def test_malformed_text_is_replaced(spark, tmp_path):
 
 
 def test_unreadable_files(spark, tmp_path):
-    (tmp_path / "here").write_bytes(b"x\n")
-    gone = tmp_path / "gone"
-    gone.write_bytes(b"y\n")
-    gone.chmod(0o644)
+    here, gone = tmp_path / "here", tmp_path / "gone"
+    here.write_bytes(b"x\n")
+    names = [str(tmp_path / "none"), str(here)]
+    with pytest.raises(Exception, match="none"):
+        scan_lines(spark, files=names)
+    assert got(scan_lines(spark, files=names, on_error="skip")) == [(2, "x")]
+    assert got(scan_lines(spark, files=names[:1], on_error="skip")) == []
     for on_error in ("fail", "skip"):
         gone.write_bytes(b"y\n")
         df = scan_lines(spark, directory=str(tmp_path), on_error=on_error)
         gone.unlink()
-        if on_error == "fail":
+        if on_error == "skip":
+            assert got(df) == [(2, "x")]
+        else:
             with pytest.raises(Exception):
                 df.collect()
-        else:
-            with pytest.raises(ValueError):
-                scan_lines(spark, directory=str(tmp_path), on_error="other")
+    with pytest.raises(ValueError):
+        scan_lines(spark, directory=str(tmp_path), on_error="other")
 
 
 def test_source_records_and_topic_rows(spark, tmp_path):

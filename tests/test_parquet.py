@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stowline.operators.files import latest_offsets
 from stowline.operators.records import to_source_records
+from stowline.sources.listing import list_files
 from stowline.sources.parquet import (
     parquet_progress,
     physical_schema,
@@ -207,6 +208,21 @@ def test_scan_reads_only_what_is_selected(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint,w:string>" in plan
 
 
+def test_corrupt_files_fail_or_are_passed_over(spark, tmp_path):
+    for name in "ab":
+        pq.write_table(pa.table({"id": [1]}), str(tmp_path / f"{name}.parquet"))
+    (tmp_path / "c.parquet").write_bytes(b"PAR1 this is no footer PAR1")
+    with pytest.raises(Exception):
+        scan_parquet_physical(spark, str(tmp_path)).collect()
+    assert scan_parquet_physical(spark, str(tmp_path), on_error="skip").count() == 2
+
+
+def test_names_agree_with_the_inventory(spark, tmp_path):
+    pq.write_table(pa.table({"id": [1]}), str(tmp_path / "a b+%41.parquet"))
+    row = scan_parquet_physical(spark, str(tmp_path), with_file=True).first()
+    assert row.filename == list_files(spark, str(tmp_path)).first().path
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     (tmp_path / "in").mkdir()

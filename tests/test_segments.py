@@ -134,6 +134,13 @@ def test_packing_is_greedy_whatever_the_blocks(make_records, cap, block_rows):
     assert got == greedy(rows, cap)
 
 
+def test_sizes_are_shuffled_once(make_records):
+    assigned = assign_segments(make_records(random_records(3, 50)), 400, block_rows=16)
+    assigned.collect()
+    plan = assigned._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("FlatMapGroupsInArrow") == 1 and "ReusedExchange" in plan
+
+
 def test_equal_sizes_never_settle_but_pack_alike(make_records):
     rows = [("t", 0, o, 0, b"", b"x" * 4, []) for o in range(500)]
     got = assign_segments(make_records(rows), 4 + 7 * 32, block_rows=10).collect()
@@ -179,8 +186,8 @@ def test_encode_then_decode(make_records):
 def test_archive_then_restore(spark, make_records, tmp_path):
     df = make_records(random_records(8, 300))
     path = str(tmp_path / "store")
-    for _ in range(2):  # the second run overwrites itself
-        archive_records(df, path, "pre/fix", cap=600, block_rows=64)
+    for limit in (0, 1 << 20):  # the second run overwrites the first
+        archive_records(df, path, "pre/fix", cap=600, block_rows=64, broadcast_bytes=limit)
     assert rows_of(scan_segments(spark, path, "pre/fix")) == rows_of(df)
     names = [f for _, _, files in os.walk(path) for f in files if not f.endswith(".crc")]
     assert names and all(len(n) == 39 for n in names)

@@ -18,6 +18,7 @@ from stowline.plans.archive import archive_records
 from stowline.sources.lines import scan_lines
 from stowline.sources.parquet import scan_parquet_physical
 from stowline.sources.segments import scan_segments
+from stowline.streaming.line_source import tail_lines
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
@@ -68,7 +69,11 @@ def main():
         "scan_lines": (
             lambda: spend(scan_lines(spark, directory=text, recursive=True)), None, text_bytes,
         ),
-        "tail_lines": (lambda: queries.tail_text_lines(spark, folder).count(), None, text_bytes),
+        "tail_lines": (
+            lambda: queries._to_table(tail_lines(spark, directory=text, recursive=True)).count(),
+            None,
+            text_bytes,
+        ),
         "parquet_physical": (
             lambda: spend(scan_parquet_physical(spark, vectors)),
             spark.read.parquet(vectors).count(),

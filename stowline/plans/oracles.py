@@ -171,6 +171,7 @@ ORACLES = {
         SELECT * FROM arrived WHERE previous_offset >= "offset" """,
     "dedupe_records": f"WITH {_REC} SELECT {_SHOWN} FROM rec",
     "list_files": _NAMES,
+    "regular_files": "SELECT page_id, url AS path FROM pages WHERE url NOT LIKE '%/'",
     "discover_new_files": _NAMES,
     "plan_extents": f"""WITH {_FILES},
         begun AS (SELECT path, length, unnest(range(0, length, 1000)) AS start FROM files)
@@ -200,6 +201,7 @@ ORACLES = {
         SELECT p.lang, p.chunk, p.position, p.line FROM placed p
         JOIN seen s ON s.lang = p.lang AND s.chunk = p.chunk WHERE p.position > s.position""",
     "tail_lines": f"WITH {_LINES} SELECT lang, chunk, position, line FROM placed",
+    "tail_lines_restarted": f"WITH {_LINES} SELECT lang, chunk, position, line FROM placed",
     "line_position": f"WITH {_LINES} SELECT doc_id, line_no, position FROM own",
     "batch_number": f"WITH {_LINES} SELECT doc_id, line_no, (n - 1) // 10 AS batch FROM own",
     "to_source_records": f"""WITH {_LINES}

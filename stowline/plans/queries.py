@@ -8,7 +8,7 @@ from stowline.operators import files, lines, records, segments
 from stowline.plans.archive import archive_records
 from stowline.scratch import new_folder
 from stowline.sinks.latency import append_latencies
-from stowline.sources import parquet
+from stowline.sources import listing, parquet
 from stowline.sources.lines import scan_lines
 from stowline.sources.listing import list_files
 from stowline.sources.segments import decode_segments as _decode
@@ -19,7 +19,7 @@ from stowline.streaming.line_source import tail_lines
 
 CAP = 4096
 NOW = "2024-03-01 00:00:00"
-DOCS_PER_FILE = 100
+DOCS_PER_FILE = 500
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,17 +53,21 @@ def _run(query) -> None:
     query.awaitTermination()
 
 
-def _to_table(stream: DataFrame) -> DataFrame:
-    """Run a stream over all that is there into a table, and read that."""
-    spark = stream.sparkSession
-    out = new_folder(spark, "table")
+def _append_to(stream: DataFrame, out: str, checkpoint: str) -> None:
+    """Run a stream over all that is there, from where the checkpoint stands, into a table."""
     _run(
         stream.writeStream.format("parquet")
         .option("path", out)
-        .option("checkpointLocation", new_folder(spark, "checkpoint"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _to_table(stream: DataFrame) -> DataFrame:
+    spark = stream.sparkSession
+    out = new_folder(spark, "table")
+    _append_to(stream, out, new_folder(spark, "checkpoint"))
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -273,6 +277,13 @@ def list_files_of_folder(spark, folder):
     )
 
 
+def regular_files(spark, folder):
+    """Pages whose address is no folder."""
+    return listing.regular_files(
+        _table(spark, folder, "pages").select("page_id", F.col("url").alias("path"))
+    )
+
+
 def discover_files(spark, folder):
     found = discover_new_files(spark, folder, max_files_per_trigger=4)
     return _to_table(found.select(F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("name")))
@@ -328,16 +339,20 @@ def invalid_offsets(spark, folder):
 def _text_files(spark, folder) -> str:
     """The documents as text files, one per language and run of ids."""
     out = new_folder(spark, "text")
+    _add_text_files(_table(spark, folder, "documents"), out)
+    return out
+
+
+def _add_text_files(documents: DataFrame, out: str) -> None:
     (
-        _table(spark, folder, "documents")
-        .withColumn("chunk", F.expr(f"doc_id div {DOCS_PER_FILE}"))
+        documents.withColumn("chunk", F.expr(f"doc_id div {DOCS_PER_FILE}"))
         .repartition("lang", "chunk")
         .sortWithinPartitions("lang", "chunk", "doc_id")
         .select("text", "lang", "chunk")
-        .write.partitionBy("lang", "chunk")
+        .write.mode("append")
+        .partitionBy("lang", "chunk")
         .text(out)
     )
-    return out
 
 
 def _placed(df: DataFrame) -> DataFrame:
@@ -367,6 +382,17 @@ def tail_text_lines(spark, folder):
     return _placed(_to_table(tail_lines(spark, directory=out, recursive=True, stride=1 << 20)))
 
 
+def tail_text_restarted(spark, folder):
+    """A stream stopped after the English files and started again once the rest is there."""
+    text_folder, out, checkpoint = (new_folder(spark, n) for n in ("text", "table", "checkpoint"))
+    documents = _table(spark, folder, "documents")
+    for part in (documents.where("lang = 'en'"), documents.where("lang <> 'en'")):
+        _add_text_files(part, text_folder)
+        stream = tail_lines(spark, directory=text_folder, recursive=True)
+        _append_to(stream, out, checkpoint)
+    return _placed(spark.read.schema(stream.schema).parquet(out))
+
+
 def _split_text(spark, folder):
     docs = _table(spark, folder, "documents")
     return docs.select(
@@ -549,6 +575,7 @@ QUERIES = {
     "out_of_order": out_of_order,
     "dedupe_records": dedupe_records,
     "list_files": list_files_of_folder,
+    "regular_files": regular_files,
     "discover_new_files": discover_files,
     "plan_extents": plan_extents,
     "files_with_offsets": files_with_offsets,
@@ -559,6 +586,7 @@ QUERIES = {
     "scan_lines": scan_text_lines,
     "scan_lines_from_offsets": scan_text_from_offsets,
     "tail_lines": tail_text_lines,
+    "tail_lines_restarted": tail_text_restarted,
     "line_position": line_position,
     "batch_number": batch_number,
     "to_source_records": to_source_records,

@@ -3,6 +3,7 @@
 import uuid
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -30,11 +31,11 @@ class SegmentWriter(DataSourceArrowWriter):
         count = 0
         for batch in iterator:
             for key, payload in zip(batch.column("object_key"), batch.column("payload")):
-                self._put(key.as_py(), payload.as_py())
+                self._put(key.as_py(), payload.as_buffer())
                 count += 1
         return Written(count)
 
-    def _put(self, key: str, payload: bytes) -> None:
+    def _put(self, key: str, payload: pa.Buffer) -> None:
         system, path = locate(join_path(self.base, key))
         if system.type_name in ("local", "hdfs"):
             # readers must never see half an object; object stores put atomically

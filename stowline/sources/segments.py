@@ -3,6 +3,7 @@
 import logging
 import struct
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from stowline.sources.storage import join_path, locate
 log = logging.getLogger(__name__)
 
 _ROWS_PER_BATCH = 10_000
+_BYTES_PER_BATCH = 32 << 20
 _DECODED = (
     "object_key string, topic string, partition int, offset long, timestamp timestamp, "
     f"key binary, value binary, headers {HEADERS_TYPE}, error string"
@@ -39,63 +41,130 @@ class SegmentError(ValueError):
     """Bytes that are not a whole segment of a known version."""
 
 
-def _records(payload: bytes):
-    """(offset, milliseconds, key, value, headers) of each record of a segment."""
+class _Columns:
+    """Decoded records, column by column; headers are kept flat with their counts."""
+
+    def __init__(self):
+        self.rows = []  # (segment, first row) of every run of rows from one segment
+        self.offset, self.millis, self.key, self.value = [], [], [], []
+        self.header_count, self.header_key, self.header_value = [], [], []
+        self.error = {}  # row to message
+        self.bytes = 0
+
+    def __len__(self):
+        return len(self.offset)
+
+    def open(self, segment):
+        self.rows.append((segment, len(self)))
+
+    def full(self) -> bool:
+        return len(self) >= _ROWS_PER_BATCH or self.bytes >= _BYTES_PER_BATCH
+
+    def fail(self, message):
+        self.error[len(self)] = message
+        for column in (self.offset, self.millis, self.key, self.value, self.header_count):
+            column.append(None)
+
+    def drop_loose_headers(self):
+        """Forget the headers of a record that broke off."""
+        kept = sum(c or 0 for c in self.header_count)
+        del self.header_key[kept:], self.header_value[kept:]
+
+    def batch(self) -> pa.RecordBatch:
+        n = len(self)
+        edges = [first for _, first in self.rows] + [n]
+        lengths = np.diff(edges)
+        segment = [np.repeat([s[i] for s, _ in self.rows], lengths) for i in range(3)]
+        counts = np.array([c or 0 for c in self.header_count], np.int64)
+        headers = pa.ListArray.from_arrays(
+            pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()),
+            pa.StructArray.from_arrays(
+                [
+                    pa.array(self.header_key, pa.binary()).cast(pa.string()),
+                    pa.array(self.header_value, pa.binary()),
+                ],
+                fields=list(_ARROW.field("headers").type.value_type),
+            ),
+        )
+        micros = [m if m is None else m * 1000 for m in self.millis]
+        error = [None] * n
+        for row, message in self.error.items():
+            error[row] = message
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(segment[0], pa.string()),
+                pa.array(segment[1], pa.string()),
+                pa.array(segment[2], pa.int32()),
+                pa.array(self.offset, pa.int64()),
+                pa.array(micros, pa.timestamp("us", "UTC")),
+                pa.array(self.key, pa.binary()),
+                pa.array(self.value, pa.binary()),
+                headers,
+                pa.array(error, pa.string()),
+            ],
+            schema=_ARROW,
+        )
+
+
+def _decode_into(columns: _Columns, payload: bytes) -> None:
+    """Append the records of one segment."""
     if payload[:SEGMENT_OVERHEAD] != SEGMENT_VERSION.to_bytes(SEGMENT_OVERHEAD, "big"):
         raise SegmentError(f"unknown segment version {payload[:SEGMENT_OVERHEAD].hex()}")
-    fixed, length = struct.Struct(">qqiii"), struct.Struct(">i")
+    fixed, length = struct.Struct(">qqiii").unpack_from, struct.Struct(">i").unpack_from
+    add_offset, add_millis = columns.offset.append, columns.millis.append
+    add_key, add_value, add_count = (
+        columns.key.append, columns.value.append, columns.header_count.append,
+    )
+    add_name, add_header = columns.header_key.append, columns.header_value.append
     at, size = SEGMENT_OVERHEAD, len(payload)
-
-    def take(n: int):
-        nonlocal at
-        if n == -1:
-            return None
-        if n < 0 or at + n > size:
-            raise SegmentError(f"segment of {size} bytes breaks off at byte {at}")
-        at += n
-        return payload[at - n : at]
-
+    columns.bytes += size
     while at < size:
-        offset, millis, key_length, value_length, count = fixed.unpack(take(fixed.size))
-        key, value = take(key_length), take(value_length)
-        headers = []
-        for _ in range(count):
-            name = take(length.unpack(take(4))[0])
-            headers.append(
-                {"key": name.decode("utf-8"), "value": take(length.unpack(take(4))[0])}
-            )
-        yield offset, millis, key, value, headers
+        begin = at
+        try:
+            offset, millis, key_length, value_length, count = fixed(payload, at)
+            key_at = at + 28
+            value_at = key_at + key_length if key_length > 0 else key_at
+            at = value_at + value_length if value_length > 0 else value_at
+            for _ in range(count):
+                (n,) = length(payload, at)
+                (m,) = length(payload, at + 4 + n)
+                add_name(payload[at + 4 : at + 4 + n])
+                at += 8 + n
+                add_header(None if m < 0 else payload[at : at + m])
+                at += m if m > 0 else 0
+        except struct.error:
+            at = size + 1
+        if at > size or key_length < -1 or value_length < -1 or count < 0:
+            columns.drop_loose_headers()
+            raise SegmentError(f"segment of {size} bytes breaks off in the record at byte {begin}")
+        add_offset(offset)
+        add_millis(millis)
+        add_key(None if key_length < 0 else payload[key_at:value_at])
+        add_value(None if value_length < 0 else payload[value_at : value_at + value_length])
+        add_count(count)
 
 
 def _decoder(read_payload, on_error: str):
-    def batch(rows):
-        columns = [list(c) for c in zip(*rows)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
-        )
-
     def decode(batches):
-        rows = []
+        columns = _Columns()
         for part in batches:
             for i in range(part.num_rows):
-                name, topic, partition = (
+                segment = tuple(
                     part.column(c)[i].as_py() for c in ("object_key", "topic", "partition")
                 )
+                columns.open(segment)
                 try:
-                    for offset, millis, key, value, headers in _records(read_payload(part, i)):
-                        rows.append(
-                            (name, topic, partition, offset, millis * 1000, key, value, headers, None)
-                        )
-                        if len(rows) >= _ROWS_PER_BATCH:
-                            yield batch(rows)
-                            rows = []
+                    _decode_into(columns, read_payload(part, i))
                 except (SegmentError, OSError) as error:
                     if on_error == "fail":
-                        raise SegmentError(f"{name}: {error}") from error
-                    log.warning("segment %s: %s", name, error)
-                    rows.append((name, topic, partition, *[None] * 5, str(error)))
-        if rows:
-            yield batch(rows)
+                        raise SegmentError(f"{segment[0]}: {error}") from error
+                    log.warning("segment %s: %s", segment[0], error)
+                    columns.fail(str(error))
+                if columns.full():
+                    yield columns.batch()
+                    columns = _Columns()
+        if len(columns):
+            yield columns.batch()
 
     return decode
 

@@ -49,6 +49,14 @@ def object_key(prefix, topic, partition, start_offset, end_offset) -> Column:
     )
 
 
+def object_key_text(prefix: str, topic: str, partition: int, start: int, end: int) -> str:
+    """The same key for one object, inside a task."""
+    prefix = prefix.strip("".join(map(chr, range(33))))
+    if prefix and not prefix.endswith("/"):
+        prefix += "/"
+    return f"{prefix}{topic}/{partition}/{OFFSET_FORMAT % start}-{OFFSET_FORMAT % end}"
+
+
 def parse_object_key(key) -> Column:
     """Struct of topic, partition, start_offset, end_offset; all null when the key does not fit."""
     key = _col(key)

@@ -32,7 +32,7 @@ from stowline.operators.running import BLOCK_WIDTH, previous_value
 BLOCK_ROWS = 1 << 18
 
 
-def _group_keys(epoch_col: str | None) -> list[str]:
+def group_keys(epoch_col: str | None) -> list[str]:
     return ["topic", "partition"] + ([epoch_col] if epoch_col else [])
 
 
@@ -57,7 +57,7 @@ def out_of_order(
     first offender fails the query.
     """
     checked = previous_value(
-        records, _group_keys(epoch_col), order_col, "offset", "previous_offset", width
+        records, group_keys(epoch_col), order_col, "offset", "previous_offset", width
     )
     wrong = F.col("previous_offset") >= F.col("offset")
     if not strict:
@@ -216,7 +216,7 @@ def segment_starts(
 
     ``_open`` is the segment open at the bucket's start, ``_starts`` those starting in it.
     """
-    keys = _group_keys(epoch_col)
+    keys = group_keys(epoch_col)
     # a bucket spans few segments whatever the record size, so looking a record
     # up among its bucket's starts costs a fixed time per byte
     bucket_rows = min(max(cap // 64, 256), 1 << 16, block_rows)
@@ -263,7 +263,7 @@ def attach_segments(
     records: DataFrame, starts: DataFrame, bucket_rows: int, epoch_col: str | None = None
 ) -> DataFrame:
     """Records with ``segment_start`` looked up in a table made by ``segment_starts``."""
-    keys = _group_keys(epoch_col)
+    keys = group_keys(epoch_col)
     refused = F.raise_error(F.lit("record without topic, partition, offset or epoch"))
     found = F.array_max(F.filter("_starts", lambda s: s <= F.col("offset")))
     return (
@@ -295,7 +295,7 @@ def segment_summary(
     assigned: DataFrame, prefix: str = "", epoch_col: str | None = None
 ) -> DataFrame:
     """One row per segment: key, first and last offset, records and bytes; no payload."""
-    keys = _group_keys(epoch_col)
+    keys = group_keys(epoch_col)
     return (
         assigned.groupBy(*keys, "segment_start")
         .agg(
@@ -317,7 +317,8 @@ def segment_summary(
     )
 
 
-def _assembler(keys: list[str]):
+def assembler(keys: list[str]):
+    """Arrow function from the rows of ``encoded_by_segment`` to segments with payload."""
     version = SEGMENT_VERSION.to_bytes(SEGMENT_OVERHEAD, "big")
     batch_bytes = 4 << 20
 
@@ -377,20 +378,27 @@ def _assembler(keys: list[str]):
     return assemble
 
 
+def encoded_by_segment(assigned: DataFrame, epoch_col: str | None = None) -> DataFrame:
+    """Encoded records, each segment whole in one partition and in offset order."""
+    keys = group_keys(epoch_col) + ["segment_start"]
+    return (
+        assigned.select(*keys, "offset", encode_record().alias("_record"))
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "offset")
+    )
+
+
 def assemble_segments(
     assigned: DataFrame, prefix: str = "", epoch_col: str | None = None
 ) -> DataFrame:
     """Segments with their bytes: the version, then the records in offset order."""
-    keys = _group_keys(epoch_col)
-    encoded = assigned.select(*keys, "segment_start", "offset", encode_record().alias("_record"))
+    keys = group_keys(epoch_col)
     fields = [assigned.schema[k] for k in keys]
     for name in ("start_offset", "end_offset", "record_count", "byte_length"):
         fields.append(T.StructField(name, T.LongType()))
     fields.append(T.StructField("payload", T.BinaryType()))
-    packed = (
-        encoded.repartition(*keys, "segment_start")
-        .sortWithinPartitions(*keys, "segment_start", "offset")
-        .mapInArrow(_assembler(keys), T.StructType(fields))
+    packed = encoded_by_segment(assigned, epoch_col).mapInArrow(
+        assembler(keys), T.StructType(fields)
     )
     return packed.select(
         object_key(

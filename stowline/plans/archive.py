@@ -4,14 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stowline.functions.codec import SEGMENT_CAPACITY
-from stowline.operators.segments import (
-    BLOCK_ROWS,
-    assemble_segments,
-    attach_segments,
-    segment_starts,
-)
+from stowline.operators.segments import BLOCK_ROWS, attach_segments, segment_starts
 from stowline.scratch import new_folder
-from stowline.sinks.segments import write_segments
+from stowline.sinks.segments import write_assigned
 from stowline.sources.storage import drop_folder, qualify
 
 
@@ -49,6 +44,6 @@ def archive_records(
         if _fits_broadcast(starts, broadcast_bytes):
             starts = F.broadcast(starts)
         assigned = attach_segments(records, starts, bucket_rows, epoch_col)
-        write_segments(assemble_segments(assigned, prefix, epoch_col), path)
+        write_assigned(assigned, path, prefix, epoch_col)
     finally:
         drop_folder(table)

@@ -1,5 +1,6 @@
 """Segments as objects under their own keys."""
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -7,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from stowline.functions.keys import object_key_text
+from stowline.operators.segments import assembler, encoded_by_segment, group_keys
 from stowline.sources.storage import join_path, locate, qualify
 
 FORMAT = "stowline_segments"
@@ -18,23 +21,32 @@ class Written(WriterCommitMessage):
 
 
 class SegmentWriter(DataSourceArrowWriter):
-    """One object per row.
+    """Puts objects: one per row, or assembled from the encoded records of its partition.
 
     A key fixes the object's bytes, so a repeated task or batch overwrites with the
     same content and no commit step on the driver is needed.
     """
 
-    def __init__(self, base: str):
+    def __init__(self, base: str, prefix: str, keys: list[str] | None):
         self.base = base
+        self.prefix = prefix
+        self.keys = keys
 
     def write(self, iterator):
         count = 0
-        for batch in iterator:
-            for key, payload in zip(batch.column("object_key"), batch.column("payload")):
-                self._put(key.as_py(), payload.as_buffer())
+        for batch in assembler(self.keys)(iterator) if self.keys else iterator:
+            for key, payload in zip(self._names(batch), batch.column("payload")):
+                self._put(key, payload.as_buffer())
                 count += 1
         return Written(count)
 
+    def _names(self, batch):
+        if not self.keys:
+            return batch.column("object_key").to_pylist()
+        parts = ("topic", "partition", "start_offset", "end_offset")
+        rows = zip(*(batch.column(c).to_pylist() for c in parts))
+        return [object_key_text(self.prefix, *row) for row in rows]
+
     def _put(self, key: str, payload: pa.Buffer) -> None:
         system, path = locate(join_path(self.base, key))
         if system.type_name in ("local", "hdfs"):
@@ -60,13 +72,31 @@ class SegmentObjects(DataSource):
         return FORMAT
 
     def writer(self, schema, overwrite):
-        return SegmentWriter(self.options["path"])
+        keys = self.options.get("assemble")
+        return SegmentWriter(
+            self.options["path"], self.options.get("prefix", ""), keys and json.loads(keys)
+        )
+
+
+def _writer(df: DataFrame, path: str):
+    spark = df.sparkSession
+    spark.dataSource.register(SegmentObjects)
+    return df.write.format(FORMAT).mode("append").option("path", qualify(spark, path))
 
 
 def write_segments(segments: DataFrame, path: str) -> None:
     """Put each segment at ``path`` under its object key, replacing an object of that key."""
-    spark = segments.sparkSession
-    spark.dataSource.register(SegmentObjects)
-    segments.select("object_key", "payload").write.format(FORMAT).mode("append").option(
-        "path", qualify(spark, path)
-    ).save()
+    _writer(segments.select("object_key", "payload"), path).save()
+
+
+def write_assigned(
+    assigned: DataFrame, path: str, prefix: str = "", epoch_col: str | None = None
+) -> None:
+    """Assemble and put the segments of assigned records in one step.
+
+    The same objects as ``write_segments(assemble_segments(...))``, without passing
+    the payload through Spark once more.
+    """
+    keys = json.dumps(group_keys(epoch_col))
+    rows = encoded_by_segment(assigned, epoch_col)
+    _writer(rows, path).option("prefix", prefix).option("assemble", keys).save()

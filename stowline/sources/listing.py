@@ -1,6 +1,8 @@
 """File inventory."""
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stowline.sources.storage import is_file, qualify
@@ -17,22 +19,32 @@ def list_files(
 ) -> DataFrame:
     """Regular files under a path: ``path``, ``length``, ``modificationTime``; no content is read.
 
-    One level deep, or all levels with ``recursive``. Names starting with ``_`` or
-    ``.`` are hidden, as in every Spark file source. With ``ignore_missing`` names of a
-    list that are not there, and files that vanish before they are looked at, are left
-    out.
+    One level deep, or all levels with ``recursive``, which patterns like ``a/*/b``
+    need. Names starting with ``_`` or ``.`` are hidden, as in every Spark file source.
+    With ``ignore_missing`` names of a list that are not there, and files that vanish
+    before they are looked at, are left out.
     """
     if ignore_missing and isinstance(path, list):
         path = [p for p in path if is_file(qualify(spark, p))]
         if not path:
             return spark.createDataFrame([], SCHEMA)
-    return regular_files(
+    found = (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", recursive)
+        .option("recursiveFileLookup", True)
         .option("ignoreMissingFiles", ignore_missing)
         .load(path)
         .select("path", "length", "modificationTime")
     )
+    if not recursive:
+        found = found.where(one_level(spark, path if isinstance(path, list) else [path]))
+    return regular_files(found)
+
+
+def one_level(spark: SparkSession, paths: list[str]) -> Column:
+    """True for the given files and the files right in the given directories."""
+    roots = [re.sub("^file:/+", "file:/", qualify(spark, p)).rstrip("/") for p in paths]
+    parent = F.regexp_replace("path", "/[^/]*$", "")
+    return F.col("path").isin(roots) | parent.isin(roots)
 
 
 def regular_files(files: DataFrame) -> DataFrame:

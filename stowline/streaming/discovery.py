@@ -2,14 +2,17 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stowline.sources.listing import regular_files
+from stowline.sources.listing import one_level, regular_files
 
 # Fixed value: the usual interval of looking for new files.
 DISCOVERY_TRIGGER = {"processingTime": "60 minutes"}
 
 
 def discover_new_files(
-    spark: SparkSession, directory: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    directory: str,
+    max_files_per_trigger: int | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """Stream of the inventory rows of a directory; each file is reported once.
 
@@ -20,4 +23,9 @@ def discover_new_files(
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return regular_files(reader.load(directory).select("path", "length", "modificationTime"))
+    found = (
+        reader.option("recursiveFileLookup", True)
+        .load(directory)
+        .select("path", "length", "modificationTime")
+    )
+    return regular_files(found if recursive else found.where(one_level(spark, [directory])))

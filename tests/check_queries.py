@@ -18,6 +18,12 @@ TABLES = (
 ).split()
 
 
+# The SQL type each Spark type must meet.
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+}
+
+
 def rows(frame: pd.DataFrame) -> list:
     frame = frame[sorted(frame.columns)]
     plain = frame.astype(object).where(frame.notna(), None)
@@ -50,10 +56,14 @@ def compare(spark, folder, names=None):
             yield name, f"SQL failed: {error}", took
             continue
         columns = [d[0] for d in result.description]
+        types = {d[0]: str(d[1]) for d in result.description}
+        expected = {n: SQL_TYPES.get(t, t) for n, t in df.dtypes}
         theirs = pd.DataFrame(result.fetchall(), columns=columns)
         problem = None
         if sorted(columns) != sorted(ours.columns):
             problem = f"columns {sorted(ours.columns)} and {sorted(columns)}"
+        elif types != expected:
+            problem = f"types {set(expected.items()) ^ set(types.items())}"
         elif len(ours) != len(theirs):
             problem = f"{len(ours)} and {len(theirs)} rows"
         else:

@@ -19,15 +19,17 @@ def names(df):
 
 
 def test_listing(spark, tmp_path):
-    for name in ("one.txt", "two words+%41.txt", "_hidden", "deep/three.txt"):
-        (tmp_path / name).parent.mkdir(exist_ok=True)
+    for name in ("one.txt", "two words+%41.txt", "_hidden", "k=1/three.txt", "deep/k=2/three.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True, parents=True)
         (tmp_path / name).write_text("abc")
     flat = list_files(spark, str(tmp_path))
     assert names(flat) == ["one.txt", "two words+%41.txt"]
     assert {r.length for r in flat.collect()} == {3}
     assert names(list_files(spark, str(tmp_path), recursive=True)) == [
-        "one.txt", "three.txt", "two words+%41.txt",
+        "one.txt", "three.txt", "three.txt", "two words+%41.txt",
     ]
+    assert names(list_files(spark, "file://" + str(tmp_path) + "/")) == names(flat)
+    assert flat.columns == ["path", "length", "modificationTime"]
     assert names(list_files(spark, [str(tmp_path / "one.txt")])) == ["one.txt"]
     plan = flat._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
@@ -132,4 +134,6 @@ def test_each_new_file_is_reported_once(spark, tmp_path):
     (tmp_path / "in/b").write_text("2")
     assert run() == ["a", "b"]
     (tmp_path / "in/c").write_text("3")
+    (tmp_path / "in/k=1").mkdir()
+    (tmp_path / "in/k=1/deeper").write_text("4")
     assert run() == ["a", "b", "c"]

@@ -209,6 +209,7 @@ def test_tail_directory_with_new_files(spark, tmp_path):
     assert tail.run() == first
     append(folder / "one", b" complete\n")
     append(folder / "three", b"\n")
+    append(folder / "_hidden", b"no\n")
     rest = [("one", 41, "file1 line2 partial complete"), ("three", 1, "")]
     assert tail.run() == sorted(first + rest)
 

@@ -15,6 +15,7 @@ from stowline.operators.segments import (
     segment_summary,
 )
 from stowline.plans.archive import archive_records
+from stowline.sinks.segments import write_assigned, write_segments
 from stowline.sources.segments import decode_segments, scan_segments
 
 
@@ -195,6 +196,20 @@ def test_archive_then_restore(spark, make_records, tmp_path):
     assert rows_of(only) == rows_of(df.where("topic = 't1' and offset between 10 and 60"))
 
 
+def test_both_ways_of_writing_agree(spark, make_records, tmp_path):
+    df = make_records(random_records(9, 100)).withColumn("epoch", F.col("offset") % 3)
+    assigned = assign_segments(df, 600, "epoch")
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    write_segments(assemble_segments(assigned, " a/b ", "epoch"), one)
+    write_assigned(assigned, two, " a/b ", "epoch")
+
+    def objects(root):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        return sorted((r.path.split(root)[1], bytes(r.content)) for r in found.collect())
+
+    assert objects(one) == objects(two) != []
+
+
 def test_overlapping_segments_are_deduped(spark, make_records, tmp_path):
     df = three(make_records)
     archive_records(df, str(tmp_path / "s"))

@@ -34,6 +34,7 @@ def archive_records(
     The segment starts, some bytes per few thousand records, are first written as
     a table in the shared folder and measured. Up to ``broadcast_bytes`` the table is
     broadcast and the payload shuffled once; above that the lookup is a shuffle join.
+    ``records`` is evaluated twice, so it must give the same rows each time.
     """
     spark = records.sparkSession
     starts, bucket_rows = segment_starts(records, cap, epoch_col, block_rows)

@@ -9,9 +9,12 @@ from stowline.operators.records import dedupe_records
 from stowline.operators.segments import (
     assemble_segments,
     assign_segments,
+    attach_segments,
+    encoded_by_segment,
     out_of_order,
     oversized_records,
     restore_order,
+    segment_starts,
     segment_summary,
 )
 from stowline.plans.archive import archive_records
@@ -142,6 +145,15 @@ def test_sizes_are_shuffled_once(make_records):
     assert plan.count("FlatMapGroupsInArrow") == 1 and "ReusedExchange" in plan
 
 
+def test_payload_is_shuffled_once_with_broadcast_starts(spark, make_records):
+    df = make_records(random_records(4, 50))
+    starts, bucket_rows = segment_starts(df, 400)
+    starts = spark.createDataFrame(starts.collect(), starts.schema)
+    rows = encoded_by_segment(attach_segments(df, F.broadcast(starts), bucket_rows))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastExchange") == 1
+
+
 def test_equal_sizes_never_settle_but_pack_alike(make_records):
     rows = [("t", 0, o, 0, b"", b"x" * 4, []) for o in range(500)]
     got = assign_segments(make_records(rows), 4 + 7 * 32, block_rows=10).collect()

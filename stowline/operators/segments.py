@@ -7,8 +7,9 @@ is a chain through the whole group, but only through record sizes. So:
 1. Sizes (no payload) are grouped into blocks of ``block_rows`` offsets. A block's
    effect depends on nothing but how full the segment entering it is, and that
    effect is a step function of the fill. Each block is reduced to it, in parallel.
-2. The step functions, one row per block, are applied in order per group, which
-   gives the state entering each block.
+2. Step functions of a run of blocks compose into one of the same kind. The few of a
+   group are applied in order, which gives the state entering each run, and from
+   there, run by run in parallel, the state entering each block.
 3. Each block is then cut on its own, in parallel, and its cuts are joined to the
    records.
 """
@@ -30,6 +31,7 @@ from stowline.functions.keys import object_key
 from stowline.operators.running import BLOCK_WIDTH, previous_value
 
 BLOCK_ROWS = 1 << 18
+RUN_BLOCKS = 256
 
 
 def group_keys(epoch_col: str | None) -> list[str]:
@@ -148,32 +150,87 @@ def _summarizer(keys: list[str], cap: int):
     return summarize
 
 
-def _walker(keys: list[str], cap: int):
-    def walk(batches):
-        group, fill, start = None, cap, None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            key_columns = [batch.column(k).to_pylist() for k in keys]
-            total = batch.column("_bytes").to_numpy()
-            limit, fills, starts = (batch.column(c) for c in ("_limit", "_fill", "_start"))
-            entry_fill, entry_start = [], []
-            for i, key in enumerate(zip(*key_columns)):
-                if key != group:
-                    # nothing open: a full segment makes the first record start one
-                    group, fill, start = key, cap, None
-                entry_fill.append(fill)
-                entry_start.append(start)
-                if fill + total[i] <= cap:
-                    fill += int(total[i])
-                else:
-                    at = int(np.searchsorted(limit[i].values.to_numpy(), cap - fill, side="right"))
-                    fill, start = fills[i][at].as_py(), starts[i][at].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in keys + ["_block"]]
-                + [pa.array(entry_fill, pa.int64()), pa.array(entry_start, pa.int64())],
-                names=keys + ["_block", "_fill", "_start"],
-            )
+def _leave(fill, start, total, limit, fills, starts, cap):
+    """Fills and segment starts behind a block, for arrays of those before it."""
+    at = np.minimum(np.searchsorted(limit, cap - fill, side="right"), len(limit) - 1)
+    inside = fill + total <= cap
+    return np.where(inside, fill + total, fills[at]), np.where(inside, start, starts[at])
+
+
+def _steps(table: pa.Table) -> list[tuple]:
+    """(block, bytes, limit, fill, start) of each summary, in block order."""
+    blocks, totals = (table.column(c).to_numpy() for c in ("_block", "_bytes"))
+    lists = [table.column(c).combine_chunks() for c in ("_limit", "_fill", "_start")]
+    return [
+        (int(blocks[i]), int(totals[i]), *(c[i].values.to_numpy() for c in lists))
+        for i in np.argsort(blocks)
+    ]
+
+
+def _composer(keys: list[str], cap: int):
+    def compose(table: pa.Table) -> pa.Table:
+        """One summary for a run of blocks, as if they were one block."""
+        steps = _steps(table)
+        _, size, limit, fill, start = steps[0]
+        for _, total, next_limit, next_fill, next_start in steps[1:]:
+            fill, start = _leave(fill, start, total, next_limit, next_fill, next_start, cap)
+            if size <= cap - SEGMENT_OVERHEAD:
+                # the segment open at the beginning may reach into this block
+                limit = np.concatenate((limit, next_limit + size))
+                fill = np.concatenate((fill, next_fill))
+                start = np.concatenate((start, next_start))
+            size += total
+            kept = np.append(np.flatnonzero(start[:-1] != start[1:]), len(start) - 1)
+            limit, fill, start = limit[kept], fill[kept], start[kept]
+        return pa.table(
+            _key_columns(table, keys + ["_run"], 1)
+            + [pa.array([size], pa.int64())]
+            + [pa.array([c], pa.list_(pa.int64())) for c in (limit, fill, start)],
+            names=keys + ["_block", "_bytes", "_limit", "_fill", "_start"],
+        )
+
+    return compose
+
+
+def _walk(steps: list[tuple], fill: int, start: int | None, cap: int):
+    """Fill and open segment entering each block, from those entering the first."""
+    entries = []
+    for _, total, limit, fills, starts in steps:
+        entries.append((fill, start))
+        if fill + total <= cap:
+            fill += total
+        else:
+            at = int(np.searchsorted(limit, cap - fill, side="right"))
+            fill, start = int(fills[at]), int(starts[at])
+    return entries
+
+
+def _entry_table(table: pa.Table, keys: list[str], steps, entries) -> pa.Table:
+    return pa.table(
+        _key_columns(table, keys, len(steps))
+        + [
+            pa.array([s[0] for s in steps], pa.int64()),
+            pa.array([e[0] for e in entries], pa.int64()),
+            pa.array([e[1] for e in entries], pa.int64()),
+        ],
+        names=keys + ["_block", "_fill", "_start"],
+    )
+
+
+def _run_walker(keys: list[str], cap: int):
+    def walk(runs: pa.Table) -> pa.Table:
+        steps = _steps(runs)
+        # nothing open: a full segment makes the first record start one
+        return _entry_table(runs, keys, steps, _walk(steps, cap, None, cap))
+
+    return walk
+
+
+def _block_walker(keys: list[str], cap: int):
+    def walk(blocks: pa.Table, entry: pa.Table) -> pa.Table:
+        steps = _steps(blocks)
+        fill, start = (entry.column(c)[0].as_py() for c in ("_fill", "_start"))
+        return _entry_table(blocks, keys, steps, _walk(steps, fill, start, cap))
 
     return walk
 
@@ -211,6 +268,7 @@ def segment_starts(
     cap: int = SEGMENT_CAPACITY,
     epoch_col: str | None = None,
     block_rows: int = BLOCK_ROWS,
+    run_blocks: int = RUN_BLOCKS,
 ) -> tuple[DataFrame, int]:
     """Where segments start: one row per bucket of offsets, and the bucket width.
 
@@ -225,22 +283,25 @@ def segment_starts(
     key_fields = [records.schema[k] for k in keys]
     longs = T.ArrayType(T.LongType())
     block = key_fields + [T.StructField("_block", T.LongType())]
-    summaries = sizes.groupBy(*keys, "_block").applyInArrow(
-        _summarizer(keys, cap),
-        T.StructType(
-            block
-            + [T.StructField("_bytes", T.LongType())]
-            + [T.StructField(c, longs) for c in ("_limit", "_fill", "_start")]
-        ),
+    summary_type = T.StructType(
+        block
+        + [T.StructField("_bytes", T.LongType())]
+        + [T.StructField(c, longs) for c in ("_limit", "_fill", "_start")]
     )
-    entries = (
-        summaries.repartition(*keys)
-        .sortWithinPartitions(*keys, "_block")
-        .mapInArrow(
-            _walker(keys, cap),
-            T.StructType(block + [T.StructField(c, T.LongType()) for c in ("_fill", "_start")]),
-        )
+    entry_type = T.StructType(
+        block + [T.StructField(c, T.LongType()) for c in ("_fill", "_start")]
+    )
+    summaries = (
+        sizes.groupBy(*keys, "_block")
+        .applyInArrow(_summarizer(keys, cap), summary_type)
+        .withColumn("_run", F.expr(f"_block div {run_blocks}"))
+        .groupBy(*keys, "_run")
     )
+    runs = summaries.applyInArrow(_composer(keys, cap), summary_type)
+    run_entries = runs.groupBy(*keys).applyInArrow(_run_walker(keys, cap), entry_type)
+    entries = summaries.cogroup(
+        run_entries.withColumnRenamed("_block", "_run").groupBy(*keys, "_run")
+    ).applyInArrow(_block_walker(keys, cap), entry_type)
     starts = (
         sizes.groupBy(*keys, "_block")
         .cogroup(entries.groupBy(*keys, "_block"))
@@ -281,13 +342,14 @@ def assign_segments(
     cap: int = SEGMENT_CAPACITY,
     epoch_col: str | None = None,
     block_rows: int = BLOCK_ROWS,
+    run_blocks: int = RUN_BLOCKS,
 ) -> DataFrame:
     """Records with ``segment_start``, the offset of the first record of their segment.
 
     Offsets must be unique within topic, partition and epoch; a repeated or
     oversized record fails the query before anything is written.
     """
-    starts, bucket_rows = segment_starts(records, cap, epoch_col, block_rows)
+    starts, bucket_rows = segment_starts(records, cap, epoch_col, block_rows, run_blocks)
     return attach_segments(records, starts, bucket_rows, epoch_col)
 
 

@@ -44,3 +44,21 @@ def components(links, name="links"):
     return least.select(F.col("u").alias("node"), "component").union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def joined(parent, a, b):
+    """Join nodes a[k] and b[k] for all k in an array of each node's smallest known node."""
+    import numpy as np
+
+    while True:
+        left, right = parent[a], parent[b]
+        apart = left != right
+        if not apart.any():
+            return parent
+        a, b, left, right = a[apart], b[apart], left[apart], right[apart]
+        np.minimum.at(parent, np.maximum(left, right), np.minimum(left, right))
+        while True:
+            above = parent[parent]
+            if (above == parent).all():
+                break
+            parent = above

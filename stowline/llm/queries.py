@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from stowline.llm.language import detect_languages, fit_languages
 from stowline.llm.licenses import scan_licenses
 from stowline.llm.mixing import mix_sources, word_count
+from stowline.llm.near_vectors import near_vectors
 from stowline.llm.pieces import encode_pieces, transducer
 from stowline.llm.sharding import kd_shards, with_slots
 from stowline.llm.storage import saved
 from stowline.llm.texts import utf8
 from stowline.llm.token_counts import count_tokens
+from stowline.llm.top_scores import top_scores
 
 MAX_TOKENS = 2048
 SHARDS = 16
@@ -119,6 +121,17 @@ def op8_token_counts_fst(spark, sf_dir):
     return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op9_int8_near_vectors(spark, sf_dir):
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.9)
+
+
+def op10_uniform_threshold_top_k(spark, sf_dir):
+    scaled = F.transform("embedding", lambda x: F.floor(F.lit(1024.0) * x.cast("double")))
+    good = F.forall("embedding", lambda x: F.coalesce((F.abs(x) < float("inf")) & ~F.isnan(x), F.lit(False)))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(good).select("vec_id", scaled.alias("vector"))
+    return top_scores(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
@@ -126,5 +139,7 @@ QUERIES = {
     "op6_license_templates": op6_license_templates,
     "op7_sentencepiece_fst": op7_sentencepiece_fst,
     "op8_token_counts_fst": op8_token_counts_fst,
+    "op9_int8_near_vectors": op9_int8_near_vectors,
+    "op10_uniform_threshold_top_k": op10_uniform_threshold_top_k,
 }
 ORACLES = {}

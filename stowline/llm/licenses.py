@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from stowline.llm.texts import Rolling, slices, utf8
+from stowline.llm.texts import SMALL, Rolling, find_words, slices, utf8
 
 # License wording and the markup around it, as published with the licenses.
 # [[...]] may be absent; {{n}} stands for up to n words of any kind.
@@ -35,8 +35,6 @@ ANY = -1
 #: Word bytes: digits, letters (lower-cased) and every byte of a character beyond ASCII.
 _CLASS = np.zeros(256, bool)
 _CLASS[48:58] = _CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 
 class Automata:
@@ -119,20 +117,9 @@ def _words(data, starts, known, hashes, rolling):
     counts = np.zeros(len(starts) - 1, np.int64)
     rows, places, numbers = [], [], []
     for first, last, begin, end in slices(data, starts, limit=1 << 20, breaks=~_CLASS):
-        piece = _LOWER[data[begin:end]]
-        inside = np.zeros(len(piece) + 1, bool)
-        inside[:-1] = _CLASS[piece]
+        piece = SMALL[data[begin:end]]
         bounds = np.clip(starts[first : last + 1], begin, end) - begin
-        fresh = inside[:-1].copy()
-        fresh[1:] &= ~inside[:-2]
-        edges = bounds[:-1][bounds[:-1] < len(piece)]
-        fresh[edges] = inside[edges]
-        here = np.flatnonzero(fresh)
-        stop = ~inside
-        stop[:-1] |= fresh
-        stops = np.flatnonzero(stop)
-        after = stops[np.searchsorted(stops, here, side="right")] if len(here) else here
-        owner = np.searchsorted(bounds, here, side="right") - 1
+        here, after, owner = find_words(piece, bounds, _CLASS)
         mine = np.bincount(owner, minlength=last - first)
         number = np.arange(len(here)) - (np.cumsum(mine) - mine)[owner] + counts[first:last][owner]
         counts[first:last] += mine

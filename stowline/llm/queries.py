@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from stowline.llm.jaccard import jaccard_components
 from stowline.llm.language import detect_languages, fit_languages
 from stowline.llm.licenses import scan_licenses
 from stowline.llm.mixing import mix_sources, word_count
@@ -53,6 +54,10 @@ def op2_entropy_balanced_mix(spark, sf_dir):
     )
 
 
+def op4_token_group_jaccard(spark, sf_dir):
+    return jaccard_components(_documents(spark, sf_dir), width=4, percent=85)
+
+
 def document_points(docs):
     """Metadata of documents as points of a k-d tree, weighing their UTF-8 bytes plus 1."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
@@ -135,6 +140,7 @@ def op10_uniform_threshold_top_k(spark, sf_dir):
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
+    "op4_token_group_jaccard": op4_token_group_jaccard,
     "op5_kd_tree_shards": op5_kd_tree_shards,
     "op6_license_templates": op6_license_templates,
     "op7_sentencepiece_fst": op7_sentencepiece_fst,

@@ -113,3 +113,30 @@ def mixed(values):
     values = values ^ (values >> np.uint64(29))
     values = values * np.uint64(0x94D049BB133111EB)
     return values ^ (values >> np.uint64(32))
+
+
+#: Bytes between words: space and the control characters 9 to 13.
+BLANK = np.zeros(256, bool)
+BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes with A-Z as small letters.
+SMALL = np.arange(256, dtype=np.uint8)
+SMALL[65:91] += 32
+
+
+def find_words(piece, bounds, inside):
+    """(first byte, last byte + 1, text) of each word of a slice; ``inside``: which bytes words hold.
+
+    ``bounds`` are where the slice's texts start, with its end; words never cross them.
+    """
+    held = np.zeros(len(piece) + 1, bool)
+    held[:-1] = inside[piece]
+    fresh = held[:-1].copy()
+    fresh[1:] &= ~held[:-2]
+    edges = bounds[:-1][bounds[:-1] < len(piece)]
+    fresh[edges] = held[edges]
+    begins = np.flatnonzero(fresh)
+    stop = ~held
+    stop[:-1] |= fresh
+    stops = np.flatnonzero(stop)
+    ends = stops[np.searchsorted(stops, begins, side="right")]
+    return begins, ends, np.searchsorted(bounds, begins, side="right") - 1

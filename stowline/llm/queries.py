@@ -14,6 +14,7 @@ from stowline.llm.near_vectors import near_vectors
 from stowline.llm.pieces import encode_pieces, transducer
 from stowline.llm.sharding import kd_shards, with_slots
 from stowline.llm.storage import saved
+from stowline.llm.suffixes import remove_repeats
 from stowline.llm.texts import utf8
 from stowline.llm.token_counts import count_tokens
 from stowline.llm.top_scores import top_scores
@@ -54,6 +55,10 @@ def op2_entropy_balanced_mix(spark, sf_dir):
     )
 
 
+def op3_two_stage_suffixes(spark, sf_dir):
+    return remove_repeats(_documents(spark, sf_dir), width=50, keep=["doc_id"])
+
+
 def op4_token_group_jaccard(spark, sf_dir):
     return jaccard_components(_documents(spark, sf_dir), width=4, percent=85)
 
@@ -140,6 +145,7 @@ def op10_uniform_threshold_top_k(spark, sf_dir):
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
+    "op3_two_stage_suffixes": op3_two_stage_suffixes,
     "op4_token_group_jaccard": op4_token_group_jaccard,
     "op5_kd_tree_shards": op5_kd_tree_shards,
     "op6_license_templates": op6_license_templates,

@@ -1,23 +1,83 @@
-"""A corpus pipeline over ``documents``: each stage works on all that the stage before kept."""
+"""A corpus pipeline over ``documents``: each stage works on all that the stage before kept.
+
+A null text is rejected by the first stage. Rows that share a doc_id are one document; rows
+without a doc_id stay through the stages that compare documents. Other columns pass through.
+"""
 
 from pyspark.sql import functions as F
 
+from stowline.llm.jaccard import jaccard_components
 from stowline.llm.language import detect_languages, fit_languages
-from stowline.llm.queries import held_out
+from stowline.llm.mixing import mix_sources, word_count
+from stowline.llm.pieces import decode_pieces, encode_pieces
+from stowline.llm.queries import held_out, vocabulary
+from stowline.llm.storage import saved
+from stowline.llm.suffixes import remove_repeats
+from stowline.llm.texts import unused
 
 #: A text is rejected when the best language's code is no shorter than its bytes.
 MOST_BITS = 8.0
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+REPEAT_BYTES = 50
+PIECES = "piece_bpe_32k.model"
 
 
 def known_language(spark, docs, sf_dir):
-    """Documents with a letter, in a text that some learned language compresses."""
+    """Documents with a letter, in a text that the best learned language compresses."""
     model = fit_languages(docs.where(~held_out()).select(F.col("doc_id").alias("id"), "text", "lang"))
-    found = detect_languages(docs, model)
-    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < MOST_BITS)).select(docs.columns)
+    names = lang, _, bits = [unused(docs.columns, n) for n in ("lang_pred", "score", "bits_per_byte")]
+    found = detect_languages(docs, model, names=names)
+    return found.where((F.col(lang) != "und") & (F.col(bits) < MOST_BITS)).select(*docs.columns)
+
+
+def one_of_near_copies(spark, docs, sf_dir):
+    """Of documents that links of 5-word shingles (Jaccard 0.8 or more) connect, that of the smallest id."""
+    found = jaccard_components(docs, width=NEAR_WORDS, percent=NEAR_PERCENT)
+    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    kept = saved(kept, "kept")
+    once = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    if kept.where("rows > 1").head(1):
+        again = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
+        once = once.union(again.dropDuplicates(["doc_id"]))
+    return once.union(docs.where("doc_id is null"))
+
+
+def without_repeats(spark, docs, sf_dir):
+    """Texts without the 50-byte strings of documents of smaller ids; those left blank by it go."""
+    marks = unused(docs.columns, "_text")
+    cut = remove_repeats(docs.withColumn(marks, F.col("text")), text=marks, width=REPEAT_BYTES,
+                         keep=[*docs.columns, "kept"], whole_characters=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text"))
+    cut = cut.withColumn("text", text).where((F.col("n_removed") == 0) | F.col("text").rlike("[^\\s]"))
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mixed_sources(spark, docs, sf_dir):
+    """Documents in the copies that bring their sources to the weights 5, 2, 1, repeating."""
+    words = docs.select("doc_id", "source", word_count("text").alias("size"))
+    units = words.groupBy("doc_id").agg(F.min("source").alias("source"), F.sum("size").alias("size"))
+    sizes = saved(units.withColumnRenamed("doc_id", "id"), "sizes")
+    copies = mix_sources(sizes).where("copies > 0").select("id", "copies")
+    met = docs.alias("d").join(copies.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.id")))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("c.copies")))
+    return met.select("d.*", again.alias(unused(docs.columns, "_copy"))).select(*docs.columns)
+
+
+def as_pieces(spark, docs, sf_dir):
+    """Documents as SentencePiece ids, with whether they decode to the text again."""
+    model = vocabulary(PIECES)
+    encoded = encode_pieces(docs.select("doc_id", "lang", "source", "text"), model)
+    decoded = decode_pieces(encoded, model)
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "▁", " ")
+    return decoded.select("doc_id", "lang", "source", "pieces", F.size("pieces").alias("n_pieces"), same.alias("round_trip"))
 
 
 STAGES = [
     ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_near_copies),
+    ("suffix-array dedup", without_repeats),
+    ("mixing sources to target weights", mixed_sources),
+    ("SentencePiece encoding and decoding", as_pieces),
 ]
 
 #: Code lengths, components, suffix sorting and balancing go beyond SQL.
@@ -26,8 +86,6 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     """All stages over ``documents``, each written and read again before the next."""
-    from stowline.llm.storage import saved
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))

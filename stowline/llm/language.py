@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from stowline.llm.texts import declared, slices, utf8
+from stowline.llm.texts import declared, slices, unused, utf8
 
 #: Bytes of labelled text per language that a model learns from, in expectation.
 SAMPLE_BYTES = 400_000
@@ -38,7 +38,8 @@ def fit_languages(labelled, order=ORDER, sample_bytes=SAMPLE_BYTES):
     labelled = labelled.withColumn("size", F.octet_length("text")).where(
         (F.col("size") > 0) & (F.col("size") <= SAMPLE_TEXT_BYTES)
     )
-    totals = labelled.groupBy("lang").agg(F.sum("size").alias("bytes"))
+    # One row per language, as many as the model holds.
+    totals = F.broadcast(labelled.groupBy("lang").agg(F.sum("size").alias("bytes")))
     chance = F.xxhash64(F.lit("sample"), "id").bitwiseAND(0xFFFFFFFF) / float(1 << 32)
     sample = labelled.join(totals, "lang").where(chance < F.lit(float(sample_bytes)) / F.col("bytes"))
     counts = (
@@ -197,45 +198,45 @@ def code_lengths(model, data, starts):
     return result
 
 
-def detect_languages(docs, model, text="text", keep=None):
+def detect_languages(docs, model, text="text", keep=None, names=("lang_pred", "score", "bits_per_byte")):
     """Every row with lang_pred, score and bits_per_byte more; ``keep`` names the columns to return.
 
     The language is that of the shortest code; the score is its share when each language's
     code length is read as a likelihood (0 to 1). A text that is null or has no letter gets
     ``und`` and score 0; so does every text if the model knows no language. Equal lengths
     take the first language by name. ``bits_per_byte`` is null for ``und``. Repeated rows
-    and columns of any name pass through; columns of the three new names are replaced.
+    and columns of any name pass through; columns of the three new names are replaced (``names`` gives others).
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tuple(model))
-    added = ("lang_pred", "score", "bits_per_byte")
-    rest = docs.drop(*added)
+    rest = docs.drop(*names)
+    letters = unused(rest.columns, "_letter")
     keep = [c for c in rest.columns if keep is None or c in keep]
     rest = rest.select(*{*keep, text})
     schema = ", ".join(
-        [declared(rest.schema[c]) for c in keep] + ["lang_pred string", "score double", "bits_per_byte double"]
+        [declared(rest.schema[c]) for c in keep] + [f"`{n}` {kind}" for n, kind in zip(names, ("string", "double", "double"))]
     )
 
     def detect(batches):
         own = Model(*shared.value)
         for batch in batches:
             data, starts = utf8(batch.column(text))
-            letter = np.array(batch.column("_letter").to_pylist(), bool)
-            names = np.full(batch.num_rows, "und", object)
+            letter = np.array(batch.column(letters).to_pylist(), bool)
+            found = np.full(batch.num_rows, "und", object)
             score, rate = np.zeros(batch.num_rows), [None] * batch.num_rows
             if own.langs and batch.num_rows:
                 bits = code_lengths(own, data, starts)
                 best = bits.argmin(axis=1)
                 least = bits[np.arange(len(best)), best]
                 share = 1 / np.exp2(np.minimum(least[:, None] - bits, 0)).sum(axis=1)
-                names = np.where(letter, np.array(own.langs, object)[best], "und")
+                found = np.where(letter, np.array(own.langs, object)[best], "und")
                 score = np.where(letter, share, 0.0)
                 sizes = np.maximum(np.diff(starts), 1)
                 rate = [x if ok else None for x, ok in zip((least / sizes).tolist(), letter.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [*map(batch.column, keep), pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(rate, pa.float64())],
-                [*keep, *added],
+                [*map(batch.column, keep), pa.array(found.tolist(), pa.string()), pa.array(score), pa.array(rate, pa.float64())],
+                [*keep, *names],
             )
 
-    flagged = rest.withColumn("_letter", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    flagged = rest.withColumn(letters, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     return flagged.mapInArrow(detect, schema)

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from stowline.llm.texts import Rolling, declared, mixed, slices, utf8
+from stowline.llm.texts import Rolling, declared, mixed, slices, unused, utf8
 
 WIDTH = 50
 #: Bytes of the anchors that route strings to tasks.
@@ -399,18 +399,18 @@ def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole
     docs = docs.drop(*added)
     wanted = [c for c in (*docs.columns, *added) if keep is None or c in keep or c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]
     spans = repeated_spans(docs, id, text, width)
-    lists = spans.groupBy("doc").agg(
-        F.collect_list("begin").alias("_begins"), F.collect_list("end").alias("_ends")
+    key, _begins, _ends = (unused(docs.columns, n) for n in ("_doc", "_begins", "_ends"))
+    lists = spans.groupBy(F.col("doc").alias(key)).agg(
+        F.collect_list("begin").alias(_begins), F.collect_list("end").alias(_ends)
     )
     own = [c for c in docs.columns if c in wanted or c in (id, text)]
-    rows = docs.select(*own).withColumn("_doc", F.col(id).cast("long"))
-    met = rows.join(lists, F.col("_doc") == F.col("doc"), "left").select(*own, "_begins", "_ends")
+    met = docs.select(*own, F.col(id).cast("long").alias(key)).join(lists, key, "left").drop(key)
     schema = ", ".join(declared(docs.schema[c]) if c in docs.columns else f"{c} {added[c]}" for c in wanted)
 
     def cut(batches):
         for batch in batches:
             data, starts = utf8(batch.column(text))
-            begins, ends = batch.column("_begins"), batch.column("_ends")
+            begins, ends = batch.column(_begins), batch.column(_ends)
             out = {c: [] for c in added}
             for row in range(batch.num_rows):
                 raw = data[starts[row] : starts[row + 1]]

@@ -27,6 +27,14 @@ def declared(field):
     return f"`{field.name.replace('`', '``')}` {field.dataType.simpleString()}"
 
 
+def unused(columns, name):
+    """``name``, with underscores put before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def utf8(column):
     """(bytes of all texts one after the other, where each starts, with the end as last entry).
 

@@ -11,13 +11,16 @@ from stowline.llm.texts import Rolling, declared, mixed, slices, unused, utf8
 WIDTH = 50
 #: Bytes of the anchors that route strings to tasks.
 GRAM = 16
-#: Text that a bucket of strings holds in the middle, and how many buckets a task takes.
-BUCKET_BYTES = 4 << 20
+#: Text of a group of documents that a task handles together.
+GROUP_BYTES = 12 << 20
+#: Bits of an anchor that are compared to find anchors of one document; more only pass in error.
+KEY_BITS = 40
+#: Anchors and text that a bucket holds in the middle, and how many buckets a task takes.
+BUCKET_ANCHORS = 1 << 20
+BUCKET_BYTES = 2 << 20
 TASK_BUCKETS = 8
-#: Text that a map task gathers before it sends it on.
-FLUSH_BYTES = 40 << 20
 #: Text that is suffix-sorted at once.
-SORT_BYTES = 8 << 20
+SORT_BYTES = 2 << 20
 SLICE_BYTES = 1 << 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -71,15 +74,122 @@ def anchored_segments(piece, bounds, width=WIDTH):
     return first, after - first, anchor[first]
 
 
-def _route(width, buckets):
-    """Map task: segments of windows, by bucket of their anchors, as compressed blobs.
+class _Group:
+    """Documents of one group in a fixed order, whatever order they came in."""
+
+    def __init__(self, table, id, text):
+        table = table.combine_chunks()
+        ids = table.column(id).cast(pa.int64())
+        known = np.array(ids.is_valid().to_pylist(), bool)
+        docs = ids.fill_null(0).to_numpy()
+        order = np.lexsort((docs, ~known))
+        if len(np.unique(docs)) < len(docs):
+            raw = table.column(text).to_pylist()
+            order = np.array(sorted(range(len(docs)), key=lambda i: (not known[i], docs[i], raw[i] or "")), np.int64)
+        self.table = table.take(pa.array(order, pa.int64())) if len(order) else table
+        self.docs, self.known = docs[order], known[order]
+        column = self.table.column(text)
+        self.data, self.starts = utf8(column.cast(pa.large_string()) if column.nbytes > 1 << 30 else column)
+
+    def segments(self, width):
+        """Per slice (rows, positions, windows, anchors, where they stand, bytes)."""
+        for first, last, begin, end in slices(self.data, self.starts, limit=SLICE_BYTES, overlap=width - 1):
+            piece = self.data[begin:end]
+            bounds = np.clip(self.starts[first : last + 1], begin, end) - begin
+            at, run, anchor = anchored_segments(piece, bounds, width)
+            owner = np.searchsorted(bounds, at, side="right") - 1
+            some = self.known[first:last][owner] if len(at) else np.zeros(0, bool)
+            at, run, anchor, owner = at[some], run[some], anchor[some], owner[some]
+            if len(at):
+                yield owner + first, at + begin - self.starts[first:last][owner], run, anchor, at, piece
+
+    def keys(self, width):
+        """Sorted distinct keys of the anchors, and which are of several documents here."""
+        found = [(a >> np.uint64(64 - KEY_BITS), r) for r, _, _, a, _, _ in self.segments(width)]
+        if not found:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        key, row = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(key, kind="stable")
+        key, doc = key[order], self.docs[row[order]]
+        heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        return key[heads], np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads)
+
+
+def _by_bucket(key, buckets):
+    """Edges of the buckets in sorted keys: each takes an equal range."""
+    edges = [(n << KEY_BITS) // buckets for n in range(buckets)]
+    return np.append(np.searchsorted(key, np.array(edges, np.uint64)), len(key))
+
+
+def _list_anchors(id, text, width, buckets):
+    """Per group its anchors' keys, by bucket: (bucket, grp, size, blob)."""
+
+    def listed(key, table):
+        keys, several = _Group(table, id, text).keys(width)
+        edges, rows = _by_bucket(keys, buckets), []
+        for bucket in np.flatnonzero(np.diff(edges)):
+            own = slice(edges[bucket], edges[bucket + 1])
+            low = (int(bucket) << KEY_BITS) // buckets
+            steps = np.diff(keys[own], prepend=np.uint64(low))
+            kind = np.uint32 if int(steps.max()) < 1 << 32 else np.uint64
+            raw = bytes([kind().itemsize]) + np.packbits(several[own]).tobytes() + steps.astype(kind).tobytes()
+            rows.append((int(bucket), key[0].as_py(), int(own.stop - own.start), len(raw), pa.compress(raw, codec="zstd", asbytes=True)))
+        return _table(rows, [("bucket", pa.int64()), ("grp", pa.int64()), ("n", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
+
+    return listed
+
+
+def _table(rows, fields):
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.table([pa.array(c, kind) for c, (_, kind) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def _find_shared(buckets):
+    """For each group and bucket which of its keys others have too: (grp, bucket, bits)."""
+
+    def one_bucket(bucket, lists):
+        low = np.uint64((bucket << KEY_BITS) // buckets)
+        keys, several = [], []
+        for _, n, size, blob in lists:
+            raw = pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)
+            bits = -(-n // 8)
+            several.append(np.unpackbits(np.frombuffer(raw, np.uint8, bits, 1), count=n).astype(bool))
+            steps = np.frombuffer(raw, np.uint32 if raw[0] == 4 else np.uint64, n, 1 + bits)
+            keys.append(np.cumsum(steps, dtype=np.uint64) + low)
+        key, shared = np.concatenate(keys), np.concatenate(several)
+        order = np.argsort(key, kind="stable")
+        same = key[order][1:] == key[order][:-1]
+        shared[order[1:][same]] = True
+        shared[order[:-1][same]] = True
+        at, rows = 0, []
+        for grp, n, _, _ in lists:
+            rows.append((grp, bucket, np.packbits(shared[at : at + n]).tobytes()))
+            at += n
+        fields = [("grp", pa.int64()), ("bucket", pa.int64()), ("bits", pa.binary())]
+        return _table(rows, fields).to_batches()
+
+    def find(batches):
+        held = {}
+        for batch in batches:
+            for bucket, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(bucket, []).append(rest)
+        for bucket in list(held):
+            yield from one_bucket(bucket, held.pop(bucket))
+
+    return find
+
 
-    Of segments with equal bytes only the earliest document's go on; the others are covered.
+def _route(id, text, width, key_buckets, buckets):
+    """Per group the segments whose anchor several documents have, by bucket of the anchor.
+
+    Of segments with equal bytes in the group only the earliest document's go on; the others
+    are covered. (bucket, grp, size, blob); size -1 marks spans that are covered already.
     """
 
-    def gather(held):
-        doc, pos, run, anchor, content = (np.concatenate(c) for c in list(zip(*held))[:5])
-        text = np.concatenate([h[5] for h in held])
+    def gather(grp, docs, held):
+        row, pos, run, anchor, content = (np.concatenate(c) for c in list(zip(*held))[:5])
+        body = np.concatenate([h[5] for h in held])
+        doc = docs[row]
         sizes = run + width - 1
         begins = np.cumsum(sizes) - sizes
         order = np.lexsort((doc, run, content))
@@ -90,53 +200,49 @@ def _route(width, buckets):
         later = same & (doc[order] > doc[head])
         mine, theirs = order[later], head[later]
         covered = np.zeros(len(doc), bool)
-        for at in range(0, len(mine), 1 << 15):
-            x, y = mine[at : at + (1 << 15)], theirs[at : at + (1 << 15)]
-            differ = text[_ranges(begins[x], sizes[x])] != text[_ranges(begins[y], sizes[y])]
+        for at in range(0, len(mine), 1 << 14):
+            x, y = mine[at : at + (1 << 14)], theirs[at : at + (1 << 14)]
+            differ = body[_ranges(begins[x], sizes[x])] != body[_ranges(begins[y], sizes[y])]
             heads = np.cumsum(sizes[x]) - sizes[x]
             covered[x[~np.logical_or.reduceat(differ, heads)]] = True
         bucket = (mixed(anchor + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
         rows = []
         at = np.flatnonzero(covered)
         if len(at):
-            spans = np.stack([doc[at], pos[at], pos[at] + sizes[at]]).astype(np.int64)
-            rows.append((int(bucket[at[0]]), -1, spans.tobytes()))
+            spans = np.stack([row[at], pos[at], pos[at] + sizes[at]]).astype(np.int64)
+            rows.append((int(bucket[at[0]]), grp, -1, spans.tobytes()))
         kept = np.flatnonzero(~covered)
-        kept = kept[np.lexsort((anchor[kept], bucket[kept]))]
+        kept = kept[np.argsort(bucket[kept], kind="stable")]
         edges = np.flatnonzero(np.append(True, bucket[kept][1:] != bucket[kept][:-1])) if len(kept) else []
         for x, y in zip(edges, [*edges[1:], len(kept)]):
             own = kept[x:y]
             raw = b"".join([
-                np.int64(len(own)).tobytes(), doc[own].tobytes(), pos[own].tobytes(), run[own].astype(np.int32).tobytes(),
-                text[_ranges(begins[own], sizes[own])].tobytes(),
+                np.int64(len(own)).tobytes(), np.diff(doc[own], prepend=0).tobytes(), np.diff(row[own], prepend=0).astype(np.int32).tobytes(),
+                pos[own].astype(np.int32).tobytes(), run[own].astype(np.int32).tobytes(), body[_ranges(begins[own], sizes[own])].tobytes(),
             ])
-            rows.append((int(bucket[own[0]]), len(raw), pa.compress(raw, codec="zstd", asbytes=True)))
-        names = ["bucket", "size", "blob"]
-        kinds = (pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-    def route(batches):
-        rolling, held, size = Rolling(), [], 0
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            data, starts = utf8(batch.column(1))
-            for first, last, begin, end in slices(data, starts, limit=SLICE_BYTES, overlap=width - 1):
-                piece = data[begin:end]
-                bounds = np.clip(starts[first : last + 1], begin, end) - begin
-                at, run, anchor = anchored_segments(piece, bounds, width)
-                if not len(at):
-                    continue
-                owner = np.searchsorted(bounds, at, side="right") - 1
-                pos = at + begin - starts[first:last][owner]
-                content = rolling.span(rolling.totals(piece), at, at + run + width - 1)
-                text = piece[_ranges(at, run + width - 1)]
-                held.append((ids[first:last][owner].astype(np.int64), pos, run, anchor, content, text))
-                size += len(text)
-                if size >= FLUSH_BYTES:
-                    yield gather(held)
-                    held, size = [], 0
-        if held:
-            yield gather(held)
+            rows.append((int(bucket[own[0]]), grp, len(raw), pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)))
+        return rows
+
+    def route(key, table, bits):
+        group, held = _Group(table, id, text), []
+        keys, _ = group.keys(width)
+        edges = _by_bucket(keys, key_buckets)
+        shared = np.zeros(len(keys), bool)
+        for bucket, raw in zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist()):
+            own = slice(edges[bucket], edges[bucket + 1])
+            shared[own] = np.unpackbits(np.frombuffer(raw, np.uint8), count=own.stop - own.start)
+        wanted, rolling = keys[shared], Rolling()
+        if len(wanted):
+            for row, pos, run, anchor, at, piece in group.segments(width):
+                short = anchor >> np.uint64(64 - KEY_BITS)
+                place = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
+                some = np.flatnonzero(wanted[place] == short)
+                if len(some):
+                    at, run = at[some], run[some]
+                    content = rolling.span(rolling.totals(piece), at, at + run + width - 1)
+                    held.append((row[some], pos[some], run, anchor[some], content, piece[_ranges(at, run + width - 1)]))
+        rows = gather(key[0].as_py(), group.docs, held) if held else []
+        return _table(rows, [("bucket", pa.int64()), ("grp", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
 
     return route
 
@@ -253,12 +359,13 @@ def covered_windows(doc, run, text, width=WIDTH):
 
 
 def _resolve(width):
-    """Reduce task: spans (doc, begin, end) that earlier documents cover, bucket by bucket."""
+    """Spans (grp, row, begin, end) that earlier documents cover, bucket by bucket."""
 
-    def spans_of(doc, begin, end):
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc, begin, end)], ["doc", "begin", "end"])
+    def spans_of(grp, row, begin, end):
+        columns = [pa.array(np.asarray(c, np.int64)) for c in (grp, row, begin, end)]
+        return pa.RecordBatch.from_arrays(columns, ["grp", "row", "begin", "end"])
 
-    def covered_spans(doc, pos, run, text):
+    def covered_spans(doc, grp, row, pos, run, text):
         covered = covered_windows(doc, run, text, width)
         heads = np.cumsum(run) - run
         first = covered.copy()
@@ -270,27 +377,26 @@ def _resolve(width):
         after = stop[np.searchsorted(stop, at, side="right")]
         owner = np.searchsorted(heads, at, side="right") - 1
         begin = pos[owner] + at - heads[owner]
-        return spans_of(doc[owner], begin, begin + (after - at) + width - 1)
+        return spans_of(grp[owner], row[owner], begin, begin + (after - at) + width - 1)
 
     def one_bucket(blobs):
         parts = []
-        for size, blob in blobs:
+        for grp, size, blob in blobs:
             raw = pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
-            parts.append((
-                np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int64, n, 8 + 8 * n),
-                np.frombuffer(raw, np.int32, n, 8 + 16 * n).astype(np.int64), np.frombuffer(raw, np.uint8, -1, 8 + 20 * n),
-            ))
+            row, pos, run = np.frombuffer(raw, np.int32, 3 * n, 8 + 8 * n).astype(np.int64).reshape(3, n)
+            doc = np.cumsum(np.frombuffer(raw, np.int64, n, 8))
+            parts.append((doc, np.full(n, grp), np.cumsum(row), pos, run, np.frombuffer(raw, np.uint8, -1, 8 + 20 * n)))
         anchors = []
-        for _, _, run, text in parts:
+        for *_, run, text in parts:
             sizes = run + width - 1
             begins = np.cumsum(sizes) - sizes
             hashes = np.append(_gram_hashes(text), np.full(GRAM - 1, _NONE))
             hashes[(begins + sizes)[:, None] - np.arange(1, GRAM)] = _NONE
             anchors.append(np.minimum.reduceat(hashes, begins))
         anchor = np.concatenate(anchors)
-        doc, pos, run = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        text = np.concatenate([p[3] for p in parts])
+        doc, grp, row, pos, run = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        text = np.concatenate([p[5] for p in parts])
         del parts, anchors
         sizes = run + width - 1
         begins = np.cumsum(sizes) - sizes
@@ -303,19 +409,19 @@ def _resolve(width):
         block, weight = [], 0
         for head, tail, amount in zip(heads[several].tolist(), tails[several].tolist(), amounts[several].tolist()):
             if amount > SORT_BYTES:
-                yield from split_anchor(doc, pos, run, text, begins, order[head : tail + 1])
+                yield from split_anchor(doc, grp, row, pos, run, text, begins, order[head : tail + 1])
                 continue
             block.append(order[head : tail + 1])
             weight += amount
             if weight >= SORT_BYTES:
                 own = np.concatenate(block)
-                yield covered_spans(doc[own], pos[own], run[own], text[_ranges(begins[own], sizes[own])])
+                yield covered_spans(doc[own], grp[own], row[own], pos[own], run[own], text[_ranges(begins[own], sizes[own])])
                 block, weight = [], 0
         if block:
             own = np.concatenate(block)
-            yield covered_spans(doc[own], pos[own], run[own], text[_ranges(begins[own], sizes[own])])
+            yield covered_spans(doc[own], grp[own], row[own], pos[own], run[own], text[_ranges(begins[own], sizes[own])])
 
-    def split_anchor(doc, pos, run, text, begins, own):
+    def split_anchor(doc, grp, row, pos, run, text, begins, own):
         """An anchor with more text than is sorted at once: its windows one by one, in parts by hash."""
         windows = int(run[own].sum())
         parts = windows * width // SORT_BYTES + 1
@@ -335,45 +441,24 @@ def _resolve(width):
             ones = np.ones(len(owner), np.int64)
             if len(owner):
                 yield covered_spans(
-                    doc[owner], pos[owner] + places - begins[owner], ones, text[_ranges(places, ones * width)]
+                    doc[owner], grp[owner], row[owner], pos[owner] + places - begins[owner], ones, text[_ranges(places, ones * width)]
                 )
 
     def resolve(batches):
         held = {}
         for batch in batches:
-            for bucket, size, blob in zip(*(c.to_pylist() for c in batch.columns)):
+            for bucket, grp, size, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 if size < 0:
-                    yield spans_of(*np.frombuffer(blob, np.int64).reshape(3, -1))
+                    row, begin, end = np.frombuffer(blob, np.int64).reshape(3, -1)
+                    yield spans_of(np.full(len(row), grp), row, begin, end)
                 else:
-                    held.setdefault(bucket, []).append((size, blob))
+                    held.setdefault(bucket, []).append((grp, size, blob))
         for bucket in list(held):
             yield from one_bucket(held.pop(bucket))
 
     return resolve
 
 
-def repeated_spans(docs, id="doc_id", text="text", width=WIDTH):
-    """Rows (doc, begin, end): byte spans of windows that a document of smaller id holds too.
-
-    Exact. Spans may touch or overlap. Windows are routed by anchors (see
-    ``anchored_segments``), so equal ones meet in a task though each document is cut anywhere;
-    there anchors of a single document are dropped and the windows of the others are
-    suffix-sorted. Copies within a map task's text are found before the shuffle. Memory is
-    bounded by the sizes above; an anchor with more text than that is sorted in parts.
-    """
-    if width <= GRAM:
-        raise ValueError(f"strings must be longer than {GRAM} bytes")
-    rows = docs.where(F.col(id).isNotNull() & (F.octet_length(text) >= width))
-    rows = rows.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # A segment has some (width - 15) / 2 windows.
-    grown = total * (1 + (width - 1) / ((width - GRAM + 2) / 2))
-    buckets = int(grown // BUCKET_BYTES) + 1
-    tasks = -(-buckets // TASK_BUCKETS)
-    routed = rows.mapInArrow(_route(width, buckets), "bucket long, size long, blob binary")
-    return routed.repartition(tasks, "bucket").mapInArrow(_resolve(width), "doc long, begin long, end long")
-
-
 def merged(spans, size):
     """Begins and ends of a text's spans, sorted, joined where they touch, and within its size."""
     if not len(spans):
@@ -391,46 +476,68 @@ def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole
 
     Each byte covered by a ``width``-byte string that also starts in a document of smaller id
     goes; strings are judged on the texts as they came. A null text has no bytes; a null id
-    is no document's smaller or larger, so its text stays; repeated rows of one id have one
-    text. ``keep`` names the columns to return, of the rows' own and of kept. With
+    is no document's smaller or larger, so its text stays; repeated rows of one id are one
+    document. ``keep`` names the columns to return, of the rows' own and of kept. With
     ``whole_characters`` a span grows to the characters it cuts, so that kept is UTF-8.
+
+    Documents are dealt into groups of some 12 MB, by one shuffle that three steps read.
+    (1) Groups list their anchors (see ``anchored_segments``); an anchor of one document
+    alone holds no string of another. (2) The stretches with the other anchors, some of the
+    text, go to their anchor's bucket, where the windows are suffix-sorted and windows with
+    equal neighbours found (``two_stage_order``, ``equal_to_next``). Equal strings in one
+    group are settled before. (3) Groups cut their texts. Buckets are worked off one by one,
+    and an anchor with more text than is sorted at once in parts, so memory is bounded.
     """
+    if width <= GRAM:
+        raise ValueError(f"strings must be longer than {GRAM} bytes")
     added = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary", "kept_sha256": "string"}
     docs = docs.drop(*added)
-    wanted = [c for c in (*docs.columns, *added) if keep is None or c in keep or c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]
-    spans = repeated_spans(docs, id, text, width)
-    key, _begins, _ends = (unused(docs.columns, n) for n in ("_doc", "_begins", "_ends"))
-    lists = spans.groupBy(F.col("doc").alias(key)).agg(
-        F.collect_list("begin").alias(_begins), F.collect_list("end").alias(_ends)
-    )
+    always = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    wanted = [c for c in (*docs.columns, *added) if keep is None or c in keep or c in always]
     own = [c for c in docs.columns if c in wanted or c in (id, text)]
-    met = docs.select(*own, F.col(id).cast("long").alias(key)).join(lists, key, "left").drop(key)
+    total, rows = docs.agg(F.sum(F.octet_length(text)), F.count("*")).first()
+    total = total or 0
+    groups = max(total // GROUP_BYTES, rows // (1 << 16)) + 1
+    # A segment has some (width - 14) / 2 windows; about half of them may go on.
+    segments = total / ((width - GRAM + 2) / 2)
+    key_buckets = int(segments // BUCKET_ANCHORS) + 1
+    buckets = int((total + segments * width) / 2 // BUCKET_BYTES) + 1
+    grp = unused(docs.columns, "_group")
+    dealt = docs.select(*own, F.pmod(F.xxhash64(id, text), F.lit(groups)).alias(grp)).groupBy(grp)
+
+    keys = dealt.applyInArrow(_list_anchors(id, text, width, key_buckets), "bucket long, grp long, n long, size long, blob binary")
+    keys = keys.repartition(-(-key_buckets // TASK_BUCKETS), "bucket")
+    shared = keys.mapInArrow(_find_shared(key_buckets), "grp long, bucket long, bits binary")
+    routed = dealt.cogroup(shared.groupBy("grp")).applyInArrow(
+        _route(id, text, width, key_buckets, buckets), "bucket long, grp long, size long, blob binary"
+    )
+    routed = routed.repartition(-(-buckets // TASK_BUCKETS), "bucket")
+    spans = routed.mapInArrow(_resolve(width), "grp long, row long, begin long, end long")
     schema = ", ".join(declared(docs.schema[c]) if c in docs.columns else f"{c} {added[c]}" for c in wanted)
-
-    def cut(batches):
-        for batch in batches:
-            data, starts = utf8(batch.column(text))
-            begins, ends = batch.column(_begins), batch.column(_ends)
-            out = {c: [] for c in added}
-            for row in range(batch.num_rows):
-                raw = data[starts[row] : starts[row + 1]]
-                if begins[row].is_valid:
-                    pair = [c[row].values.to_numpy(zero_copy_only=False) for c in (begins, ends)]
-                    first, last = merged(np.stack(pair, 1), len(raw))
-                else:
-                    first = last = np.zeros(0, np.int64)
-                if whole_characters and len(first):
-                    inner = np.append((raw & 0xC0) == 0x80, False)
-                    lead = np.maximum.accumulate(np.where(inner, 0, np.arange(len(inner))))
-                    tail = np.minimum.accumulate(np.where(inner, len(raw), np.arange(len(inner)))[::-1])[::-1]
-                    first, last = merged(np.stack([lead[first], tail[last]], 1), len(raw))
-                edges = np.concatenate([[0], np.stack([first, last], 1).ravel(), [len(raw)]])
-                kept = b"".join(raw[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2]))
-                values = (len(raw), int((last - first).sum()), len(first), kept, hashlib.sha256(kept).hexdigest())
-                for name, value in zip(added, values):
-                    out[name].append(value)
-            kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-            columns = [batch.column(c) if c in own else pa.array(out[c], kinds[added[c]]) for c in wanted]
-            yield pa.RecordBatch.from_arrays(columns, wanted)
-
-    return met.mapInArrow(cut, schema)
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+
+    def cut(key, table, found):
+        group = _Group(table, id, text)
+        order = np.lexsort((found.column("begin").to_numpy(), found.column("row").to_numpy()))
+        row = found.column("row").to_numpy()[order]
+        pairs = np.stack([found.column(c).to_numpy()[order] for c in ("begin", "end")], 1)
+        edges = np.searchsorted(row, np.arange(len(group.docs) + 1))
+        out = {c: [] for c in added}
+        for n in range(len(group.docs)):
+            raw = group.data[group.starts[n] : group.starts[n + 1]]
+            first, last = merged(pairs[edges[n] : edges[n + 1]], len(raw))
+            if whole_characters and len(first):
+                inner = np.append((raw & 0xC0) == 0x80, False)
+                place = np.arange(len(inner))
+                lead = np.maximum.accumulate(np.where(inner, 0, place))
+                tail = np.minimum.accumulate(np.where(inner, len(raw), place)[::-1])[::-1]
+                first, last = merged(np.stack([lead[first], tail[last]], 1), len(raw))
+            bounds = np.concatenate([[0], np.stack([first, last], 1).ravel(), [len(raw)]])
+            kept = b"".join(raw[a:b].tobytes() for a, b in zip(bounds[::2], bounds[1::2]))
+            values = (len(raw), int((last - first).sum()), len(first), kept, hashlib.sha256(kept).hexdigest())
+            for name, value in zip(added, values):
+                out[name].append(value)
+        columns = [group.table.column(c) if c in own else pa.array(out[c], kinds[added[c]]) for c in wanted]
+        return pa.table(columns, names=wanted)
+
+    return dealt.cogroup(spans.groupBy("grp")).applyInArrow(cut, schema)

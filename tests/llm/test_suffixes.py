@@ -1,0 +1,94 @@
+import random
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from stowline.llm import suffixes
+from stowline.llm.queries import QUERIES
+
+
+def _covered_by_tasks(docs, width, parts):
+    """The steps of the job over groups of documents, one after the other."""
+    groups = {}
+    for d, t in docs.items():
+        groups.setdefault(d % parts, []).append((d, t))
+    tables = {
+        g: pa.table([pa.array([d for d, _ in own], pa.int64()), pa.array([t for _, t in own], pa.binary())], names=["doc", "text"])
+        for g, own in groups.items()
+    }
+    key = lambda g: (pa.scalar(g),)
+    lists = [suffixes._list_anchors("doc", "text", width, 3)(key(g), t) for g, t in tables.items()]
+    batches = [b for t in lists for b in t.to_batches()]
+    found = pa.Table.from_batches(list(suffixes._find_shared(3)(batches)) or [pa.record_batch([[], [], []], ["grp", "bucket", "bits"])])
+    route = suffixes._route("doc", "text", width, 3, 4)
+    routed = [route(key(g), t, found.filter(pc.equal(found.column("grp").cast("int64"), g))) for g, t in tables.items()]
+    marks = {d: [False] * len(t) for d, t in docs.items()}
+    orders = {g: suffixes._Group(t, "doc", "text").docs for g, t in tables.items()}
+    for out in suffixes._resolve(width)(b for t in routed for b in t.to_batches()):
+        for g, row, begin, end in zip(*(c.to_pylist() for c in out.columns)):
+            marks[int(orders[g][row])][begin:end] = [True] * (end - begin)
+    return marks
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_tasks_against_all_strings(seed, monkeypatch):
+    rng = random.Random(seed)
+    monkeypatch.setattr(suffixes, "SORT_BYTES", rng.choice([8 << 20, 200, 2000]))
+    monkeypatch.setattr(suffixes, "SLICE_BYTES", rng.choice([1 << 20, 100, 333]))
+    monkeypatch.setattr(suffixes, "KEY_BITS", rng.choice([40, 12]))
+    width = rng.choice([17, 20, 24, 50, 50])
+    kind = rng.choice([b"a", b"ab", b"abc", bytes(range(256)), b"\x00\xff"])
+    some = lambda n: bytes(rng.choice(kind) for _ in range(n))
+    pool = [some(rng.randint(5, 120)) for _ in range(6)] + [b"a" * rng.randint(10, 200), b"ab" * 60, b"zy" * 50 + b"z" * 70]
+    docs = {
+        d: b"".join(rng.choice(pool) if rng.random() < 0.6 else some(rng.randint(1, 60)) for _ in range(rng.randint(0, 8)))
+        for d in rng.sample(range(40), rng.randint(2, 8))
+    }
+    assert _covered_by_tasks(docs, width, rng.choice([1, 2, 5])) == brute.covered(docs, width)
+
+
+def test_order_of_windows():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 100, 4000).astype(np.uint8)
+    order = suffixes.two_stage_order(text, np.array([0, 2000]), np.array([1951, 1951]), 50)
+    found = [bytes(text[i : i + 50]) for i in order]
+    assert sorted(order.tolist()) == [*range(1951), *range(2000, 3951)]
+    assert found == sorted(found)
+
+
+def test_query_against_all_strings(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    docs = {r.doc_id: (r.text or "").encode() for r in rows}
+    marks = brute.covered(docs, 50)
+    found = QUERIES["op3_two_stage_suffixes"](spark, folder).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == {
+        d: brute.cut(t, marks[d]) for d, t in docs.items()
+    }
+
+
+def test_odd_rows(spark):
+    line = "é" + "0123456789" * 6
+    rows = [
+        (1, line, "x"), (2, line + " end", "x"), (2, line + " end", None), (None, line, "x"), (3, None, "x"), (4, "", "x"),
+        (5, "short", "x"), (6, "日" * 40_000, "x"), (7, "日" * 300, "x"), (8, "日本" + line, "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string").withColumn("_begins", F.lit(1)).withColumn("_group", F.lit(2))
+    found = suffixes.remove_repeats(docs, keep=["doc_id", "text", "_begins", "_group", "kept"], whole_characters=True).collect()
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r.doc_id, []).append(r)
+    assert len(found) == len(rows) and {r._begins for r in found} == {1}
+    assert [bytes(r.kept).decode() for r in by_id[2]] == [" end", " end"]
+    assert by_id[1][0].n_removed == 0 and by_id[None][0].n_removed == 0
+    assert (by_id[3][0].n_bytes, by_id[4][0].n_bytes, by_id[5][0].n_removed) == (0, 0, 0)
+    assert {r._group for r in found} == {2}
+    assert by_id[6][0].n_removed == 0 and by_id[7][0].n_removed == 900
+    assert bytes(by_id[8][0].kept).decode() == "日本"
+    empty = suffixes.remove_repeats(docs.where("false"))
+    assert empty.count() == 0 and empty.columns[-1] == "kept_sha256"

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from stowline.llm.components import components, joined
@@ -13,11 +13,12 @@ from stowline.llm.texts import BLANK, SMALL, Rolling, find_words, mixed, slices,
 FREQUENT_SHARE = 0.001
 #: Documents of a slice that must hold a token for the slice to report it.
 LEAST_REPORTED = 4
-#: Shared tokens that open a group: prefixes are long enough for any linked pair to have them.
-SHARED = 3
+#: Shared tokens that open a group, at least and as a part of a set: prefixes are long enough
+#: for any linked pair to have them.
+SHARED, SHARED_PART = 3, 20
 #: Tokens that a block of a group may hold together.
 BLOCK_TOKENS = 1 << 20
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 #: Candidates of one component tried before the rest of it.
 FIRST_TRIED = LEADERS = 8
 
@@ -69,10 +70,17 @@ def needed(n, percent):
     return -(-n * percent // 100)
 
 
-def shared_tokens(percent):
-    """First tokens that linked, different sets share: SHARED, fewer if small sets can link."""
+def shared_tokens(n, percent):
+    """First tokens that a set of n shares with a linked, different set of as many or more.
+
+    A twentieth of the set, so that a passage in common opens nothing; at least SHARED, fewer
+    if such small sets can link. ``n`` is an array or a column of numbers.
+    """
     smallest = -(-percent // (100 - percent)) if percent < 100 else SHARED
-    return max(1, min(SHARED, needed(max(smallest, 1), percent)))
+    least = max(1, min(SHARED, needed(max(smallest, 1), percent)))
+    if isinstance(n, Column):
+        return F.greatest(F.lit(least), F.floor(n / SHARED_PART))
+    return np.maximum(least, n // SHARED_PART)
 
 
 def _frequent(docs, text, width):
@@ -101,12 +109,14 @@ def _frequent(docs, text, width):
 
 
 def _prefixes(docs, id, text, width, percent, frequent):
-    """Rows (id, n, k1, k2, tokens): set size, fingerprint and first tokens of each document.
+    """Rows (id, n, k1, k2, gid, tokens): set size, fingerprint, group and first tokens of each document.
+
+    The group is the least token, which similar sets have in common most likely.
 
     Tokens are in order of hash, frequent ones last. Two linked sets share at least s of
-    their first n - needed(n) + s tokens, with s from ``shared_tokens``.
+    their first n - needed(n) + s tokens, with s from ``shared_tokens`` for
+    the smaller of them.
     """
-    common = shared_tokens(percent)
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def read(batches):
@@ -120,22 +130,24 @@ def _prefixes(docs, id, text, width, percent, frequent):
                     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(tokens ^ np.uint64(seed)))])
                     keys[k] = (sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64)
                 # A set of n links with another only if n of n + 1 is enough.
-                length = np.where(sizes * 100 >= percent * (sizes + 1), np.minimum(sizes, sizes - needed(sizes, percent) + common), 0)
+                length = np.where(sizes * 100 >= percent * (sizes + 1), np.minimum(sizes, sizes - needed(sizes, percent) + shared_tokens(sizes, percent)), 0)
                 at = np.minimum(np.searchsorted(late, tokens), max(len(late) - 1, 0))
                 order = np.arange(len(tokens))
                 if len(late):
                     order = np.lexsort((late[at] == tokens, owner))
                 place = np.arange(len(tokens)) - np.repeat(offsets[:-1], sizes)
                 chosen = tokens[order][place < length[owner]].view(np.int64)
+                least = np.zeros(last - first, np.int64)
+                least[sizes > 0] = tokens[offsets[:-1][sizes > 0]].view(np.int64)
                 edges = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(chosen))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(sizes), *map(pa.array, keys), lists],
-                    ["id", "n", "k1", "k2", "tokens"],
+                    [batch.column(0).slice(first, last - first), pa.array(sizes), *map(pa.array, keys), pa.array(least), lists],
+                    ["id", "n", "k1", "k2", "gid", "tokens"],
                 )
 
     return docs.select(F.col(id).cast("long").alias("id"), text).mapInArrow(
-        read, "id long, n long, k1 long, k2 long, tokens array<long>"
+        read, "id long, n long, k1 long, k2 long, gid long, tokens array<long>"
     )
 
 
@@ -210,11 +222,11 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     sequence is the one shingle, and without any the set is empty and links with nothing.
     Sets link when 100 * shared >= percent * union. component_id is the smallest id reached.
 
-    Equal sets form a class and are compared once. Classes whose first tokens in a global
-    order (frequent tokens last) begin with the same one form a group. The matrix of groups
-    and tokens has, for each group, the union of its members' first tokens; the number of a
-    set's tokens in that union bounds what it can share with any member, and a group is
-    opened to the set only if it is enough and sizes allow a link. Opened groups compare sets
+    Equal sets form a class and are compared once. Classes with the same least token form a
+    group. The matrix of groups and tokens has, for each group, the union of its members'
+    first tokens in a global order (frequent tokens last), with the sizes of their sets. The
+    tokens in the unions of two groups bound what any two of their sets can share, and a
+    group is opened to the sets of another only if that is enough and sizes allow a link. Opened groups compare sets
     exactly, in blocks of bounded size, every pair of blocks in a task of its own, and give
     one link per set. Tokens and fingerprints are hashes of 64 and 128 bits.
 
@@ -225,24 +237,39 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     sets = saved(_prefixes(docs, id, text, width, percent, frequent), "sets")
     classes = sets.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
     named = saved(
-        sets.where("n > 0").drop("tokens").join(classes, ["k1", "k2"]).select("id", "n", "rep"), "classes"
+        sets.where("n > 0").select("id", "n", "k1", "k2").join(classes, ["k1", "k2"]).select("id", "n", "rep"), "classes"
     )
     reps = sets.where(F.size("tokens") > 0).join(classes.select("k1", "k2", F.col("rep").alias("id")), ["k1", "k2", "id"])
     rows = reps.dropDuplicates(["id", "k1"]).select(
-        F.explode("tokens").alias("token"), "id", "n", F.element_at("tokens", 1).alias("gid")
+        F.explode("tokens").alias("token"), "id", "n", "gid"
     )
     # Only tokens of several classes matter; one shuffle finds them and brings their rows.
     token = Window.partitionBy("token")
     both = rows.withColumn("least", F.min("id").over(token)).withColumn("most", F.max("id").over(token))
-    rows = saved(both.where("least <> most").drop("least", "most"), "common")
-    matrix = rows.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    near = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)
-    visits = (
-        rows.alias("q").join(matrix.alias("m"), (F.col("q.token") == F.col("m.token")) & (F.col("m.gid") < F.col("q.gid")) & near)
-        .groupBy("m.gid", "id", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= shared_tokens(percent))
-        .select("gid", "id", "n")
+    rows = both.where("least <> most").drop("least", "most")
+    # A linked set has at least that percentage of the tokens, and shares what that size calls for.
+    enough = shared_tokens(F.floor((F.col("n") * percent + 99) / 100), percent)
+    own = Window.partitionBy("id")
+    rows = saved(rows.withColumn("several", F.count("*").over(own)).where(F.col("several") >= enough).drop("several"), "common")
+    matrix = saved(rows.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high")), "matrix")
+    near = (F.col("a.high") * 100 >= F.col("b.low") * percent) & (F.col("b.high") * 100 >= F.col("a.low") * percent)
+    smallest = F.greatest(F.min("a.low"), F.min("b.low"))
+    bound = shared_tokens(F.floor((smallest * percent + 99) / 100), percent)
+    pairs = (
+        matrix.alias("a").join(matrix.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.gid") < F.col("b.gid")) & near)
+        .groupBy(F.col("a.gid").alias("one"), F.col("b.gid").alias("two")).agg(F.count("*").alias("shared"), bound.alias("bound"))
+        .where("shared >= bound").select("one", "two")
     )
-    opened = saved(visits.union(rows.select("gid", "id", "n").distinct()), "visits")
+    members = saved(rows.select("gid", "id", "n").distinct(), "members")
+    many = members.groupBy("gid").agg(F.count("*").alias("docs"))
+    pairs = pairs.join(many.select(F.col("gid").alias("one"), F.col("docs").alias("n1")), "one").join(
+        many.select(F.col("gid").alias("two"), F.col("docs").alias("n2")), "two"
+    )
+    # The smaller group's sets are the queries of the larger.
+    small = F.col("n1") < F.col("n2")
+    asked = pairs.select(F.when(small, F.col("one")).otherwise(F.col("two")).alias("gid"), F.when(small, F.col("two")).otherwise(F.col("one")).alias("opens"))
+    visits = members.join(asked, "gid").select(F.col("opens").alias("gid"), "id", "n")
+    opened = saved(visits.union(members), "visits")
     weights = opened.groupBy("gid").agg(F.count("*").alias("members"), F.sum("n").alias("weight")).where("members > 1")
     blocks = (F.floor(F.col("weight") / BLOCK_TOKENS) + 1).cast("int")
     part = F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("blocks")).cast("int")

@@ -13,6 +13,7 @@ SAMPLE_BYTES = 400_000
 #: Longer texts are not learned from, so that no single text makes up a sample.
 SAMPLE_TEXT_BYTES = 65_536
 ORDER = 4
+SLICE_BYTES = 1 << 19
 #: A context of 3 bytes or more that the sample shows fewer times than this is left out.
 LEAST_SEEN = 2
 
@@ -152,7 +153,7 @@ def code_lengths(model, data, starts):
     kinds = len(model.langs)
     result = np.zeros((len(starts) - 1, kinds))
     order, width = len(model.cost) - 2, int(model.symbols.max()) + 1
-    for first, last, begin, end in slices(data, starts, limit=1 << 19, overlap=order):
+    for first, last, begin, end in slices(data, starts, limit=SLICE_BYTES, overlap=order):
         symbol = model.symbols[data[begin:end]]
         size = len(symbol)
         bounds = np.clip(starts[first : last + 1], begin, end) - begin

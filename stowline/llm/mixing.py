@@ -9,7 +9,7 @@ from stowline.llm.storage import SMALL_ROWS, forget, saved
 WORD = "[^\\x20\\x09-\\x0D]+"
 MOST_COPIES = 3
 #: Rows that one ranking by hash may hold; larger cells are cut by hash.
-CELL_ROWS = 4096
+CELL_ROWS = 512
 ROUNDS = 60
 REPAIRS = 2
 CLOSE = 1e-7
@@ -111,7 +111,7 @@ def mix_sources(sizes, weights=(5.0, 2.0, 1.0), most=MOST_COPIES):
     passes a half. So the words of a source miss its target by less than its largest document;
     then twice one document per source is rounded the other way if that lessens the gap.
     Reruns agree. Ranks come from counts of (source, size) cells, cut by hash
-    to about 4,096 rows, so a source or size that holds most rows is ranked in parts.
+    to about 512 rows, so a source or size that holds most rows is ranked in parts.
 
     A row without words (null or blank text) has rate and copies as its rank says, and takes
     no words. Repeated ids count as rows of their own. ``sizes`` is read several times:

@@ -1,7 +1,6 @@
 """SentencePiece encoding and decoding by shortest paths in a weighted transducer."""
 
 import re
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +8,9 @@ import pyarrow as pa
 from stowline.llm.texts import declared, kept, utf8
 
 SPACE = "▁"
-CACHE_UNITS = 400_000
+#: Units in each of two generations, and pairs of pieces, that a worker keeps.
+CACHE_UNITS = 250_000
+CACHE_PAIRS = 500_000
 BATCH_CHARS = 1 << 20
 FAR = float("inf")
 UNIGRAM, BPE = 1, 2
@@ -75,7 +76,7 @@ class Transducer:
         self.pair = {}
         if self.merging:
             self._learn_halves()
-        self.known, self.next_to = {}, {}
+        self.fresh, self.older, self.next_to = {}, {}, {}
 
     def _learn_halves(self):
         """The two pieces that each piece is merged from, and its place in the order of merges."""
@@ -96,6 +97,8 @@ class Transducer:
                 left, right = self.ids[parts[0]], self.ids[parts[1]]
                 self.halves[index] = (left, right)
                 self.pair[left, right] = self.rank[index]
+        #: Place in the order of merges; -1 for pieces that are not merged from others.
+        self.late = [self.rank[i] if i in self.halves else -1 for i in range(len(self.text))]
 
     def _neighbours(self, left, right):
         """Whether merging leaves two pieces side by side.
@@ -104,19 +107,18 @@ class Transducer:
         must not have been able to merge earlier; on the left side, and between equals, the
         earlier place wins.
         """
-        rank, halves = self.rank, self.halves
-        bound = len(rank) + 1
+        late, halves, pair = self.late, self.halves, self.pair
+        bound = len(late)
         while True:
-            found = self.pair.get((left, right))
-            if found is not None and found < bound:
+            if pair.get((left, right), bound) < bound:
                 return False
-            a, b = (rank[left] if left in halves else -1), (rank[right] if right in halves else -1)
-            if a < 0 and b < 0:
-                return True
+            a, b = late[left], late[right]
             if a > b:
                 bound, left = a, halves[left][1]
-            else:
+            elif b >= 0:
                 bound, right = b + 1, halves[right][0]
+            else:
+                return True
 
     def _path(self, text):
         """Pieces of the shortest path through a text without runs of space marks."""
@@ -124,21 +126,32 @@ class Transducer:
         piece, begin = [None] * (size + 1), [0] * (size + 1)
         if self.merging:
             # All finite paths weigh nothing: depth first, longest pieces first, finds the one.
-            fits, stack = self._fits, [0]
-            while stack:
-                i = stack.pop()
-                if i == size:
-                    break
-                last, node, j = piece[i], trie, i
+            ids, known, later = self.ids, self.next_to, []
+            i, last = 0, -1
+            while i < size:
+                arcs = [] if text[i] in ids else [(-1, i + 1)]
+                node, j = trie, i
                 while j < size and (node := node.get(text[j])) is not None:
                     j += 1
-                    index = node.get("")
-                    if index is not None and piece[j] is None and (not i or last < 0 or fits(last, index)):
-                        piece[j], begin[j] = index, i
-                        stack.append(j)
-                if text[i] not in self.ids:
-                    piece[i + 1], begin[i + 1] = -1, i
-                    stack.append(i + 1)
+                    if "" in node and piece[j] is None:
+                        arcs.append((node[""], j))
+                while True:
+                    if not arcs:
+                        i, arcs = later.pop()
+                        last = piece[i] if i else -1
+                        continue
+                    index, j = arcs.pop()
+                    if piece[j] is not None:
+                        continue
+                    if last < 0 or index < 0:
+                        break
+                    fit = known.get((last, index))
+                    if fit or (fit is None and self._fits(last, index)):
+                        break
+                if arcs:
+                    later.append((i, arcs))
+                piece[j], begin[j] = index, i
+                i, last = j, index
         else:
             cost = [FAR] * (size + 1)
             cost[0] = 0.0
@@ -158,11 +171,9 @@ class Transducer:
         return path[::-1]
 
     def _fits(self, left, right):
-        found = self.next_to.get((left, right))
-        if found is None:
-            if len(self.next_to) >= 4 * CACHE_UNITS:
-                self.next_to.clear()
-            found = self.next_to[left, right] = self._neighbours(left, right)
+        if len(self.next_to) >= CACHE_PAIRS:
+            self.next_to.clear()
+        found = self.next_to[left, right] = self._neighbours(left, right)
         return found
 
     def _unit(self, text):
@@ -199,21 +210,37 @@ class Transducer:
         """Ids of a text as a NumPy array; null and empty have none."""
         if not text:
             return np.zeros(0, np.int32)
+        if self.prefix and text[0] != " " and text[-1] != " " and "  " not in text and SPACE not in text:
+            # Every space starts a unit of its own.
+            return np.frombuffer(b"".join(self._known(text.split(" "), SPACE)), np.int32)
         units = self.units.findall(self.prefix + text.replace(" ", SPACE))
-        known = self.known
-        found = list(map(known.get, units, repeat(None)))
-        if None in found:
-            if len(known) > CACHE_UNITS:
-                known.clear()
-            for at, unit in enumerate(units):
-                if found[at] is None:
-                    ids = known.get(unit)
-                    if ids is None:
-                        ids = self._unit(unit)
-                        if len(unit) <= 64:
-                            known[unit] = ids
-                    found[at] = ids
-        return np.frombuffer(b"".join(found), np.int32)
+        return np.frombuffer(b"".join(self._known(units, "")), np.int32)
+
+    def _known(self, parts, mark):
+        """Ids of each part behind a mark, as bytes; two generations of parts are kept."""
+        fresh, older = self.fresh, self.older
+        if mark:
+            found = list(map(fresh.get, parts))
+            keys = parts
+        else:
+            keys = ["\0" + p for p in parts]
+            found = list(map(fresh.get, keys))
+        if None not in found:
+            return found
+        for at, ids in enumerate(found):
+            if ids is not None:
+                continue
+            key = keys[at]
+            ids = fresh.get(key) or older.get(key)
+            if ids is None:
+                units = self.units.findall(mark + parts[at]) if mark else [parts[at]]
+                ids = self._unit(units[0]) if len(units) == 1 else b"".join(self._known(units, ""))
+            if len(key) <= 64:
+                fresh[key] = ids
+            found[at] = ids
+        if len(fresh) > CACHE_UNITS:
+            self.fresh, self.older = {}, fresh
+        return found
 
     def decode(self, ids):
         """Text of ids; bytes that form no character become U+FFFD."""
@@ -229,18 +256,19 @@ def transducer(path):
     return kept(f"pieces {path}", lambda: Transducer(path))
 
 
-def encode_pieces(docs, model, text="text", column="pieces", keep=None):
+def encode_pieces(docs, model, text="text", column="pieces", keep=None, decoded=None):
     """Every row with the ids of its text (array of int) more; null and empty texts have none.
 
-    ``keep`` names the columns to return beside the ids.
+    ``keep`` names the columns to return beside the ids. With ``decoded``, a column of that
+    name has the text that the ids decode to, made in the same pass.
 
     ``model`` is the path of a model file, present on every machine that runs tasks. A
     column of the new name is replaced; repeated rows stay.
     """
-    docs = docs.drop(column)
+    docs = docs.drop(column, *([decoded] if decoded else []))
     keep = [c for c in docs.columns if keep is None or c in keep]
     docs = docs.select(*{*keep, text})
-    schema = ", ".join([*(declared(docs.schema[c]) for c in keep), f"`{column}` array<int>"])
+    schema = ", ".join([*(declared(docs.schema[c]) for c in keep), f"`{column}` array<int>", *([f"`{decoded}` string"] if decoded else [])])
 
     def encode(batches):
         made = transducer(model)
@@ -250,7 +278,11 @@ def encode_pieces(docs, model, text="text", column="pieces", keep=None):
                 edges = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(values, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*map(part.column, keep), lists], [*keep, column])
+                columns, names = [*map(part.column, keep), lists], [*keep, column]
+                if decoded:
+                    columns.append(pa.array(map(made.decode, ids), pa.string()))
+                    names.append(decoded)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(encode, schema)
 

@@ -1,9 +1,5 @@
 """The registered queries of this package, over whole tables."""
 
-import hashlib
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stowline.llm.jaccard import jaccard_components
@@ -15,7 +11,6 @@ from stowline.llm.pieces import encode_pieces, transducer
 from stowline.llm.sharding import kd_shards, with_slots
 from stowline.llm.storage import saved
 from stowline.llm.suffixes import remove_repeats
-from stowline.llm.texts import utf8
 from stowline.llm.token_counts import count_tokens
 from stowline.llm.top_scores import top_scores
 
@@ -93,37 +88,19 @@ def op6_license_templates(spark, sf_dir):
 
 
 def op7_sentencepiece_fst(spark, sf_dir):
-    """Ids and decoded text as digests: SHA-256 of the ids as 32-bit numbers and of the UTF-8 text."""
+    """Ids and decoded text as digests: SHA-256 of the ids in decimals with commas, and of the text."""
     model = vocabulary("piece_bpe_32k.model")
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    encoded = encode_pieces(docs, model, keep=["doc_id", "text"])
-
-    def digest(batches):
-        made = transducer(model)
-        fallback = np.array([len(b) == 1 and t.startswith("<0x") for b, t in zip(made.bytes, made.text)])
-        for batch in batches:
-            _, starts = utf8(batch.column("text"))
-            rows = []
-            for text, ids in zip(batch.column("text").to_pylist(), batch.column("pieces")):
-                own = ids.values.to_numpy(zero_copy_only=False)
-                decoded = made.decode(own)
-                sha = lambda data: hashlib.sha256(data).hexdigest()
-                rows.append((
-                    len(own), int(fallback[own].sum()), sha(own.astype("<i4").tobytes()), sha(decoded.encode()),
-                    decoded == (text or "").replace("▁", " "),
-                ))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(starts)), *map(pa.array, columns, kinds)],
-                ["doc_id", "n_bytes", "n_pieces", "n_fallback", "pieces_sha256", "decoded_sha256", "round_trip"],
-            )
-
-    return encoded.mapInArrow(
-        digest,
-        "doc_id long, n_bytes long, n_pieces long, n_fallback long, pieces_sha256 string, decoded_sha256 string, "
-        "round_trip boolean",
-    )
+    found = encode_pieces(docs, model, decoded="decoded")
+    fallback = sorted(transducer(model).byte.values())
+    return found.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.size(F.filter("pieces", lambda x: x.between(fallback[0], fallback[-1]))).cast("long").alias("n_fallback"),
+        F.sha2(F.array_join(F.col("pieces").cast("array<string>"), ",").cast("binary"), 256).alias("pieces_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "▁", " ")).alias("round_trip"),
+    )
 
 
 def op8_token_counts_fst(spark, sf_dir):

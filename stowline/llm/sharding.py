@@ -45,7 +45,8 @@ def kd_shards(points, dims, shards, weight="weight", id="id"):
     state = saved(points.withColumns({w: key(i) for i, w in enumerate(ways)}).withColumn("_node", F.lit(0)), "tree")
     nodes = [(0, shards)]
     while nodes := [(a, n) for a, n in nodes if n > 1]:
-        spread = [(F.max(w) - F.min(w)).alias(w) for w in ways]
+        at = {w: F.shiftright(w, TIE_BITS) for w in ways}
+        spread = [(F.max(at[w]) - F.min(at[w])).alias(w) for w in ways]
         found = {r["_node"]: r for r in state.groupBy("_node").agg(F.sum(weight).alias("all"), *spread).collect()}
         # A node without points needs no split: its leaves stay empty.
         open_ = {}

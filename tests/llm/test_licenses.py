@@ -1,0 +1,90 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from stowline.llm.licenses import TEMPLATES, Automata, scan_licenses
+from stowline.llm.queries import QUERIES
+
+PHRASES = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
+
+
+def _words(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+
+
+def _base(text):
+    w = _words(text)
+    starts, labels = [], set()
+    for label, phrase in PHRASES.items():
+        p = phrase.split()
+        for i in range(len(w) - len(p) + 1):
+            if w[i : i + len(p)] == p:
+                starts.append(i)
+                labels.add(label)
+    return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def test_query_against_all_places(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = QUERIES["op6_license_templates"](spark, folder).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == _base(docs[r.doc_id])
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+    assert sum(r.n_base for r in found) > 20
+
+
+def _pattern(template):
+    """A template as a regular expression over words, each followed by a blank."""
+    out = ""
+    for part in re.findall(r"\[\[|\]\]|\{\{\d+\}\}|[^\s\[\]{}]+", template):
+        if part == "[[":
+            out += "(?:"
+        elif part == "]]":
+            out += ")?"
+        elif part[0] == "{":
+            out += r"(?:\S+ ){0,%s}" % part[2:-2]
+        else:
+            out += re.escape(part) + " "
+    return re.compile(out)
+
+
+@pytest.mark.parametrize("number", range(len(TEMPLATES)))
+def test_templates_as_expressions(number):
+    """Variants of a template: regions left out, filled and broken."""
+    label, kind, template = TEMPLATES[number]
+    automata, pattern = Automata(((label, kind, template),)), _pattern(template)
+    plain = re.sub(r"\[\[|\]\]", "", template)
+    texts = [
+        plain, re.sub(r"\[\[[^\]]*\]\]", "", template), re.sub(r"\{\{\d+\}\}", "one two", plain), re.sub(r"\{\{\d+\}\}", "a b c d e f", plain),
+        re.sub(r"\{\{\d+\}\}", "", plain), " ".join(plain.split()[:-1]), "x " + re.sub(r"\{\{\d+\}\}", "y", plain) + " z", plain.replace("license", "licence"),
+    ]
+    ids = {w.decode(): i for i, w in enumerate(automata.words)}
+    for text in texts:
+        words = re.sub(r"\{\{\d+\}\}", "w", text).split()
+        numbers = [ids.get(w, -2) for w in words]
+        for at in range(len(words)):
+            ends = {end for _, end in automata.matches(numbers, at)}
+            joined = "".join(w + " " for w in words[at:])
+            own = {end for end in range(at + 1, len(words) + 1) if pattern.fullmatch("".join(w + " " for w in words[at:end]))}
+            assert ends == own, (text, joined)
+
+
+def test_odd_rows(spark):
+    mit = next(t for _, k, t in TEMPLATES if t.startswith("permission is hereby")).replace("[[", "").replace("]]", "")
+    rows = [
+        (1, "Licensed under the MIT License."), (2, None), (3, ""), (4, "..."), (5, "mit-license MIT/LICENSE"), (6, "x " * 700_000 + "Apache License"),
+        (7, mit.title()), (8, mit.replace("charge", "costs")), (1, "Licensed under the MIT License."), (None, "éGeneral Public License"),
+        (9, "General General Public License"), (10, "a" * 1_500_000 + " mit license"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("labels", F.lit("mine"))
+    found = scan_licenses(docs).collect()
+    base = [(r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in found]
+    assert base == [_base(t) for _, t in rows]
+    assert [r.labels for r in found] == ["mit", "", "", "", "mit", "apache", "mit", "", "mit", "", "gpl", "mit"]
+    assert found[0].spans[0].label == "mit" and found[0] == found[8]
+    assert found[6].n_base == 0 and found[6].score == 1 and found[1].score == 0
+    assert scan_licenses(docs.where("false")).count() == 0

@@ -1,0 +1,75 @@
+from collections import defaultdict
+
+import pytest
+
+from stowline.llm.mixing import mix_sources, source_targets, word_count
+from stowline.llm.queries import QUERIES
+
+
+def _targets(totals, weights=(5, 2, 1), most=3):
+    """Shares by weight, the excess over a limit shared again until nobody is above."""
+    order = sorted(totals, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % 3] for i, s in enumerate(order)}
+    capped, whole = set(), sum(totals.values())
+    while True:
+        left = whole - sum(most * totals[s] for s in capped)
+        free = [s for s in order if s not in capped]
+        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        above = {s for s in free if share[s] > most * totals[s]}
+        if not above:
+            return {s: share.get(s, most * totals[s]) for s in order}
+        capped |= above
+
+
+@pytest.mark.parametrize(
+    "totals",
+    [{"a": 10, "b": 10, "c": 10, None: 4}, {"a": 1, "b": 1, "c": 1000}, {"é": 5, "z": 7, "Z": 9, "": 3}, {"x": 4}, {"a": 0, "b": 9}],
+)
+def test_targets(spark, totals):
+    table = spark.createDataFrame([(s, n) for s, n in totals.items()], "source string, size long")
+    found = {r.source: r.target for r in source_targets(table).collect()}
+    assert found == pytest.approx(_targets(totals))
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").withColumn("size", word_count("text")).collect()}
+    found = QUERIES["op2_entropy_balanced_mix"](spark, folder).collect()
+    totals, taken = defaultdict(int), defaultdict(int)
+    for r in docs.values():
+        totals[r.source] += r["size"]
+    targets = _targets(totals)
+    assert len(found) == len(docs)
+    for r in found:
+        source = docs[r.doc_id].source
+        assert r["size"] == docs[r.doc_id]["size"] and r.source_size == totals[source]
+        assert r.target == pytest.approx(targets[source])
+        assert r.taken == r.copies * r["size"] and 0 <= r.copies <= 3 and abs(r.copies - r.rate) < 1 + 1e-9
+        taken[source] += r.taken
+    assert all(abs(taken[s] - targets[s]) < 0.01 * targets[s] for s in targets)
+
+
+def test_rates_balance(spark):
+    """Rates are exp(tilt * size / mean), up to 3, and bring each source to its target."""
+    rows = [(i, "ab"[i % 2], 1 + (i * 7919) % 60) for i in range(400)] + [(1000, "c", 3)]
+    sizes = spark.createDataFrame(rows, "id long, source string, size long")
+    found = mix_sources(sizes).collect()
+    again = mix_sources(sizes.repartition(3)).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, again))
+    for source in "ab":
+        own = [r for r in found if r.source == source]
+        assert sum(r.rate * r["size"] for r in own) == pytest.approx(own[0].target, rel=1e-5)
+        assert len({(r["size"], r.rate) for r in own}) == len({r["size"] for r in own})
+
+
+def test_odd_rows(spark):
+    rows = [(1, "hot", 5)] * 3 + [(i, "hot", 5) for i in range(2, 1500)] + [(None, None, 4), (None, None, 0), (7000, "empty", 0), (7001, "z", 1_000_000)]
+    sizes = spark.createDataFrame(rows, "id long, source string, size long")
+    found = mix_sources(sizes).collect()
+    assert len(found) == len(rows) and all(0 <= r.copies <= 3 for r in found)
+    hot = [r for r in found if r.source == "hot"]
+    assert abs(sum(r.copies * r["size"] for r in hot) - hot[0].target) <= 5
+    assert next(r for r in found if r.source is None)["target"] == 12
+    assert mix_sources(sizes.where("false")).count() == 0
+    counted = spark.createDataFrame([("a  b\tc\x0bd",), ("",), (None,), ("  x",)], "t string").select(word_count("t")).collect()
+    assert [r[0] for r in counted] == [4, 0, 0, 1]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stowline.llm.jaccard import jaccard_components
 from stowline.llm.language import detect_languages, fit_languages
 from stowline.llm.mixing import mix_sources, word_count
-from stowline.llm.pieces import decode_pieces, encode_pieces
+from stowline.llm.pieces import encode_pieces
 from stowline.llm.queries import held_out, vocabulary
 from stowline.llm.storage import saved
 from stowline.llm.suffixes import remove_repeats
@@ -66,8 +66,7 @@ def mixed_sources(spark, docs, sf_dir):
 def as_pieces(spark, docs, sf_dir):
     """Documents as SentencePiece ids, with whether they decode to the text again."""
     model = vocabulary(PIECES)
-    encoded = encode_pieces(docs.select("doc_id", "lang", "source", "text"), model)
-    decoded = decode_pieces(encoded, model)
+    decoded = encode_pieces(docs.select("doc_id", "lang", "source", "text"), model, decoded="decoded")
     same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "▁", " ")
     return decoded.select("doc_id", "lang", "source", "pieces", F.size("pieces").alias("n_pieces"), same.alias("round_trip"))
 

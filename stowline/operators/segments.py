@@ -16,7 +16,7 @@ is a chain through the whole group, but only through record sizes. So:
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -353,17 +353,32 @@ def assign_segments(
     return attach_segments(records, starts, bucket_rows, epoch_col)
 
 
+def summarize_segments(
+    records: DataFrame, cap: int = SEGMENT_CAPACITY, prefix: str = "", epoch_col: str | None = None
+) -> DataFrame:
+    """``segment_summary`` of records not packed yet: sizes are taken first, so no payload is shuffled."""
+    keys = group_keys(epoch_col)
+    starts, bucket_rows = segment_starts(records, cap, epoch_col)
+    sized = records.select(*keys, "offset", record_size().alias("_size"))
+    assigned = attach_segments(sized, starts, bucket_rows, epoch_col)
+    return segment_summary(assigned, prefix, epoch_col, F.col("_size"))
+
+
 def segment_summary(
-    assigned: DataFrame, prefix: str = "", epoch_col: str | None = None
+    assigned: DataFrame, prefix: str = "", epoch_col: str | None = None, size: Column | None = None
 ) -> DataFrame:
-    """One row per segment: key, first and last offset, records and bytes; no payload."""
+    """One row per segment: key, first and last offset, records and bytes; no payload.
+
+    ``size`` is the size of a record, by default taken from its columns.
+    """
     keys = group_keys(epoch_col)
+    size = record_size() if size is None else size
     return (
         assigned.groupBy(*keys, "segment_start")
         .agg(
             F.max("offset").alias("end_offset"),
             F.count("*").alias("record_count"),
-            (F.sum(record_size()) + SEGMENT_OVERHEAD).alias("byte_length"),
+            (F.sum(size) + SEGMENT_OVERHEAD).alias("byte_length"),
         )
         .select(
             object_key(

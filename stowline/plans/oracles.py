@@ -100,7 +100,9 @@ _TARGETS = """CASE column_type
   WHEN 'DOUBLE' THEN 'FLOAT64' WHEN 'FLOAT' THEN 'FLOAT32' WHEN 'BOOLEAN' THEN 'BOOLEAN'
   WHEN 'TIMESTAMP' THEN 'INT64' WHEN 'DATE' THEN 'INT32' WHEN 'FLOAT[]' THEN 'STRUCT' END"""
 
-_NAMES = " UNION ALL ".join(f"SELECT '{t}' AS name" for t in _TABLES)
+_TEXT_FILES = """
+        SELECT lang || '/' || (doc_id // DOCS) AS name, CAST(sum(strlen(text) + 1) AS BIGINT) AS length
+        FROM documents GROUP BY 1"""
 
 _ORDER_KEY = """'archive/2024/' || o_orderpriority || '/' || (o_custkey % 16) || '/'
        || printf('%019d', o_orderkey) || '-' || printf('%019d', o_orderkey + o_custkey)"""
@@ -160,7 +162,7 @@ ORACLES = {
         ORDER BY topic, "partition", key""",
     "oversized_records": """
         SELECT lang AS topic, doc_id AS "offset", CAST(28 + strlen(text) AS BIGINT) AS size
-        FROM documents WHERE 28 + strlen(text) + 4 > 65536""",
+        FROM documents WHERE 28 + strlen(text) + 4 > 8192""",
     "out_of_order": """
         WITH arrived AS (
           SELECT o_orderpriority AS topic, CAST(o_custkey % 4 AS INTEGER) AS "partition",
@@ -170,9 +172,9 @@ ORACLES = {
           FROM orders)
         SELECT * FROM arrived WHERE previous_offset >= "offset" """,
     "dedupe_records": f"WITH {_REC} SELECT {_SHOWN} FROM rec",
-    "list_files": _NAMES,
+    "list_files": _TEXT_FILES.replace("DOCS", str(DOCS_PER_FILE)),
     "regular_files": "SELECT page_id, url AS path FROM pages WHERE url NOT LIKE '%/'",
-    "discover_new_files": _NAMES,
+    "discover_new_files": _TEXT_FILES.replace("DOCS", str(DOCS_PER_FILE)),
     "plan_extents": f"""WITH {_FILES},
         begun AS (SELECT path, length, unnest(range(0, length, 1000)) AS start FROM files)
         SELECT path, start, least(1000, length - start) AS size FROM begun""",

@@ -172,8 +172,7 @@ def assign_segments_by_epoch(spark, folder):
 
 
 def segment_summary(spark, folder):
-    assigned = segments.assign_segments(_records(spark, folder), CAP)
-    return segments.segment_summary(assigned, "archive")
+    return segments.summarize_segments(_records(spark, folder), CAP, "archive")
 
 
 def assemble_segments(spark, folder):
@@ -224,7 +223,7 @@ def oversized_records(spark, folder):
         F.encode("text", "UTF-8").alias("value"),
         F.lit(None).cast(codec.HEADERS_TYPE).alias("headers"),
     )
-    return segments.oversized_records(docs, 65536).select("topic", "offset", "size")
+    return segments.oversized_records(docs, 8192).select("topic", "offset", "size")
 
 
 def out_of_order(spark, folder):
@@ -271,12 +270,20 @@ def _offsets(spark, folder):
     )
 
 
-def list_files_of_folder(spark, folder):
-    return list_files(spark, folder).select(
-        F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("name")
+def _named_sizes(found):
+    """Each file's folders, which are its language and run of ids, and its length."""
+    return found.select(
+        F.regexp_replace(F.regexp_extract("path", r"/(lang=[^/]+/chunk=\d+)/[^/]+$", 1), "[a-z]+=", "").alias("name"),
+        "length",
     )
 
 
+def list_files_of_folder(spark, folder):
+    """The documents as text files, with their lengths."""
+    found = list_files(spark, _text_files(spark, folder), recursive=True)
+    return _named_sizes(found).groupBy("name").agg(F.sum("length").alias("length"))
+
+
 def regular_files(spark, folder):
     """Pages whose address is no folder."""
     return listing.regular_files(
@@ -285,8 +292,9 @@ def regular_files(spark, folder):
 
 
 def discover_files(spark, folder):
-    found = discover_new_files(spark, folder, max_files_per_trigger=4)
-    return _to_table(found.select(F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("name")))
+    texts = _text_files(spark, folder)
+    found = discover_new_files(spark, texts, max_files_per_trigger=4, recursive=True)
+    return _to_table(_named_sizes(found)).groupBy("name").agg(F.sum("length").alias("length"))
 
 
 def plan_extents(spark, folder):

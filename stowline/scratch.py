@@ -19,9 +19,17 @@ def _local_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The cluster's ``spark.checkpoint.dir``; a local one where that is unset and all runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _local_folder()
+    folder = folder or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return folder or unshared_folder(spark.sparkContext.master)
+
+
+def unshared_folder(master: str) -> str:
+    """A temporary folder of this machine, for masters that run everything on it."""
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a shared folder: the master is {master}")
+    return _local_folder()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

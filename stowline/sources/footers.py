@@ -1,6 +1,5 @@
 """Schemas and row counts from Parquet footers."""
 
-import re
 from dataclasses import dataclass, field
 
 import pyarrow.parquet as pq
@@ -20,12 +19,6 @@ TARGET_TYPES = {
     "fixed_len_byte_array": "BYTES",
 }
 
-_LINE = re.compile(
-    r"^ *(required|optional|repeated) (\w+)(?:\((\d+)\))? field_id=-?\d+ (.*?)"
-    r"(?: \(([A-Z][A-Za-z0-9]*(?:\(.*\))?)\))?(;| \{)$"
-)
-
-
 @dataclass
 class Field:
     """One node of a Parquet schema; a group has children and no physical type."""
@@ -65,22 +58,114 @@ def open_footer(uri: str) -> pq.ParquetFile:
     return pq.ParquetFile(system.open_input_file(path))
 
 
-def message_of(file: pq.ParquetFile) -> Field:
-    """The schema tree of an open file."""
-    stack: list[Field] = []
-    for line in str(file.schema).splitlines():
-        if line.strip() == "}":
-            node = stack.pop()
-            if not stack:
-                return node
-            continue
-        match = _LINE.match(line)
-        if not match:
-            continue
-        repetition, kind, _, name, logical, closing = match.groups()
-        node = Field(name, repetition, None if kind == "group" else kind, logical)
-        if stack:
-            stack[-1].children.append(node)
-        if closing == " {":
-            stack.append(node)
-    raise ValueError("footer without a schema")
+# Names of the stored types and repetitions by number in the footer's schema
+# list, and of the annotations of groups, older and newer.
+_PHYSICAL = ("boolean", "int32", "int64", "int96", "float", "double", "binary", "fixed_len_byte_array")
+_REPETITION = ("required", "optional", "repeated")
+_CONVERTED = {1: "Map", 2: "Map", 3: "List"}
+_LOGICAL = {2: "Map", 3: "List"}
+
+
+class _Compact:
+    """Reads values of the footer's compact encoding: structs as {field number: value}."""
+
+    def __init__(self, data: bytes):
+        self.data, self.at = data, 0
+
+    def _number(self, signed: bool) -> int:
+        value = shift = 0
+        while True:
+            byte = self.data[self.at]
+            self.at += 1
+            value |= (byte & 0x7F) << shift
+            shift += 7
+            if byte < 0x80:
+                return (value >> 1) ^ -(value & 1) if signed else value
+
+    def value(self, kind: int):
+        if kind in (1, 2):
+            return kind == 1
+        if kind == 3:
+            self.at += 1
+            return self.data[self.at - 1]
+        if kind in (4, 5, 6):
+            return self._number(True)
+        if kind in (7, 8):
+            size = 8 if kind == 7 else self._number(False)
+            self.at += size
+            return self.data[self.at - size : self.at]
+        if kind in (9, 10):
+            head = self.data[self.at]
+            self.at += 1
+            count = head >> 4 if head >> 4 < 15 else self._number(False)
+            item = head & 15
+            if item in (1, 2):
+                self.at += count
+                return list(self.data[self.at - count : self.at])
+            return [self.value(item) for _ in range(count)]
+        if kind == 12:
+            return self.struct()
+        raise ValueError(f"footer with an unknown kind of value: {kind}")
+
+    def struct(self, last: int | None = None) -> dict:
+        """Fields up to the end, or up to field ``last``."""
+        found, number = {}, 0
+        while self.data[self.at]:
+            head = self.data[self.at]
+            self.at += 1
+            number = number + (head >> 4) if head >> 4 else self._number(True)
+            found[number] = self.value(head & 15)
+            if number == last:
+                return found
+        self.at += 1
+        return found
+
+
+def message_of(file: pq.ParquetFile, footer: bytes) -> Field:
+    """The schema tree of an open file, from the elements its footer lists."""
+    elements = iter(_Compact(footer).struct(last=2)[2])
+    columns = (file.schema.column(i) for i in range(len(file.schema)))
+
+    def node() -> Field:
+        own = next(elements)
+        name = own[4].decode("utf-8")
+        repetition = _REPETITION[own.get(3, 0)]
+        if 5 not in own and 1 in own:
+            logical = str(next(columns).logical_type)
+            return Field(name, repetition, _PHYSICAL[own[1]], None if logical == "None" else logical)
+        logical = next((v for k, v in _LOGICAL.items() if k in own.get(10, {})), _CONVERTED.get(own.get(6)))
+        return Field(name, repetition, None, logical, [node() for _ in range(own.get(5, 0))])
+
+    return node()
+
+
+def read_message(uri: str) -> Field:
+    """The schema tree of a file."""
+    system, path = locate(uri)
+    with system.open_input_file(path) as data:
+        size = data.size()
+        if size < 12:
+            raise ValueError(f"no Parquet file: {uri}")
+        data.seek(size - 8)
+        length = int.from_bytes(data.read(4), "little")
+        if data.read(4) != b"PAR1" or length > size - 12:
+            raise ValueError(f"no Parquet file: {uri}")
+        data.seek(size - 8 - length)
+        footer = data.read(length)
+        data.seek(0)
+        return message_of(pq.ParquetFile(data), footer)
+
+
+def merged(one: Field, other: Field, where: tuple[str, str], path: tuple = ()) -> Field:
+    """A schema that holds the fields of both, by name; ``where`` names the files of each."""
+    if (one.physical, one.logical, one.repeated) != (other.physical, other.logical, other.repeated):
+        shown = [f"{f.repetition} {f.physical or 'group'} {f.logical or ''}".strip() for f in (one, other)]
+        raise ValueError(f"column {'.'.join(path)} is {shown[0]} in {where[0]} and {shown[1]} in {where[1]}")
+    rest = {c.name: c for c in other.children}
+    children = [
+        merged(c, rest.pop(c.name), where, (*path, c.name)) if c.name in rest else c for c in one.children
+    ]
+    strict = one.repetition == other.repetition
+    return Field(
+        one.name, one.repetition if strict else "optional", one.physical, one.logical, children + list(rest.values())
+    )

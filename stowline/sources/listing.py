@@ -5,7 +5,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stowline.sources.storage import is_file, qualify
+from pyarrow import fs
+
+from stowline.sources.storage import is_file, locate, qualify
 
 
 SCHEMA = "path string, length long, modificationTime timestamp"
@@ -20,7 +22,8 @@ def list_files(
     """Regular files under a path: ``path``, ``length``, ``modificationTime``; no content is read.
 
     One level deep, or all levels with ``recursive``, which patterns like ``a/*/b``
-    need. Names starting with ``_`` or ``.`` are hidden, as in every Spark file source.
+    need. Names starting with ``_`` or ``.`` are hidden, as in every Spark file source,
+    unless a list names them.
     With ``ignore_missing`` names of a list that are not there, and files that vanish
     before they are looked at, are left out.
     """
@@ -28,6 +31,13 @@ def list_files(
         path = [p for p in path if is_file(qualify(spark, p))]
         if not path:
             return spark.createDataFrame([], SCHEMA)
+    hidden = []
+    if isinstance(path, list):
+        hidden = [p for p in path if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
+        path = [p for p in path if p not in hidden]
+    named = _named_files(spark, hidden, ignore_missing)
+    if hidden and not path:
+        return named
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -37,7 +47,21 @@ def list_files(
     )
     if not recursive:
         found = found.where(one_level(spark, path if isinstance(path, list) else [path]))
-    return regular_files(found)
+    return regular_files(found).union(named) if hidden else regular_files(found)
+
+
+def _named_files(spark: SparkSession, paths: list[str], ignore_missing: bool) -> DataFrame:
+    """Inventory rows of single files, looked up by name."""
+    rows = []
+    for path in paths:
+        uri = re.sub("^file:/+", "file:/", qualify(spark, path))
+        system, inner = locate(uri)
+        info = system.get_file_info(inner)
+        if info.type == fs.FileType.File:
+            rows.append((uri, info.size, info.mtime))
+        elif not ignore_missing:
+            raise FileNotFoundError(uri)
+    return spark.createDataFrame(rows, SCHEMA)
 
 
 def one_level(spark: SparkSession, paths: list[str]) -> Column:

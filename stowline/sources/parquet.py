@@ -1,7 +1,9 @@
 """Parquet files by their physical types: annotations other than text are ignored."""
 
+import json
+import logging
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stowline.functions.physical import int96_bytes, physical_list, physical_map
-from stowline.sources.footers import Field, message_of, open_footer
+from stowline.sources.footers import Field, merged, open_footer, read_message
 from stowline.sources.listing import list_files
 from stowline.sources.storage import check_on_error
 
@@ -25,6 +27,11 @@ SPARK_TYPES = {
     "fixed_len_byte_array": T.BinaryType(),
 }
 
+# Spark's file streams pass over files older than this behind the newest; none is that old
+OLDEST_FILE = "36500d"
+
+log = logging.getLogger(__name__)
+
 # above this many files, row counts are joined by a shuffle instead of a broadcast
 BROADCAST_FILES = 50_000
 
@@ -123,16 +130,50 @@ def _map(entry: Field) -> View:
     )
 
 
-def _any_file(spark: SparkSession, path: str | list[str]) -> str:
-    row = list_files(spark, path, recursive=True).where(F.col("length") > 0).first()
-    if row is None:
+def _messages(on_error: str):
+    """Arrow function from paths to the schema trees of the files."""
+
+    def read(batches):
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                try:
+                    found.append((path, json.dumps(asdict(read_message(path)))))
+                except (OSError, ValueError):
+                    if on_error == "fail":
+                        raise
+                    log.exception("skipped %s", path)
+            columns = [pa.array(c, pa.string()) for c in (zip(*found) if found else ((), ()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "message"])
+
+    return read
+
+
+def _tree(node: dict) -> Field:
+    return Field(**{**node, "children": [_tree(c) for c in node["children"]]})
+
+
+def _message(
+    spark: SparkSession, path: str | list[str], recursive: bool = True, on_error: str = "fail"
+) -> Field:
+    """One schema for all files: footers are read by tasks, distinct schemas are merged."""
+    files = list_files(spark, path, recursive).where(F.col("length") > 0).select("path")
+    kinds = (
+        _spread(files)
+        .mapInArrow(_messages(check_on_error(on_error)), "path string, message string")
+        .groupBy("message")
+        .agg(F.min("path").alias("path"))
+        .orderBy("path")
+        .collect()
+    )
+    if not kinds:
         raise ValueError(f"no file under {path}")
-    return row["path"]
-
-
-def _message(spark: SparkSession, path: str | list[str]) -> Field:
-    with open_footer(_any_file(spark, path)) as file:
-        return message_of(file)
+    whole, first = _tree(json.loads(kinds[0]["message"])), kinds[0]["path"]
+    for kind in kinds[1:]:
+        other = _tree(json.loads(kind["message"]))
+        other.name = whole.name
+        whole = merged(whole, other, (first, kind["path"]))
+    return whole
 
 
 def _quoted(name: str) -> Column:
@@ -140,7 +181,7 @@ def _quoted(name: str) -> Column:
 
 
 def physical_schema(spark: SparkSession, path: str | list[str]) -> T.StructType:
-    """Schema to read the files with, from one footer."""
+    """Schema to read the files with, holding the columns of all of them."""
     return _struct(_message(spark, path)).type
 
 
@@ -161,17 +202,19 @@ def scan_parquet_physical(
     path: str | list[str],
     with_file: bool = False,
     on_error: str = "fail",
+    recursive: bool = True,
 ) -> DataFrame:
     """Rows by physical type; lists and maps keep their groups, INT96 its 12 bytes.
 
+    The schema holds the columns of all files, null where a file lacks one; files whose
+    columns differ in type fail. Folders are read to all levels unless ``recursive`` is off.
     ``with_file`` adds ``filename`` and ``row_index``. ``on_error="skip"`` passes over
     files that are corrupt or gone. INT96 needs the UTC session time
     zone and ``spark.sql.parquet.int96RebaseModeInRead=CORRECTED``.
     """
-    message = _message(spark, path)
-    rows = _skipping(spark.read.schema(_struct(message).type), on_error).parquet(
-        *(path if isinstance(path, list) else [path])
-    )
+    message = _message(spark, path, recursive, on_error)
+    reader = spark.read.option("recursiveFileLookup", recursive).schema(_struct(message).type)
+    rows = _skipping(reader, on_error).parquet(*(path if isinstance(path, list) else [path]))
     return _physical(rows, message, *(_file_columns() if with_file else []))
 
 
@@ -190,15 +233,42 @@ def stream_parquet(
     max_files_per_trigger: int | None = None,
     with_file: bool = False,
     on_error: str = "fail",
+    recursive: bool = True,
+    with_progress: bool = False,
 ) -> DataFrame:
-    """Stream of the rows of Parquet files as they appear; the schema is that of a present file."""
-    message = _message(spark, directory)
+    """Stream of the rows of Parquet files as they appear; the schema is that of all present files.
+
+    A file is taken once, whatever its age. ``with_progress`` adds ``filename`` and
+    ``progress``, exactly 1.0 on a file's last row; tasks take the row counts from the footers.
+    """
+    message = _message(spark, directory, recursive, on_error)
     reader = _skipping(spark.readStream.schema(_struct(message).type), on_error)
+    reader = reader.option("recursiveFileLookup", recursive).option("maxFileAge", OLDEST_FILE)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _physical(
-        reader.parquet(directory), message, *(_file_columns() if with_file else [])
-    )
+    rows = reader.parquet(directory)
+    if with_progress:
+        return _with_progress(_physical(rows, message, *_file_columns()), keep_index=with_file)
+    return _physical(rows, message, *(_file_columns() if with_file else []))
+
+
+def _with_progress(rows: DataFrame, keep_index: bool) -> DataFrame:
+    """Rows with ``progress``, from ``row_index`` and the row counts in the footers."""
+
+    def add(batches):
+        counts = {}
+        for batch in batches:
+            names = batch.column("filename").to_pylist()
+            for name in set(names) - counts.keys():
+                with open_footer(name) as file:
+                    counts[name] = file.metadata.num_rows
+            index = batch.column("row_index").to_pylist()
+            progress = pa.array([(i + 1) / counts[n] for i, n in zip(index, names)], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, progress], [*batch.schema.names, "progress"])
+
+    shape = T.StructType([*rows.schema.fields, T.StructField("progress", T.DoubleType())])
+    found = rows.mapInArrow(add, shape)
+    return found if keep_index else found.drop("row_index")
 
 
 _INVENTORY = (
@@ -210,8 +280,7 @@ _INVENTORY = (
 def _read_footers(batches):
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            with open_footer(path) as file:
-                fields = list(message_of(file).walk())
+            fields = list(read_message(path).walk())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([path] * len(fields), pa.string()),
@@ -254,9 +323,9 @@ def _count_rows(batches):
         )
 
 
-def row_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def row_counts(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
     """Rows of each file, from its footer: ``path``, ``rows``."""
-    files = list_files(spark, path, recursive=True).select("path")
+    files = list_files(spark, path, recursive).select("path")
     return _spread(files).mapInArrow(_count_rows, "path string, rows long")
 
 
@@ -272,8 +341,9 @@ def parquet_progress(
     counts = row_counts(spark, path).withColumnRenamed("path", "filename")
     if list_files(spark, path, recursive=True).count() <= broadcast_files:
         counts = F.broadcast(counts)
+    unknown = F.raise_error(F.concat(F.lit("no row count for "), "filename")).cast("long")
     return (
         rows.join(counts, "filename", "left")
-        .withColumn("progress", (F.col("row_index") + 1) / F.col("rows"))
+        .withColumn("progress", (F.col("row_index") + 1) / F.coalesce("rows", unknown))
         .drop("rows")
     )

@@ -137,3 +137,36 @@ def test_each_new_file_is_reported_once(spark, tmp_path):
     (tmp_path / "in/k=1").mkdir()
     (tmp_path / "in/k=1/deeper").write_text("4")
     assert run() == ["a", "b", "c"]
+
+
+def test_an_old_file_is_reported(spark, tmp_path):
+    import os
+    import time
+
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    os.mkdir(folder)
+
+    def found():
+        query = (
+            discover_new_files(spark, folder).writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", state).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return sorted(r.path.rsplit("/", 1)[1] for r in spark.read.parquet(out).collect())
+
+    (tmp_path / "in" / "a").write_text("a")
+    assert found() == ["a"]
+    (tmp_path / "in" / "old").write_text("b")
+    past = time.time() - 30 * 86400
+    os.utime(tmp_path / "in" / "old", (past, past))
+    (tmp_path / "in" / "new").write_text("c")
+    assert found() == ["a", "new", "old"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from stowline.scratch import unshared_folder
+
+    assert unshared_folder("local[4]") == unshared_folder("local")
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            unshared_folder(master)

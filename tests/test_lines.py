@@ -238,3 +238,46 @@ def test_tail_with_a_byte_limit(spark, tmp_path):
         steps.append(reader.latestOffset())
         reader.partitions(steps[-2], steps[-1])
     assert [s.get(path, 0) for s in steps] == [0, 6, 16, 21, 52, 52]
+
+
+def test_tail_limit_takes_turns(tmp_path):
+    from stowline.streaming.line_source import GrowingLinesReader
+
+    busy, quiet = str(tmp_path / "a"), str(tmp_path / "b")
+    append(tmp_path / "a", b"1\n")
+    append(tmp_path / "b", b"1\n")
+    reader = GrowingLinesReader({"files": f'["{busy}", "{quiet}"]', "maxbytes": "8"})
+    at = reader.latestOffset()
+    append(tmp_path / "b", b"22\n33\n")
+    for _ in range(4):
+        append(tmp_path / "a", b"0123456\n" * 2)
+        before, at = at, reader.latestOffset()
+        reader.partitions(before, at)
+    assert at[quiet] == 8 and at[busy] > 2
+
+
+def test_tail_never_passes_over_a_planned_range(tmp_path):
+    import os
+
+    from stowline.streaming.line_source import GrowingLinesReader
+
+    path = tmp_path / "f"
+    append(path, b"one\ntwo\n")
+    reader = GrowingLinesReader({"files": f'["{path}"]', "onerror": "skip"})
+    (ranges,) = reader.partitions({}, reader.latestOffset())
+    os.rename(path, tmp_path / "away")
+    with pytest.raises(OSError):
+        list(reader.read(ranges))
+    os.rename(tmp_path / "away", path)
+    assert sum(len(b) for b in reader.read(ranges)) == 2
+
+
+def test_a_named_hidden_file_is_read(spark, tmp_path):
+    append(tmp_path / "_a.txt", b"x\n")
+    append(tmp_path / "b.txt", b"y\n")
+    names = [str(tmp_path / "_a.txt"), str(tmp_path / "b.txt")]
+    assert sorted(r.line for r in scan_lines(spark, files=names).collect()) == ["x", "y"]
+    assert scan_lines(spark, files=names[:1]).count() == 1
+    with pytest.raises(FileNotFoundError):
+        scan_lines(spark, files=[str(tmp_path / ".none")])
+    assert scan_lines(spark, files=[str(tmp_path / ".none"), names[1]], on_error="skip").count() == 1

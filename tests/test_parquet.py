@@ -244,3 +244,67 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert run() == [(1, 1, 0), (2, 2, 1), (3, 3, 0)]
     put("c", [4])
     assert run() == [(1, 1, 0), (2, 2, 1), (3, 3, 0), (4, 4, 0)]
+
+
+def _written(path, **columns):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path.parent.mkdir(parents=True, exist_ok=True)
+    pq.write_table(pa.table(columns), path)
+
+
+def test_names_with_any_character(spark, tmp_path):
+    names = ["total (USD)", "a;b", "x {", "opt int (String)", "dot.ted", "plain"]
+    _written(tmp_path / "a.parquet", **{n: [i, None] for i, n in enumerate(names)})
+    rows = scan_parquet_physical(spark, str(tmp_path)).collect()
+    assert [r.asDict() for r in rows] == [dict(zip(names, range(6))), dict.fromkeys(names)]
+    assert {r.column_path for r in schema_inventory(spark, str(tmp_path)).collect()} == set(names)
+
+
+def test_columns_of_all_files(spark, tmp_path):
+    _written(tmp_path / "a.parquet", id=[1])
+    _written(tmp_path / "sub" / "b.parquet", id=[2], extra=["x"], more=[[1, 2]])
+    _written(tmp_path / "sub" / "deep" / "c.parquet", more=[[3]], id=[3])
+    rows = scan_parquet_physical(spark, str(tmp_path))
+    assert rows.columns == ["id", "extra", "more"]
+    found = sorted((r.id, r.extra, r.more and [e.element for e in r.more.list]) for r in rows.collect())
+    assert found == [(1, None, None), (2, "x", [1, 2]), (3, None, [3])]
+    assert scan_parquet_physical(spark, str(tmp_path), recursive=False).columns == ["id"]
+    assert {r.progress for r in parquet_progress(spark, str(tmp_path)).collect()} == {1.0}
+
+
+def test_nested_folder_only(spark, tmp_path):
+    _written(tmp_path / "sub" / "b.parquet", id=[1, 2])
+    assert scan_parquet_physical(spark, str(tmp_path)).count() == 2
+
+
+def test_conflicting_types_fail(spark, tmp_path):
+    _written(tmp_path / "a.parquet", id=[1])
+    _written(tmp_path / "b.parquet", id=["1"])
+    with pytest.raises(ValueError, match="column id is .*a.parquet.*b.parquet"):
+        scan_parquet_physical(spark, str(tmp_path))
+
+
+def test_stream_takes_old_files_with_progress(spark, tmp_path):
+    import os
+    import time
+
+    folder = tmp_path / "in"
+    _written(folder / "new.parquet", id=[1, 2])
+
+    def run():
+        stream = stream_parquet(spark, str(folder), with_progress=True)
+        query = (
+            stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return sorted((r.id, r.progress) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert run() == [(1, 0.5), (2, 1.0)]
+    _written(folder / "old.parquet", id=[3])
+    past = time.time() - 30 * 86400
+    os.utime(folder / "old.parquet", (past, past))
+    _written(folder / "newer.parquet", id=[4])
+    assert run() == [(1, 0.5), (2, 1.0), (3, 1.0), (4, 1.0)]

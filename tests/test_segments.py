@@ -249,3 +249,18 @@ def test_restore_order(make_records):
     rows = [("t", 0, o, 0, b"", b"", []) for o in (5, 50, 500, 9)]
     packed = segment_summary(assign_segments(make_records(rows), cap=32))
     assert [r.start_offset for r in restore_order(packed).collect()] == [5, 9, 50, 500]
+
+
+def test_summary_shuffles_no_payload(spark, make_records):
+    from stowline.operators import segments
+
+    rows = [("t", 0, i, i, b"k", b"v" * (i % 7), []) for i in range(500)]
+    records = make_records(rows)
+    made = segments.summarize_segments(records, 400)
+    wanted = segments.segment_summary(segments.assign_segments(records, 400))
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, wanted.collect()))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    below = re.findall(r"Exchange[^\n]*\n[^\n]*", plan)
+    assert below and not [e for e in below if re.search(r"[\[,] ?(value|headers)#\d+[,\]]", e)]

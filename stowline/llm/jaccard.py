@@ -15,7 +15,7 @@ FREQUENT_SHARE = 0.001
 LEAST_REPORTED = 4
 #: Shared tokens that open a group, at least and as a part of a set: prefixes are long enough
 #: for any linked pair to have them.
-SHARED, SHARED_PART = 3, 20
+SHARED, SHARED_PART = 3, 10
 #: Tokens that a block of a group may hold together.
 BLOCK_TOKENS = 1 << 20
 SLICE_BYTES = 1 << 21
@@ -73,7 +73,7 @@ def needed(n, percent):
 def shared_tokens(n, percent):
     """First tokens that a set of n shares with a linked, different set of as many or more.
 
-    A twentieth of the set, so that a passage in common opens nothing; at least SHARED, fewer
+    A tenth of the set, so that a passage in common opens nothing; at least SHARED, fewer
     if such small sets can link. ``n`` is an array or a column of numbers.
     """
     smallest = -(-percent // (100 - percent)) if percent < 100 else SHARED
@@ -239,10 +239,10 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     named = saved(
         sets.where("n > 0").select("id", "n", "k1", "k2").join(classes, ["k1", "k2"]).select("id", "n", "rep"), "classes"
     )
-    reps = sets.where(F.size("tokens") > 0).join(classes.select("k1", "k2", F.col("rep").alias("id")), ["k1", "k2", "id"])
-    rows = reps.dropDuplicates(["id", "k1"]).select(
-        F.explode("tokens").alias("token"), "id", "n", "gid"
-    )
+    able = sets.where(F.size("tokens") > 0)
+    names = classes.select("k1", "k2", F.col("rep").alias("id"))
+    reps = able.select("id", "n", "k1", "k2", "tokens").join(names, ["k1", "k2", "id"]).dropDuplicates(["id", "k1"])
+    rows = reps.select(F.explode("tokens").alias("token"), "id", "n")
     # Only tokens of several classes matter; one shuffle finds them and brings their rows.
     token = Window.partitionBy("token")
     both = rows.withColumn("least", F.min("id").over(token)).withColumn("most", F.max("id").over(token))
@@ -250,7 +250,9 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     # A linked set has at least that percentage of the tokens, and shares what that size calls for.
     enough = shared_tokens(F.floor((F.col("n") * percent + 99) / 100), percent)
     own = Window.partitionBy("id")
-    rows = saved(rows.withColumn("several", F.count("*").over(own)).where(F.col("several") >= enough).drop("several"), "common")
+    rows = rows.withColumn("several", F.count("*").over(own)).where(F.col("several") >= enough).drop("several")
+    gids = able.select("id", "k1", "k2", "gid").join(names, ["k1", "k2", "id"]).select("id", "gid").distinct()
+    rows = saved(rows.join(gids, "id"), "common")
     matrix = saved(rows.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high")), "matrix")
     near = (F.col("a.high") * 100 >= F.col("b.low") * percent) & (F.col("b.high") * 100 >= F.col("a.low") * percent)
     smallest = F.greatest(F.min("a.low"), F.min("b.low"))

@@ -223,6 +223,12 @@ ORACLES = {
         SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS idx,
                CAST(unnest(embedding) AS DOUBLE) AS element
         FROM embeddings""",
+    "scan_parquet_merged": """
+        SELECT event_id, CASE WHEN event_id % 2 = 1 THEN user_id END AS user_id,
+               CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type,
+               CASE WHEN event_id % 2 = 0 THEN value END AS value,
+               CASE WHEN event_id % 2 = 0 THEN props END AS props
+        FROM events""",
     "scan_timestamps_physical": """
         SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM events""",
     "stream_parquet": """

@@ -464,6 +464,17 @@ def scan_parquet_physical(spark, folder):
     ).select("vec_id", "label", "idx", F.col("e.element").cast("double").alias("element"))
 
 
+def scan_parquet_merged(spark, folder):
+    """Events in files of differing columns, some in a nested folder, read as one table."""
+    events, out = _table(spark, folder, "events"), new_folder(spark, "merged")
+    odd = F.col("event_id") % 2 == 1
+    events.where(odd).select("event_id", "user_id", "event_type").write.parquet(f"{out}/odd")
+    events.where(~odd).select("value", "event_id", "props").write.parquet(f"{out}/even/deep")
+    return parquet.scan_parquet_physical(spark, out).select(
+        "event_id", "user_id", "event_type", "value", "props"
+    )
+
+
 def scan_timestamps_physical(spark, folder):
     """Timestamps as the stored numbers."""
     return parquet.scan_parquet_physical(spark, f"{folder}/events.parquet")
@@ -601,6 +612,7 @@ QUERIES = {
     "to_kafka_rows": to_kafka_rows,
     "schema_inventory": schema_inventory,
     "scan_parquet_physical": scan_parquet_physical,
+    "scan_parquet_merged": scan_parquet_merged,
     "scan_timestamps_physical": scan_timestamps_physical,
     "stream_parquet": stream_parquet,
     "parquet_progress": parquet_progress,

@@ -19,7 +19,7 @@ STATES, CLASSES = 7, 11
 #: Output of a step: a token starts at this character, or started at the one before.
 STARTS, STARTED = 1, 2
 #: White space as Unicode's property has it.
-SPACES = "\t\n\v\f\r \x85\xa0                　"
+SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 MARKER = "\ud800"
 CHUNK = 64
 SLICE_CHARS = 1 << 20
@@ -235,8 +235,8 @@ class Counter:
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
-            if "İ" in text:
-                text = text.replace("İ", "i̇")
+            if "\u0130" in text:
+                text = text.replace("\u0130", "i\u0307")
         return text
 
     def count(self, texts):

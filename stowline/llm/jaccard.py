@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stowline.llm.components import components, joined
 from stowline.llm.storage import SMALL_ROWS, saved
-from stowline.llm.texts import BLANK, SMALL, Rolling, find_words, mixed, slices, utf8
+from stowline.llm.texts import BLANK, SMALL, Rolling, find_words, give_back, mixed, slices, utf8
 
 #: Tokens in this share of all documents come last in the order of tokens.
 FREQUENT_SHARE = 0.001
@@ -96,6 +96,7 @@ def _frequent(docs, text, width):
                      pa.array(np.append(np.zeros(many.sum(), np.int64), last - first))],
                     ["token", "n", "docs"],
                 )
+        give_back()
 
     seen = saved(
         docs.select(text).mapInArrow(report, "token long, n long, docs long").groupBy("token").agg(
@@ -145,6 +146,7 @@ def _prefixes(docs, id, text, width, percent, frequent):
                     [batch.column(0).slice(first, last - first), pa.array(sizes), *map(pa.array, keys), pa.array(least), lists],
                     ["id", "n", "k1", "k2", "gid", "tokens"],
                 )
+        give_back()
 
     return docs.select(F.col(id).cast("long").alias("id"), text).mapInArrow(
         read, "id long, n long, k1 long, k2 long, gid long, tokens array<long>"
@@ -295,6 +297,7 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), pa.array(cells, pa.binary())], ["id", "tokens"]
                 )
+        give_back()
 
     full = texts.mapInArrow(whole, "id long, tokens binary")
 

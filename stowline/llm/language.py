@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from stowline.llm.texts import declared, slices, unused, utf8
+from stowline.llm.texts import declared, give_back, slices, unused, utf8
 
 #: Bytes of labelled text per language that a model learns from, in expectation.
 SAMPLE_BYTES = 400_000
@@ -86,6 +86,7 @@ def _count_grams(order):
                             [pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)],
                             ["lang", "gram", "n"],
                         )
+        give_back()
 
     return count
 
@@ -238,6 +239,8 @@ def detect_languages(docs, model, text="text", keep=None, names=("lang_pred", "s
                 [*map(batch.column, keep), pa.array(found.tolist(), pa.string()), pa.array(score), pa.array(rate, pa.float64())],
                 [*keep, *names],
             )
+            del data, batch
+            give_back()
 
     flagged = rest.withColumn(letters, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     return flagged.mapInArrow(detect, schema)

@@ -5,12 +5,12 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from stowline.llm.texts import declared, kept, utf8
+from stowline.llm.texts import declared, give_back, kept, utf8
 
 SPACE = "▁"
 #: Units in each of two generations, and pairs of pieces, that a worker keeps.
-CACHE_UNITS = 250_000
-CACHE_PAIRS = 500_000
+CACHE_UNITS = 150_000
+CACHE_PAIRS = 300_000
 BATCH_CHARS = 1 << 20
 FAR = float("inf")
 UNIGRAM, BPE = 1, 2
@@ -283,6 +283,8 @@ def encode_pieces(docs, model, text="text", column="pieces", keep=None, decoded=
                     columns.append(pa.array(map(made.decode, ids), pa.string()))
                     names.append(decoded)
                 yield pa.RecordBatch.from_arrays(columns, names)
+            batch = part = columns = ids = values = lists = None
+            give_back()
 
     return docs.mapInArrow(encode, schema)
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from stowline.llm.texts import Rolling, declared, mixed, slices, unused, utf8
+from stowline.llm.texts import Rolling, declared, give_back, mixed, slices, unused, utf8
 
 WIDTH = 50
 #: Bytes of the anchors that route strings to tasks.
@@ -126,6 +126,7 @@ def _list_anchors(id, text, width, buckets):
 
     def listed(key, table):
         keys, several = _Group(table, id, text).keys(width)
+        give_back()
         edges, rows = _by_bucket(keys, buckets), []
         for bucket in np.flatnonzero(np.diff(edges)):
             own = slice(edges[bucket], edges[bucket + 1])
@@ -242,6 +243,8 @@ def _route(id, text, width, key_buckets, buckets):
                     content = rolling.span(rolling.totals(piece), at, at + run + width - 1)
                     held.append((row[some], pos[some], run, anchor[some], content, piece[_ranges(at, run + width - 1)]))
         rows = gather(key[0].as_py(), group.docs, held) if held else []
+        del group, held
+        give_back()
         return _table(rows, [("bucket", pa.int64()), ("grp", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
 
     return route
@@ -455,6 +458,7 @@ def _resolve(width):
                     held.setdefault(bucket, []).append((grp, size, blob))
         for bucket in list(held):
             yield from one_bucket(held.pop(bucket))
+        give_back()
 
     return resolve
 

@@ -1,5 +1,6 @@
 """Texts of an Arrow batch as one byte array, cut into slices of bounded memory."""
 
+import ctypes
 import sys
 import types
 
@@ -22,6 +23,14 @@ def kept(key, make):
     return holder.__dict__[key]
 
 
+def give_back():
+    """Return freed memory to the system: Python workers live on, idle or in other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def declared(field):
     """A column's name and type as text for a schema."""
     return f"`{field.name.replace('`', '``')}` {field.dataType.simpleString()}"

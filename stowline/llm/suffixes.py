@@ -12,7 +12,7 @@ WIDTH = 50
 #: Bytes of the anchors that route strings to tasks.
 GRAM = 16
 #: Text of a group of documents that a task handles together.
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 6 << 20
 #: Bits of an anchor that are compared to find anchors of one document; more only pass in error.
 KEY_BITS = 40
 #: Anchors and text that a bucket holds in the middle, and how many buckets a task takes.
@@ -484,7 +484,7 @@ def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole
     document. ``keep`` names the columns to return, of the rows' own and of kept. With
     ``whole_characters`` a span grows to the characters it cuts, so that kept is UTF-8.
 
-    Documents are dealt into groups of some 12 MB, by one shuffle that three steps read.
+    Documents are dealt into groups of some 6 MB, by one shuffle that three steps read.
     (1) Groups list their anchors (see ``anchored_segments``); an anchor of one document
     alone holds no string of another. (2) The stretches with the other anchors, some of the
     text, go to their anchor's bucket, where the windows are suffix-sorted and windows with

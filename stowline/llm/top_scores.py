@@ -48,6 +48,11 @@ def top_scores(vectors, queries, k=10, id="vec_id", vector="vector", lists=LISTS
     are all returned. Vectors that are null or hold nulls, and those without an id, take no
     part; vectors of different lengths have no score.
 
+    Rows of equal id and vector are one row, in either table: a repeated query is answered
+    once, a repeated candidate takes one rank. Rows of one id with different vectors are
+    rows of their own: such an id has a whole list, ranked from 1, for each of its vectors
+    as a query, and as a candidate may take a rank with each of them.
+
     Rows are in tiles, and per query a tile has a score list for each of ``lists`` stretches
     of dimensions; an entry's score is the sum over the lists. (1) Each tile takes the k best
     of each list, adds these entries up, and sends its k best sums, with each list's lowest
@@ -56,13 +61,17 @@ def top_scores(vectors, queries, k=10, id="vec_id", vector="vector", lists=LISTS
     some list, so tiles collect the entries that do, in any list. (3) These are added up
     exactly, and those below t are dropped; each tile sends its k best, which are ranked.
     """
-    whole = lambda df: df.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("vector")).where(
-        usable(F.col("vector")) & F.col("id").isNotNull()
-    )
-    tiled, tiles = with_tiles(whole(vectors), "id", "vector", TILE_ROWS)
+
+    def distinct(df, name):
+        """Usable rows, equal ones once, each with a key of its own (fixed once written)."""
+        rows = df.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("vector"))
+        rows = rows.where(usable(F.col("vector")) & F.col("id").isNotNull()).dropDuplicates(["id", "vector"])
+        return saved(rows.withColumn("key", F.monotonically_increasing_id()), name)
+
+    tiled, tiles = with_tiles(distinct(vectors, "rows"), "key", "vector", TILE_ROWS)
     stored = saved(packed(tiled, ["id"], "vector", np.int64), "tiles")
-    asked, blocks = with_tiles(whole(queries), "id", "vector", QUERY_ROWS)
-    asked = saved(asked.withColumnRenamed("tile", "block"), "queries")
+    asked, blocks = with_tiles(distinct(queries, "queries"), "key", "vector", QUERY_ROWS)
+    asked = asked.withColumnRenamed("tile", "block")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     floors = [f"f{i}" for i in range(lists)]
 
@@ -93,30 +102,30 @@ def top_scores(vectors, queries, k=10, id="vec_id", vector="vector", lists=LISTS
     def first(key, table):
         found, rows = sides(key, table), []
         if found:
-            _, asks, left, ids, right = found
-            for ask, own in zip(asks.tolist(), _lists(left, right, lists)):
+            block, asks, left, ids, right = found
+            for query, ask, own in zip(longs(block["key"]).tolist(), asks.tolist(), _lists(left, right, lists)):
                 places = np.unique(np.concatenate([_best(p, ids, k + 1) for p in own]))
                 places = places[ids[places] != ask]
                 sums = sum(p[places] for p in own)
                 low = [int(p.min()) for p in own]
                 best = _best(sums, ids[places], k)
-                rows += [(ask, int(ids[places[i]]), int(sums[i]), *low) for i in best] or [(ask, None, None, *low)]
+                rows += [(query, int(ids[places[i]]), int(sums[i]), *low) for i in best] or [(query, None, None, *low)]
         return result(rows, first_names)
 
-    sent = saved(met(asked, []).applyInArrow(first, ", ".join(f"{n} long" for n in first_names)), "first")
+    sent = saved(met(asked, ["key"]).applyInArrow(first, ", ".join(f"{n} long" for n in first_names)), "first")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     kth = sent.where("score is not null").withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
     lows = sent.groupBy("query").agg(*[F.min(f).alias(f) for f in floors])
     cutoffs = lows.join(kth.select("query", F.col("score").alias("cutoff")), "query", "left").withColumn(
         "full", F.col("cutoff").isNotNull().cast("long")
     )
-    told = asked.join(cutoffs.withColumnRenamed("query", "id"), "id").withColumn("cutoff", F.coalesce("cutoff", F.lit(0).cast("long")))
+    told = asked.join(cutoffs.withColumnRenamed("query", "key"), "key").withColumn("cutoff", F.coalesce("cutoff", F.lit(0).cast("long")))
 
     def second(key, table):
         found, rows = sides(key, table), []
         if found:
             block, asks, left, ids, right = found
-            cutoff, full = longs(block["cutoff"]), longs(block["full"])
+            query, cutoff, full = longs(block["key"]), longs(block["cutoff"]), longs(block["full"])
             low = [longs(block[f]) for f in floors]
             for n, (ask, own) in enumerate(zip(asks.tolist(), _lists(left, right, lists))):
                 enough = ids != ask
@@ -133,9 +142,9 @@ def top_scores(vectors, queries, k=10, id="vec_id", vector="vector", lists=LISTS
                 if full[n]:
                     reached = sums >= int(cutoff[n])
                     places, sums = places[reached], sums[reached]
-                rows += [(ask, int(ids[places[i]]), int(sums[i])) for i in _best(sums, ids[places], k)]
-        return result(rows, ["query", "id", "score"])
+                rows += [(int(query[n]), ask, int(ids[places[i]]), int(sums[i])) for i in _best(sums, ids[places], k)]
+        return result(rows, ["query", "query_id", "id", "score"])
 
-    final = met(told, [*floors, "cutoff", "full"]).applyInArrow(second, "query long, id long, score long")
+    final = met(told, ["key", *floors, "cutoff", "full"]).applyInArrow(second, "query long, query_id long, id long, score long")
     ranked = final.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias(id), "score")
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id), "score")

@@ -127,6 +127,23 @@ def test_few_candidates(spark):
     assert top_scores.top_scores(table, table.where("false"), k=3).count() == 0
 
 
+def test_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(top_scores, "TILE_ROWS", 5)
+    monkeypatch.setattr(top_scores, "QUERY_ROWS", 2)
+    rng = np.random.default_rng(4)
+    once = [(i, v) for i, v in enumerate(rng.integers(-50, 51, (40, 5)).tolist())]
+    other = (3, [1, -90, 4, 0, 90])  # a second vector of id 3
+    rows = [*once, other, *once[5:20], *[once[7]] * 3, other]
+    asked = [once[0], once[0], once[3], other, once[3], *[once[8]] * 12, (99, once[8][1])]
+    wanted = []
+    for q, v in (once[0], once[3], other, once[8], (99, once[8][1])):
+        scored = [(-sum(a * b for a, b in zip(v, w)), i) for i, w in [*once, other] if i != q]
+        wanted += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:10])]
+    table = lambda rows: spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(3)
+    found = top_scores.top_scores(table(rows), table(asked), k=10).collect()
+    assert sorted(map(tuple, found)) == sorted(wanted)
+
+
 def test_components(spark):
     rng = np.random.default_rng(0)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (160, 2))] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (7, None)]

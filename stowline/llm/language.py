@@ -10,8 +10,8 @@ from stowline.llm.texts import declared, give_back, slices, unused, utf8
 
 #: Bytes of labelled text per language that a model learns from, in expectation.
 SAMPLE_BYTES = 400_000
-#: Longer texts are not learned from, so that no single text makes up a sample.
-SAMPLE_TEXT_BYTES = 65_536
+#: Texts are sampled by stretches of so many bytes, so that no single text makes up a sample.
+STRETCH_BYTES = 8_192
 ORDER = 4
 SLICE_BYTES = 1 << 19
 #: A context of 3 bytes or more that the sample shows fewer times than this is left out.
@@ -27,22 +27,29 @@ Model = namedtuple("Model", "langs symbols children cost escape unseen")
 def fit_languages(labelled, order=ORDER, sample_bytes=SAMPLE_BYTES):
     """Context trees of up to ``order`` bytes for each language of (id, text, lang) rows.
 
-    Learns from a sample by hash of the id, ``sample_bytes`` of text per language in
-    expectation and no text above 64 KiB: one pass counts bytes by language over all rows, a
-    second reads the sample and counts its contexts on the executors. Rows without text or
-    language are left out; without any, the model knows no language.
+    Learns from a sample by hash of id and text, ``sample_bytes`` of text per language in
+    expectation: one pass counts bytes by language over all rows, a second reads the sample
+    and counts its contexts on the executors. Texts of any length take part: a long one is
+    chosen by stretches of 8 KiB, each with a chance of its own. Of a language with text, the
+    row of the least hash is always in the sample, with its first stretch. Rows without text
+    or language are left out; without any, the model knows no language.
 
     Escapes follow method C (a context seen n times with d different followers escapes with
     d / (n + d)), without exclusion, down to a uniform byte.
     """
     labelled = labelled.select("id", "text", "lang").where("text is not null and lang is not null")
-    labelled = labelled.withColumn("size", F.octet_length("text")).where(
-        (F.col("size") > 0) & (F.col("size") <= SAMPLE_TEXT_BYTES)
-    )
+    labelled = labelled.withColumn("size", F.octet_length("text")).where("size > 0")
+    labelled = labelled.withColumn("key", F.xxhash64(F.lit("sample"), "id", "text"))
+    chance = lambda n: F.xxhash64("key", n).bitwiseAND(0xFFFFFFFF) / float(1 << 32)
+    first = chance(F.lit(0).cast("long"))
     # One row per language, as many as the model holds.
-    totals = F.broadcast(labelled.groupBy("lang").agg(F.sum("size").alias("bytes")))
-    chance = F.xxhash64(F.lit("sample"), "id").bitwiseAND(0xFFFFFFFF) / float(1 << 32)
-    sample = labelled.join(totals, "lang").where(chance < F.lit(float(sample_bytes)) / F.col("bytes"))
+    totals = F.broadcast(labelled.groupBy("lang").agg(F.sum("size").cast("double").alias("bytes"), F.min(first).alias("least")))
+    share = F.lit(float(sample_bytes)) / F.col("bytes")
+    stretches = F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / STRETCH_BYTES))
+    chosen = F.filter(stretches, lambda n: (chance(n) < share) | ((n == 0) & (chance(n) == F.col("least"))))
+    raw = F.col("text").cast("binary")
+    cut = F.transform(chosen, lambda n: F.substring(raw, (n * STRETCH_BYTES + 1).cast("int"), F.lit(STRETCH_BYTES)))
+    sample = labelled.join(totals, "lang").select("lang", F.explode(cut).alias("text"))
     counts = (
         sample.select("lang", "text")
         .mapInArrow(_count_grams(order), "lang string, gram long, n long")

@@ -94,3 +94,32 @@ def test_odd_rows(spark):
     assert language.detect_languages(docs.where("false"), model).count() == 0
     nothing = language.fit_languages(learn.where("false"))
     assert {r.lang_pred for r in language.detect_languages(docs, nothing).collect()} == {"und"}
+
+
+def test_long_texts_are_learned(spark):
+    book = "das ist der lange Text eines Buches, und er hört nicht auf; " * 2_000
+    rows = [(1, book, "de"), (2, "le chat est là " * 9_000, "fr"), (3, "une chatte", "fr"), (4, "the cat sat", "en")]
+    learn = spark.createDataFrame(rows, "id long, text string, lang string")
+    model = language.fit_languages(learn)
+    assert model.langs == ["de", "en", "fr"]
+    docs = spark.createDataFrame([(1, "der Text hört auf"), (2, book), (3, "le chat est"), (4, "the cat")], "doc_id long, text string")
+    assert [r.lang_pred for r in language.detect_languages(docs, model).collect()] == ["de", "de", "fr", "en"]
+    # Every language is learned, however small the sample and whatever the ids.
+    same = learn.union(learn).withColumn("id", F.lit(None).cast("long"))
+    assert language.fit_languages(same, sample_bytes=1).langs == ["de", "en", "fr"]
+
+
+def test_sample_of_long_texts(spark, monkeypatch):
+    """Stretches hold the bytes of their text, each at most once, some ``sample_bytes`` of a language."""
+    seen = []
+    monkeypatch.setattr(language, "build_model", lambda langs, grams, counts, order: seen.append((langs, grams, counts)))
+    text = "".join(f"{n:07d}é" for n in range(200_000))
+    learn = spark.createDataFrame([(1, text, "x")], "id long, text string, lang string")
+    raw = text.encode()
+    language.fit_languages(learn, sample_bytes=len(raw), order=1)
+    langs, grams, counts = seen.pop()
+    ones = {int(g) & 255: int(n) for g, n in zip(grams, counts) if int(g) >> 8 == 1}
+    assert ones == Counter(raw)
+    language.fit_languages(learn, order=1)
+    langs, grams, counts = seen.pop()
+    assert 200_000 < sum(n for g, n in zip(grams.tolist(), counts.tolist()) if g >> 8 == 1) < 600_000

@@ -22,6 +22,9 @@ TASK_BUCKETS = 8
 #: Text that is suffix-sorted at once.
 SORT_BYTES = 2 << 20
 SLICE_BYTES = 1 << 20
+#: An anchor with more text is routed window by window. Groups report its text in powers of 2 times AMOUNT.
+HOT_BYTES = 8 << 20
+AMOUNT = 128
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -104,15 +107,16 @@ class _Group:
                 yield owner + first, at + begin - self.starts[first:last][owner], run, anchor, at, piece
 
     def keys(self, width):
-        """Sorted distinct keys of the anchors, and which are of several documents here."""
-        found = [(a >> np.uint64(64 - KEY_BITS), r) for r, _, _, a, _, _ in self.segments(width)]
+        """Sorted distinct keys of the anchors, which are of several documents here, and their text."""
+        found = [(a >> np.uint64(64 - KEY_BITS), r, n + width - 1) for r, _, n, a, _, _ in self.segments(width)]
         if not found:
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
-        key, row = (np.concatenate(c) for c in zip(*found))
+            return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64)
+        key, row, amount = (np.concatenate(c) for c in zip(*found))
         order = np.argsort(key, kind="stable")
         key, doc = key[order], self.docs[row[order]]
         heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        return key[heads], np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads)
+        several = np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads)
+        return key[heads], several, np.add.reduceat(amount[order], heads)
 
 
 def _by_bucket(key, buckets):
@@ -125,7 +129,8 @@ def _list_anchors(id, text, width, buckets):
     """Per group its anchors' keys, by bucket: (bucket, grp, size, blob)."""
 
     def listed(key, table):
-        keys, several = _Group(table, id, text).keys(width)
+        keys, several, amount = _Group(table, id, text).keys(width)
+        power = np.ceil(np.log2(np.maximum(amount / AMOUNT, 1))).astype(np.uint8)
         give_back()
         edges, rows = _by_bucket(keys, buckets), []
         for bucket in np.flatnonzero(np.diff(edges)):
@@ -133,7 +138,7 @@ def _list_anchors(id, text, width, buckets):
             low = (int(bucket) << KEY_BITS) // buckets
             steps = np.diff(keys[own], prepend=np.uint64(low))
             kind = np.uint32 if int(steps.max()) < 1 << 32 else np.uint64
-            raw = bytes([kind().itemsize]) + np.packbits(several[own]).tobytes() + steps.astype(kind).tobytes()
+            raw = bytes([kind().itemsize]) + np.packbits(several[own]).tobytes() + power[own].tobytes() + steps.astype(kind).tobytes()
             rows.append((int(bucket), key[0].as_py(), int(own.stop - own.start), len(raw), pa.compress(raw, codec="zstd", asbytes=True)))
         return _table(rows, [("bucket", pa.int64()), ("grp", pa.int64()), ("n", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
 
@@ -146,25 +151,30 @@ def _table(rows, fields):
 
 
 def _find_shared(buckets):
-    """For each group and bucket which of its keys others have too: (grp, bucket, bits)."""
+    """For each group and bucket which of its keys others have too, then which have much text: (grp, bucket, bits)."""
 
     def one_bucket(bucket, lists):
         low = np.uint64((bucket << KEY_BITS) // buckets)
-        keys, several = [], []
+        keys, several, powers = [], [], []
         for _, n, size, blob in lists:
             raw = pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True)
             bits = -(-n // 8)
             several.append(np.unpackbits(np.frombuffer(raw, np.uint8, bits, 1), count=n).astype(bool))
-            steps = np.frombuffer(raw, np.uint32 if raw[0] == 4 else np.uint64, n, 1 + bits)
+            powers.append(np.frombuffer(raw, np.uint8, n, 1 + bits))
+            steps = np.frombuffer(raw, np.uint32 if raw[0] == 4 else np.uint64, n, 1 + bits + n)
             keys.append(np.cumsum(steps, dtype=np.uint64) + low)
         key, shared = np.concatenate(keys), np.concatenate(several)
         order = np.argsort(key, kind="stable")
         same = key[order][1:] == key[order][:-1]
         shared[order[1:][same]] = True
         shared[order[:-1][same]] = True
+        heads = np.flatnonzero(np.append(True, ~same))
+        amount = np.add.reduceat(np.exp2(np.concatenate(powers)[order].astype(np.float64)), heads) * AMOUNT
+        hot = np.zeros(len(order), bool)
+        hot[order] = np.repeat(amount > HOT_BYTES, np.diff(np.append(heads, len(order))))
         at, rows = 0, []
         for grp, n, _, _ in lists:
-            rows.append((grp, bucket, np.packbits(shared[at : at + n]).tobytes()))
+            rows.append((grp, bucket, np.packbits(shared[at : at + n]).tobytes() + np.packbits(hot[at : at + n]).tobytes()))
             at += n
         fields = [("grp", pa.int64()), ("bucket", pa.int64()), ("bits", pa.binary())]
         return _table(rows, fields).to_batches()
@@ -185,14 +195,15 @@ def _route(id, text, width, key_buckets, buckets):
 
     Of segments with equal bytes in the group only the earliest document's go on; the others
     are covered. (bucket, grp, size, blob); size -1 marks spans that are covered already.
+
+    Segments of an anchor with much text are taken apart into windows, which go by anchor and
+    window: equal windows still meet, and the anchor is spread over all buckets. Windows in a
+    row that are equal stay one segment.
     """
 
-    def gather(grp, docs, held):
-        row, pos, run, anchor, content = (np.concatenate(c) for c in list(zip(*held))[:5])
-        body = np.concatenate([h[5] for h in held])
-        doc = docs[row]
+    def settled(doc, run, content, begins, body):
+        """Which segments, at ``begins`` of ``body``, an earlier document of these has too."""
         sizes = run + width - 1
-        begins = np.cumsum(sizes) - sizes
         order = np.lexsort((doc, run, content))
         same = np.zeros(len(order), bool)
         a, b = order[:-1], order[1:]
@@ -206,12 +217,46 @@ def _route(id, text, width, key_buckets, buckets):
             differ = body[_ranges(begins[x], sizes[x])] != body[_ranges(begins[y], sizes[y])]
             heads = np.cumsum(sizes[x]) - sizes[x]
             covered[x[~np.logical_or.reduceat(differ, heads)]] = True
+        return covered
+
+    def windows_of(docs, rolling, sums, row, pos, run, anchor, at, piece):
+        """The segments of anchors with much text by windows, as entries of ``held``, and spans covered here."""
+        place, of = _ranges(at, run), np.repeat(np.arange(len(at)), run)
+        value = rolling.span(sums, place, place + width)
+        fresh = np.append(True, (value[1:] != value[:-1]) | (of[1:] != of[:-1]))
+        first = np.flatnonzero(fresh)
+        run = np.diff(np.append(first, len(place)))
+        place, of, anchor = place[first], of[first], anchor[of[first]] ^ mixed(value[first])
+        row, pos = row[of], pos[of] + place - at[of]
+        content = rolling.span(sums, place, place + run + width - 1)
+        covered = settled(docs[row], run, content, place, piece)
+        rest = np.flatnonzero(~covered)
+        body = [piece[_ranges(place[x], run[x] + width - 1)] for x in np.split(rest, range(1 << 14, len(rest), 1 << 14))]
+        spans = np.stack([row[covered], pos[covered], pos[covered] + run[covered] + width - 1]).astype(np.int64)
+        return (row[rest], pos[rest], run[rest], anchor[rest], content[rest], np.concatenate(body)), spans
+
+    def joined(spans):
+        """Spans (row, begin, end) with those that touch or overlap made one."""
+        row, begin, end = spans[:, np.lexsort((spans[1], spans[0]))]
+        step = int(end.max()) + 1
+        reach = np.maximum.accumulate(row * step + end)
+        heads = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (row[1:] * step + begin[1:] > reach[:-1])))
+        tails = np.append(heads[1:], len(row)) - 1
+        return np.stack([row[heads], begin[heads], reach[tails] - row[heads] * step])
+
+    def gather(grp, docs, held, spans):
+        row, pos, run, anchor, content = (np.concatenate(c) for c in list(zip(*held))[:5])
+        body = np.concatenate([h[5] for h in held])
+        doc = docs[row]
+        sizes = run + width - 1
+        begins = np.cumsum(sizes) - sizes
+        covered = settled(doc, run, content, begins, body)
         bucket = (mixed(anchor + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
         rows = []
         at = np.flatnonzero(covered)
-        if len(at):
-            spans = np.stack([row[at], pos[at], pos[at] + sizes[at]]).astype(np.int64)
-            rows.append((int(bucket[at[0]]), grp, -1, spans.tobytes()))
+        spans = np.concatenate([*spans, np.stack([row[at], pos[at], pos[at] + sizes[at]]).astype(np.int64)], axis=1)
+        if spans.shape[1]:
+            rows.append((grp % buckets, grp, -1, joined(spans).tobytes()))
         kept = np.flatnonzero(~covered)
         kept = kept[np.argsort(bucket[kept], kind="stable")]
         edges = np.flatnonzero(np.append(True, bucket[kept][1:] != bucket[kept][:-1])) if len(kept) else []
@@ -225,24 +270,32 @@ def _route(id, text, width, key_buckets, buckets):
         return rows
 
     def route(key, table, bits):
-        group, held = _Group(table, id, text), []
-        keys, _ = group.keys(width)
+        group, held, spans = _Group(table, id, text), [], []
+        keys, *_ = group.keys(width)
         edges = _by_bucket(keys, key_buckets)
-        shared = np.zeros(len(keys), bool)
+        shared, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
         for bucket, raw in zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist()):
             own = slice(edges[bucket], edges[bucket + 1])
-            shared[own] = np.unpackbits(np.frombuffer(raw, np.uint8), count=own.stop - own.start)
-        wanted, rolling = keys[shared], Rolling()
+            raw = np.frombuffer(raw, np.uint8).reshape(2, -1)
+            shared[own], hot[own] = np.unpackbits(raw, axis=1, count=own.stop - own.start)
+        wanted, hot, rolling = keys[shared], hot[shared], Rolling()
         if len(wanted):
             for row, pos, run, anchor, at, piece in group.segments(width):
                 short = anchor >> np.uint64(64 - KEY_BITS)
                 place = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
-                some = np.flatnonzero(wanted[place] == short)
+                known = wanted[place] == short
+                sums = rolling.totals(piece) if known.any() else None
+                some = np.flatnonzero(known & hot[place])
+                if len(some):
+                    parts, over = windows_of(group.docs, rolling, sums, row[some], pos[some], run[some], anchor[some], at[some], piece)
+                    held.append(parts)
+                    spans.append(over)
+                some = np.flatnonzero(known & ~hot[place])
                 if len(some):
                     at, run = at[some], run[some]
-                    content = rolling.span(rolling.totals(piece), at, at + run + width - 1)
+                    content = rolling.span(sums, at, at + run + width - 1)
                     held.append((row[some], pos[some], run, anchor[some], content, piece[_ranges(at, run + width - 1)]))
-        rows = gather(key[0].as_py(), group.docs, held) if held else []
+        rows = gather(key[0].as_py(), group.docs, held, spans) if held else []
         del group, held
         give_back()
         return _table(rows, [("bucket", pa.int64()), ("grp", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
@@ -428,19 +481,19 @@ def _resolve(width):
         """An anchor with more text than is sorted at once: its windows one by one, in parts by hash."""
         windows = int(run[own].sum())
         parts = windows * width // SORT_BYTES + 1
-        rolling = Rolling()
-        for part in range(parts):
-            picked = []
-            for at in range(0, len(own), 1 << 14):
-                some = own[at : at + (1 << 14)]
-                places = _ranges(begins[some], run[some])
-                owner = np.repeat(some, run[some])
-                local = text[_ranges(begins[some], run[some] + width - 1)]
-                starts = _ranges(np.cumsum(run[some] + width - 1) - (run[some] + width - 1), run[some])
-                hashes = rolling.span(rolling.totals(local), starts, starts + width)
-                mine = np.flatnonzero(hashes % np.uint64(parts) == part)
-                picked.append((owner[mine], places[mine]))
-            owner, places = (np.concatenate(c) for c in zip(*picked))
+        rolling, numbers = Rolling(), []
+        for at in range(0, len(own), 1 << 14):
+            some = own[at : at + (1 << 14)]
+            local = text[_ranges(begins[some], run[some] + width - 1)]
+            starts = _ranges(np.cumsum(run[some] + width - 1) - (run[some] + width - 1), run[some])
+            hashes = rolling.span(rolling.totals(local), starts, starts + width)
+            numbers.append((hashes % np.uint64(parts)).astype(np.int32))
+        numbers = np.concatenate(numbers)
+        by_part = np.argsort(numbers, kind="stable")
+        edges = np.searchsorted(numbers[by_part], np.arange(parts + 1))
+        owners, all_places = np.repeat(own, run[own]), _ranges(begins[own], run[own])
+        for first, last in zip(edges[:-1], edges[1:]):
+            owner, places = owners[by_part[first:last]], all_places[by_part[first:last]]
             ones = np.ones(len(owner), np.int64)
             if len(owner):
                 yield covered_spans(
@@ -489,8 +542,10 @@ def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole
     alone holds no string of another. (2) The stretches with the other anchors, some of the
     text, go to their anchor's bucket, where the windows are suffix-sorted and windows with
     equal neighbours found (``two_stage_order``, ``equal_to_next``). Equal strings in one
-    group are settled before. (3) Groups cut their texts. Buckets are worked off one by one,
-    and an anchor with more text than is sorted at once in parts, so memory is bounded.
+    group are settled before. (3) Groups cut their texts. Buckets are worked off one by one.
+    Groups also report each anchor's text; one with more than 8 MB in all goes to all buckets,
+    window by window. So a bucket's text does not grow with a frequent anchor, only with the
+    groups (of some 6 MB) that hold one and the same window.
     """
     if width <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")

@@ -50,6 +50,36 @@ def test_tasks_against_all_strings(seed, monkeypatch):
     assert _covered_by_tasks(docs, width, rng.choice([1, 2, 5])) == brute.covered(docs, width)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_frequent_anchors(seed, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT_BYTES", [0, 700, 3000][seed % 3])
+    test_tasks_against_all_strings(seed + 100, monkeypatch)
+
+
+def test_frequent_anchor_is_spread(monkeypatch):
+    """A string in differing surroundings: no bucket gets much of its text, and equal windows meet."""
+    monkeypatch.setattr(suffixes, "HOT_BYTES", 10_000)
+    rng = random.Random(3)
+    some = lambda n: bytes(rng.choice(range(256)) for _ in range(n))
+    around = [(some(30), some(30)) for _ in range(300)]
+    docs = [(d, a + b"<!-- ------- a separator line ------- -->" + b) for d, (a, b) in enumerate(around + around[:5])]
+    tables = [
+        pa.table([pa.array([d for d, _ in own], pa.int64()), pa.array([t for _, t in own], pa.binary())], names=["doc", "text"])
+        for own in (docs[:150], docs[150:])
+    ]
+    lists = [suffixes._list_anchors("doc", "text", 50, 1)((pa.scalar(g),), t) for g, t in enumerate(tables)]
+    found = pa.Table.from_batches(list(suffixes._find_shared(1)(b for t in lists for b in t.to_batches())))
+    route, sent, spans = suffixes._route("doc", "text", 50, 1, 40), {}, []
+    for g, t in enumerate(tables):
+        routed = route((pa.scalar(g),), t, found.filter(pc.equal(found.column("grp"), g)))
+        for bucket, size in zip(routed.column("bucket").to_pylist(), routed.column("size").to_pylist()):
+            sent[bucket] = sent.get(bucket, 0) + max(size, 0)
+        spans += routed.to_batches()
+    assert len(sent) == 40 and max(sent.values()) < sum(sent.values()) / 10
+    cut = {(g, row) for out in suffixes._resolve(50)(spans) for g, row, _, _ in zip(*(c.to_pylist() for c in out.columns))}
+    assert {(1, 150 + n) for n in range(5)} <= cut and all(g == 1 and row >= 150 for g, row in cut)
+
+
 def test_order_of_windows():
     import numpy as np
 

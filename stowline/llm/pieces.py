@@ -223,7 +223,8 @@ class Transducer:
             found = list(map(fresh.get, parts))
             keys = parts
         else:
-            keys = ["\0" + p for p in parts]
+            # Words behind a mark hold no space, so no word has the key of a unit without one.
+            keys = [" " + p for p in parts]
             found = list(map(fresh.get, keys))
         if None not in found:
             return found

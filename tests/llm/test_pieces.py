@@ -40,6 +40,16 @@ def test_random_strings(library):
         assert made.encode(text).tolist() == ids, text
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_words_that_begin_with_nul(library, turn):
+    made = Transducer(MODEL)
+    units = sorted({u for t in ODD for u in made.units.findall(t.replace(" ", "▁")) if "▁" not in u and len(u) < 20} | {"abc", "x"})
+    texts = [t for u in units for t in (f"{u}  {u}", f"a\0{u}", f"q  \0{u}", f"\0{u}", f"x \0{u} \0\0{u}")][::turn]
+    for text, ids in zip(texts, library.encode(texts)):
+        assert made.encode(text).tolist() == ids, text
+        assert made.decode(made.encode(text)) == text
+
+
 def test_generations_of_units(monkeypatch, library):
     monkeypatch.setattr(pieces, "CACHE_UNITS", 3)
     monkeypatch.setattr(pieces, "CACHE_PAIRS", 5)

@@ -16,6 +16,18 @@ SPACE, DIGIT, OTHER, QUOTE, LETTER, SHORT, R, V, E, L, MARK = range(11)
 # apostrophe that opens a token; behind it and an r, v or l.
 CLOSED, WORD, RUN, OPENED, QUOTE_R, QUOTE_V, QUOTE_L = range(7)
 STATES, CLASSES = 7, 11
+#: What the automaton and ``_prepared`` stand for; files with other steps are refused.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 #: Output of a step: a token starts at this character, or started at the one before.
 STARTS, STARTED = 1, 2
 #: White space as Unicode's property has it.
@@ -115,9 +127,10 @@ def scan_states(step, kinds, start=CLOSED):
 class Counter:
     """Counts of tokens per text for one vocabulary file.
 
-    Splitting runs on the automaton above. The part of the transducer that reads a word is
-    made when the word first comes: its emissions add up to one number, kept on the
-    transition that closes the word. Up to a million words are kept at a time.
+    Splitting runs on the automaton above, which stands for one normalizer and one
+    pre_tokenizer; a file with others is refused. Only splitting is compiled: merges within a
+    word go by rank over the whole word, so tokens of a word are counted by merging when it
+    first comes, and the number is kept for the word. Up to a million words are kept at a time.
     """
 
     def __init__(self, path):
@@ -126,6 +139,8 @@ class Counter:
         model = spec["model"]
         if model["type"] != "BPE" or not model["end_of_word_suffix"] or model["unk_token"] is not None:
             raise ValueError(f"not a BPE vocabulary with word ends: {path}")
+        if spec["normalizer"] != NORMALIZER or spec["pre_tokenizer"] != PRE_TOKENIZER:
+            raise ValueError(f"another normalizer or pre_tokenizer than the splitting automaton stands for: {path}")
         self.end = model["end_of_word_suffix"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}

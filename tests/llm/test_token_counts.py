@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -64,3 +66,20 @@ def test_odd_rows(spark, library):
     assert [r.n_tokens for r in found] == library([t for _, t in rows])
     assert [r.n_bytes for r in found] == [len((t or "").encode()) for _, t in rows]
     assert count_tokens(docs.where("false"), PATH).count() == 0
+
+
+def test_other_steps_are_refused(tmp_path):
+    with open(PATH, encoding="utf-8") as file:
+        whole = file.read()
+    for change in (
+        lambda spec: spec["normalizer"]["normalizers"].pop(),
+        lambda spec: spec.update(normalizer=None),
+        lambda spec: spec["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex=r"\S+"),
+        lambda spec: spec["pre_tokenizer"]["pretokenizers"][1].update(add_prefix_space=True),
+    ):
+        spec = json.loads(whole)
+        change(spec)
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(spec), encoding="utf-8")
+        with pytest.raises(ValueError, match="another normalizer or pre_tokenizer"):
+            Counter(str(path))

@@ -140,7 +140,9 @@ def scan_licenses(docs, id="doc_id", text="text", templates=TEMPLATES):
 
     A template's text is matched word by word, lower-cased: words outside ``[[ ]]`` and
     ``{{ }}`` are mandatory and must match exactly, in order and without others between
-    them. Templates of kind ``base`` are plain phrases; n_base counts all their places,
+    them. Templates of kind ``text`` hold the openings of licenses, not their whole wording:
+    what follows an opening (conditions, disclaimer) is not looked at, so a license that is
+    cut or changed there has the label too. Templates of kind ``base`` are plain phrases; n_base counts all their places,
     first_word and last_word bound their starts (null without any). ``labels`` has the labels
     of all templates found, ``spans`` each match as (label, kind, first word, words), the
     longest of a template at a start. The score is the share of words that lie in matches.

@@ -1,7 +1,8 @@
 """A corpus pipeline over ``documents``: each stage works on all that the stage before kept.
 
 A null text is rejected by the first stage. Rows that share a doc_id are one document; rows
-without a doc_id stay through the stages that compare documents. Other columns pass through.
+without a doc_id stay through the stages that compare documents, and each is mixed as a
+document of its own. Other columns pass through.
 """
 
 from pyspark.sql import functions as F
@@ -53,14 +54,26 @@ def without_repeats(spark, docs, sf_dir):
 
 
 def mixed_sources(spark, docs, sf_dir):
-    """Documents in the copies that bring their sources to the weights 5, 2, 1, repeating."""
-    words = docs.select("doc_id", "source", word_count("text").alias("size"))
-    units = words.groupBy("doc_id").agg(F.min("source").alias("source"), F.sum("size").alias("size"))
-    sizes = saved(units.withColumnRenamed("doc_id", "id"), "sizes")
-    copies = mix_sources(sizes).where("copies > 0").select("id", "copies")
-    met = docs.alias("d").join(copies.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.id")))
-    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("c.copies")))
-    return met.select("d.*", again.alias(unused(docs.columns, "_copy"))).select(*docs.columns)
+    """Documents in the copies that bring their sources to the weights 5, 2, 1, repeating.
+
+    A row without a doc_id has a digest of its columns and, among equal rows, a number for an
+    id; the copies of equal rows are taken of any of them.
+    """
+    row, one = unused(docs.columns, "_row"), F.lit(1).cast("long")
+    nameless = docs.where("doc_id is null").withColumn(row, F.sha2(F.to_json(F.struct(*docs.columns)), 256))
+    words = ["source", word_count("text").alias("size")]
+    units = docs.where("doc_id is not null").select("doc_id", *words).groupBy("doc_id").agg(F.min("source").alias("source"), F.sum("size").alias("size"))
+    equal = nameless.select("doc_id", F.col(row).alias("row"), *words).groupBy("doc_id", "row", "source", "size").agg(F.count("*").alias("rows"))
+    equal = equal.select(F.explode(F.sequence(one, F.col("rows"))).alias("n"), "doc_id", "row", "source", "size")
+    # The hash of a struct passes over nulls: documents with a doc_id rank by it alone.
+    units = units.select(F.struct("doc_id", F.lit(None).cast("string").alias("row"), F.lit(None).cast("long").alias("n")).alias("id"), "source", "size")
+    units = units.union(equal.select(F.struct("doc_id", "row", "n").alias("id"), "source", "size"))
+    copies = saved(mix_sources(saved(units, "sizes")).where("copies > 0").select("id.doc_id", "id.row", "copies"), "copies")
+    again = F.explode(F.sequence(one, F.col("c.copies"))).alias(unused(docs.columns, "_copy"))
+    named = docs.alias("d").join(copies.where("row is null").alias("c"), F.col("d.doc_id") == F.col("c.doc_id"))
+    shared = copies.where("row is not null").groupBy("row").agg(F.sum("copies").alias("copies"))
+    others = nameless.dropDuplicates([row]).alias("d").join(shared.alias("c"), F.col(f"d.{row}") == F.col("c.row"))
+    return named.select("d.*", again).select(*docs.columns).union(others.select("d.*", again).select(*docs.columns))
 
 
 def as_pieces(spark, docs, sf_dir):

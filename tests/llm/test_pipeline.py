@@ -105,3 +105,22 @@ def test_odd_documents(spark, tmp_path):
     empty = docs.where("false")
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_mix_without_ids(spark):
+    """Rows without a doc_id are mixed one by one, for their own sources."""
+    rows = [(None, f"{'word ' * (5 + i % 9)}{i // 2}", "abc"[i % 3], 1) for i in range(600)]
+    rows += [(i, f"{'word ' * (5 + i % 9)}{i}", "abc"[i % 3], 1) for i in range(300)]
+    rows += [(None, "the same row again", "b", 2)] * 50 + [(None, None, None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n int").repartition(5)
+    mixed = pipeline.mixed_sources(spark, docs, FOLDER)
+    assert mixed.columns == docs.columns
+    words = lambda df: {r.source: r.n for r in df.groupBy("source").agg(F.sum(word_count("text")).alias("n")).collect()}
+    before, after = words(docs), words(mixed)
+    unit = sum(before.values()) / 8
+    for source, weight in zip("abc", (5, 2, 1)):
+        assert after[source] == pytest.approx(min(weight * unit, 3 * before[source]), rel=0.1)
+    counts = {tuple(r)[:4]: r["count"] for r in mixed.groupBy(*docs.columns).count().collect()}
+    assert set(counts) <= set(rows) and all(n <= 3 * rows.count(r) for r, n in counts.items())
+    again = pipeline.mixed_sources(spark, docs.repartition(2), FOLDER)
+    assert sorted(map(str, again.collect())) == sorted(map(str, mixed.collect()))

@@ -2,17 +2,21 @@
 
 from pyspark.sql import functions as F
 
+from stowline.llm.divergence import source_divergence
 from stowline.llm.jaccard import jaccard_components
 from stowline.llm.language import detect_languages, fit_languages
 from stowline.llm.licenses import scan_licenses
 from stowline.llm.mixing import mix_sources, word_count
 from stowline.llm.near_vectors import near_vectors
+from stowline.llm.oracles import ORACLES
 from stowline.llm.pieces import encode_pieces, transducer
+from stowline.llm.secrets import BASE_KINDS, scan_secrets
 from stowline.llm.sharding import kd_shards, with_slots
 from stowline.llm.storage import saved
 from stowline.llm.suffixes import remove_repeats
 from stowline.llm.token_counts import count_tokens
 from stowline.llm.top_scores import top_scores
+from stowline.llm.vector_codes import codebooks_digest, vector_codes
 
 MAX_TOKENS = 2048
 SHARDS = 16
@@ -119,6 +123,25 @@ def op10_uniform_threshold_top_k(spark, sf_dir):
     return top_scores(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op11_arrow_divergence(spark, sf_dir):
+    return source_divergence(_documents(spark, sf_dir))
+
+
+def op12_blob_ledger_secrets(spark, sf_dir):
+    """All versions against a new ledger; digests and texts of the spans."""
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return scan_secrets(_documents(spark, sf_dir)).select(
+        "doc_id", *map(count, BASE_KINDS), F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans")
+    )
+
+
+def op13_laesa_vector_codes(spark, sf_dir):
+    rows, books = vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("codebooks_sha256", F.lit(codebooks_digest(books)))
+
+
 QUERIES = {
     "op1_ppm_language": op1_ppm_language,
     "op2_entropy_balanced_mix": op2_entropy_balanced_mix,
@@ -130,5 +153,7 @@ QUERIES = {
     "op8_token_counts_fst": op8_token_counts_fst,
     "op9_int8_near_vectors": op9_int8_near_vectors,
     "op10_uniform_threshold_top_k": op10_uniform_threshold_top_k,
+    "op11_arrow_divergence": op11_arrow_divergence,
+    "op12_blob_ledger_secrets": op12_blob_ledger_secrets,
+    "op13_laesa_vector_codes": op13_laesa_vector_codes,
 }
-ORACLES = {}

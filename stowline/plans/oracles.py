@@ -157,9 +157,11 @@ ORACLES = {
     "scan_segments": f"WITH {_REC} SELECT {_SHOWN} FROM rec",
     "scan_segments_range": f"""WITH {_REC} SELECT {_SHOWN} FROM rec
         WHERE topic IN ('click', 'view') AND "offset" BETWEEN 100 AND 300""",
+    "segments_pushed": f"""WITH {_REC} SELECT {_SHOWN} FROM rec
+        WHERE topic IN ('click', 'view') AND "offset" BETWEEN 100 AND 300""",
     "restore_order": f"""{_WALK}
-        SELECT topic, "partition", key AS object_key, start_offset FROM keyed
-        ORDER BY topic, "partition", key""",
+        SELECT topic, "partition", key AS object_key, start_offset,
+          CAST(row_number() OVER (PARTITION BY topic, "partition" ORDER BY key) AS INTEGER) AS rank FROM keyed""",
     "oversized_records": """
         SELECT lang AS topic, doc_id AS "offset", CAST(28 + strlen(text) AS BIGINT) AS size
         FROM documents WHERE 28 + strlen(text) + 4 > 8192""",

@@ -1,6 +1,6 @@
 """Every operator as a query over the standard tables: (spark, folder) to DataFrame."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stowline.functions import codec, keys, latency, physical, text
@@ -11,6 +11,7 @@ from stowline.sinks.latency import append_latencies
 from stowline.sources import listing, parquet
 from stowline.sources.lines import scan_lines
 from stowline.sources.listing import list_files
+from stowline.sources.segment_reader import read_segments
 from stowline.sources.segments import decode_segments as _decode
 from stowline.sources.segments import scan_segments
 from stowline.streaming.archive import append_latencies_stream, write_segments_stream
@@ -209,10 +210,21 @@ def scan_segments_range(spark, folder):
     return _shown(scan_segments(spark, out, topics=["click", "view"], offsets=(100, 300)))
 
 
+def segments_pushed(spark, folder):
+    """The same through the batch source, whose objects are chosen by the conditions."""
+    out = new_folder(spark, "archive")
+    archive_records(_records(spark, folder), out, "pushed", CAP)
+    found = read_segments(spark, out, "pushed").load()
+    return _shown(found.where(F.col("topic").isin("click", "view") & F.col("offset").between(100, 300)))
+
+
 def restore_order(spark, folder):
+    """Segments in order; ``rank`` numbers the rows of a topic-partition as they come."""
     assigned = segments.assign_segments(_records(spark, folder), CAP)
     ordered = segments.restore_order(segments.segment_summary(assigned))
-    return ordered.select("topic", "partition", "object_key", "start_offset")
+    ordered = ordered.withColumn("place", F.monotonically_increasing_id())
+    rank = F.row_number().over(Window.partitionBy("topic", "partition").orderBy("place"))
+    return ordered.select("topic", "partition", "object_key", "start_offset", rank.alias("rank"))
 
 
 def oversized_records(spark, folder):
@@ -589,6 +601,7 @@ QUERIES = {
     "write_segments": write_segments,
     "scan_segments": scan_segments_back,
     "scan_segments_range": scan_segments_range,
+    "segments_pushed": segments_pushed,
     "restore_order": restore_order,
     "oversized_records": oversized_records,
     "out_of_order": out_of_order,

@@ -12,7 +12,7 @@ from stowline.functions.keys import object_key_text
 from stowline.operators.segments import assembler, encoded_by_segment, group_keys
 from stowline.sources.storage import join_path, locate, qualify
 
-FORMAT = "stowline_segments"
+FORMAT, SINK_FORMAT = "stowline_segments", "stowline_segment_sink"
 
 
 @dataclass
@@ -64,24 +64,26 @@ class SegmentWriter(DataSourceArrowWriter):
                 stream.write(payload)
 
 
-class SegmentObjects(DataSource):
-    """Format ``stowline_segments``."""
+def writer_of(options) -> SegmentWriter:
+    keys = options.get("assemble")
+    return SegmentWriter(options["path"], options.get("prefix", ""), keys and json.loads(keys))
+
+
+class SegmentSink(DataSource):
+    """Format ``stowline_segment_sink``: writes objects."""
 
     @classmethod
     def name(cls):
-        return FORMAT
+        return SINK_FORMAT
 
     def writer(self, schema, overwrite):
-        keys = self.options.get("assemble")
-        return SegmentWriter(
-            self.options["path"], self.options.get("prefix", ""), keys and json.loads(keys)
-        )
+        return writer_of(self.options)
 
 
 def _writer(df: DataFrame, path: str):
     spark = df.sparkSession
-    spark.dataSource.register(SegmentObjects)
-    return df.write.format(FORMAT).mode("append").option("path", qualify(spark, path))
+    spark.dataSource.register(SegmentSink)
+    return df.write.format(SINK_FORMAT).mode("append").option("path", qualify(spark, path))
 
 
 def write_segments(segments: DataFrame, path: str) -> None:

@@ -22,6 +22,9 @@ def qualify(spark: SparkSession, path: str) -> str:
     default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
     if default.startswith("file:"):
         return "file:" + os.path.abspath(path)
+    if not path.startswith("/"):
+        home = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem
+        path = home.get(spark.sparkContext._jsc.hadoopConfiguration()).getHomeDirectory().toUri().getPath() + "/" + path
     return default.rstrip("/") + path
 
 

@@ -1,6 +1,9 @@
 import os
 import random
+import re
+import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,7 +22,9 @@ from stowline.operators.segments import (
 )
 from stowline.plans.archive import archive_records
 from stowline.sinks.segments import write_assigned, write_segments
-from stowline.sources.segments import decode_segments, scan_segments
+from stowline.sources.segment_reader import read_segments
+from stowline.sources.segments import SegmentError, decode_segments, decoded_batches, scan_segments
+from stowline.sources.storage import qualify
 
 
 def hexed(df):
@@ -245,6 +250,121 @@ def test_broken_segments_fail_or_are_reported(spark, make_records):
         assert len(reported) == 1 and message in reported[0].error
 
 
+def _written(tmp_path, make_records):
+    rows = [(t, p, o, o, b"k%d" % o, b"v" * (o % 9), [("h", None), ("i", b"x")][: o % 3]) for t in ("a", "b", "c_d") for p in (0, 1) for o in range(60)]
+    df = make_records(rows)
+    archive_records(df, str(tmp_path / "s"), "pre/fix", cap=200)
+    return df
+
+
+def _pushed(spark, tmp_path):
+    return read_segments(spark, str(tmp_path / "s"), "pre/fix").option("splitBytes", 500).load()
+
+
+@pytest.mark.parametrize(
+    "condition",
+    ["offset between 20 and 31", "topic = 'b' and offset > 50", "topic in ('a', 'zz') and partition = 1", "offset = 7", "offset in (3, 59)",
+     "20 >= offset and partition < 1", "topic = 'zz'", "offset <=> 5", "offset > 9 and offset < 9", "topic like 'c%'", "offset is null"],
+)
+def test_pushed_filters_open_only_what_overlaps(spark, make_records, tmp_path, condition):
+    df = _written(tmp_path, make_records)
+    wanted = rows_of(df.where(condition))
+    assert rows_of(_pushed(spark, tmp_path).where(condition)) == wanted
+    held = {(r.topic, r.partition, r.offset) for r in df.where(condition).collect()}
+    broken = 0
+    for folder, _, names in os.walk(tmp_path / "s"):
+        for name in names:
+            topic, partition = folder.split("/")[-2:]
+            first, last = map(int, name.split("-")) if name[0].isdigit() else (0, -1)
+            if not any((topic, int(partition), o) in held for o in range(first, last + 1)):
+                with open(f"{folder}/{name}", "wb") as file:
+                    file.write(b"not a segment")
+                broken += 1
+    assert broken
+    if "like" not in condition and "null" not in condition:  # these reach no key
+        assert rows_of(_pushed(spark, tmp_path).where(condition)) == wanted
+
+
+def test_pushed_partitions_are_balanced(spark, make_records, tmp_path):
+    from stowline.sources.segment_reader import SegmentReader
+
+    df = _written(tmp_path, make_records)
+    sizes = {str(p): p.stat().st_size for p in (tmp_path / "s").rglob("*-*") if p.is_file()}
+    reader = SegmentReader({"path": str(tmp_path / "s"), "prefix": "pre/fix", "splitbytes": "500"})
+    dealt = [[sizes[path] for path in task.paths] for task in reader.partitions()]
+    assert sum(map(len, dealt)) == len(sizes) and all(sum(d) <= 500 or len(d) == 1 for d in dealt)
+    assert _pushed(spark, tmp_path).count() == df.count()
+    assert read_segments(spark, str(tmp_path / "s"), "none/here").load().where("topic = 'a'").count() == 0
+
+
+def _decoded_plainly(payload):
+    """Records of a payload read one after the other, and where it breaks off."""
+    at, rows = 4, []
+    while at < len(payload):
+        begin = at
+        try:
+            offset, millis, key, value, count = struct.unpack_from(">qqiii", payload, at)
+            if key < -1 or value < -1 or count < 0:
+                return rows, begin
+            at += 28 + max(key, 0) + max(value, 0)
+            for _ in range(count):
+                (n,) = struct.unpack_from(">i", payload, at)
+                if n < 0:
+                    return rows, begin
+                (m,) = struct.unpack_from(">i", payload, at + 4 + n)
+                at += 8 + n + max(m, 0)
+        except struct.error:
+            return rows, begin
+        if at > len(payload):
+            return rows, begin
+        rows.append((offset, key, value, count))
+    return rows, None
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_decode_any_bytes_like_a_plain_walk(seed):
+    """Payloads that look like records themselves, zeros, cuts and flipped bytes."""
+    rng = random.Random(seed)
+    payload = b"\0\0\0\0"
+    for n in range(rng.choice([0, 1, 40, 300])):
+        key, value = rng.choice([None, b"", b"k" * 5]), rng.choice([None, b"", b"\0" * rng.randint(0, 90), payload[-60:], bytes(rng.randrange(256) for _ in range(20))])
+        headers = [(b"h" * rng.randint(0, 4), rng.choice([None, b"", b"\0" * 9])) for _ in range(rng.choice([0, 0, 1, 3]))]
+        payload += struct.pack(">qqiii", n, 7, -1 if key is None else len(key), -1 if value is None else len(value), len(headers)) + (key or b"") + (value or b"")
+        for name, content in headers:
+            payload += struct.pack(">i", len(name)) + name + struct.pack(">i", -1 if content is None else len(content)) + (content or b"")
+    damaged = bytearray(payload)
+    if seed % 3 == 1:
+        del damaged[rng.randint(4, len(damaged)) :]
+    elif seed % 3 == 2 and len(damaged) > 5:
+        for _ in range(3):
+            damaged[rng.randrange(4, len(damaged))] = rng.randrange(256)
+    rows, broken = _decoded_plainly(bytes(damaged))
+    found, message = [], ""
+    try:
+        for batch in decoded_batches(("k", "t", 0), bytes(damaged)):
+            for r in batch.to_pylist():
+                found.append((r["offset"], -1 if r["key"] is None else len(r["key"]), -1 if r["value"] is None else len(r["value"]), len(r["headers"])))
+    except SegmentError as error:
+        message = str(error)
+    except pa.ArrowInvalid:
+        return  # a damaged time or header name, refused by either way
+    assert found == rows
+    assert (f"record at byte {broken}" in message) if broken is not None else not message
+
+
+def test_relative_paths_on_another_file_system(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert qualify(spark, "a/b").startswith("file:/") and qualify(spark, "a/b").endswith("/a/b")
+    conf.set("fs.defaultFS", "viewfs://nn")
+    conf.set("fs.viewfs.mounttable.nn.link./user", "file:///tmp")
+    try:
+        assert qualify(spark, "/a/b") == "viewfs://nn/a/b"
+        assert re.fullmatch("viewfs://nn/user/[^/]+/a/b", qualify(spark, "a/b"))
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
 def test_restore_order(make_records):
     rows = [("t", 0, o, 0, b"", b"", []) for o in (5, 50, 500, 9)]
     packed = segment_summary(assign_segments(make_records(rows), cap=32))

@@ -8,8 +8,8 @@ from stowline.llm.storage import forget, saved
 def components(links, name="links"):
     """Rows (node, component): each linked node with the smallest node it reaches.
 
-    ``links`` has two long columns, a and b; direction, repeats and self-links don't
-    matter, rows with a null are left out. Alternates two steps until nothing moves: every
+    ``links`` has two columns, a and b, of one type that has an order (numbers, or structs of
+    them); direction, repeats and self-links don't matter, rows with a null are left out. Alternates two steps until nothing moves: every
     node hands its larger neighbours, then its smaller ones, to its smallest. The number of
     links never grows, and chains halve in each round. The smallest neighbour comes from an
     aggregation and goes back by a join, so no node's neighbours meet in one row.

@@ -233,11 +233,12 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     one link per set. Tokens and fingerprints are hashes of 64 and 128 bits.
 
     Null texts count as empty, a null id never is a component's name but where it is alone,
-    repeated rows are equal sets.
+    repeated rows are equal sets. Rows of one id are one document: each has the n_shingles of its
+    own text, and all that have words reach each other and have one component_id.
     """
     frequent = _frequent(docs, text, width)
     sets = saved(_prefixes(docs, id, text, width, percent, frequent), "sets")
-    classes = sets.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
+    classes = saved(sets.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep")), "fingerprints")
     named = saved(
         sets.where("n > 0").select("id", "n", "k1", "k2").join(classes, ["k1", "k2"]).select("id", "n", "rep"), "classes"
     )
@@ -312,7 +313,11 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
         return pa.table([pa.array(ids[moved]), pa.array(ids[parent[moved]])], names=["a", "b"])
 
     links = placed.join(full, "id").groupBy("gid", "a", "b").applyInArrow(compare, "a long, b long")
-    comps = components(links).withColumnRenamed("node", "rep")
+    # Rows of one id with different sets are one document: their classes are linked.
+    ids = named.where("id is not null").groupBy("id").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
+    several = saved(ids.where("least <> most").select("id", "least"), "several")
+    same_id = named.join(several, "id").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    comps = components(links.union(same_id)).withColumnRenamed("node", "rep")
     found = named.join(comps, "rep", "left").select("id", "n", F.coalesce("component", "rep", "id").alias("component_id"))
     empty = sets.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return found.union(empty).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id")

@@ -114,7 +114,7 @@ def mix_sources(sizes, weights=(5.0, 2.0, 1.0), most=MOST_COPIES):
     to about 512 rows, so a source or size that holds most rows is ranked in parts.
 
     A row without words (null or blank text) has rate and copies as its rank says, and takes
-    no words. Repeated ids count as rows of their own. ``sizes`` is read several times:
+    no words. Repeated ids count as rows of their own, whatever their sizes and sources. ``sizes`` is read several times:
     store it first if it is dear to compute.
     """
     cells = saved(sizes.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
@@ -147,7 +147,7 @@ def mix_sources(sizes, weights=(5.0, 2.0, 1.0), most=MOST_COPIES):
     upto = lambda rank: F.floor(F.col("start") + rank * extra + F.lit(0.5).cast("decimal(2,1)"))
     copies = F.floor("rate") + upto(F.col("rank")) - upto(F.col("rank") - 1)
     done = ranked.alias("d").join(starts.alias("r"), both).select(
-        "d.id", "d.source", "d.size", "rate", copies.cast("long").alias("copies")
+        "d.id", "d.source", "d.size", "d.part", "d.rank", "rate", copies.cast("long").alias("copies")
     )
     done = saved(done, "copies")
     for _ in range(REPAIRS):
@@ -159,7 +159,10 @@ def mix_sources(sizes, weights=(5.0, 2.0, 1.0), most=MOST_COPIES):
 
 
 def _repaired(done, targets, one_row):
-    """Round one document per source the other way, that whose size is nearest the gap left."""
+    """Round one document per source the other way, that whose size is nearest the gap left.
+
+    A row is known by its source, size, part and rank, as its id may be repeated.
+    """
     same = F.col("d.source").eqNullSafe(F.col("t.source"))
     sums = done.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
     gaps = sums.alias("d").join(targets.alias("t"), same).select("d.source", (F.col("target") - F.col("got")).alias("gap"))
@@ -169,10 +172,11 @@ def _repaired(done, targets, one_row):
     far = F.abs(F.col("size") - F.abs("gap"))
     picked = (
         done.alias("d").join(gaps.alias("t"), same).where((up | down) & (far < F.abs("gap")))
-        .groupBy("d.source").agg(F.min(F.struct(far.alias("far"), F.xxhash64(F.lit("repair"), "id"), "id")).alias("best"), F.first(F.signum("gap")).cast("long").alias("step"))
-        .select("source", F.col("best.id").alias("id"), "step")
+        .groupBy("d.source").agg(F.min(F.struct(far.alias("far"), F.xxhash64(F.lit("repair"), "id"), "id", "size", "part", "rank")).alias("best"), F.first(F.signum("gap")).cast("long").alias("step"))
+        .select("source", "best.size", "best.part", "best.rank", "step")
     )
-    both = same & (F.col("d.id") == F.col("t.id"))
-    return done.alias("d").join(one_row(picked).alias("t"), both, "left").select(
-        "d.id", "d.source", "d.size", "rate", (F.col("copies") + F.coalesce("step", F.lit(0))).alias("copies")
+    for column in ("size", "part", "rank"):
+        same = same & (F.col(f"d.{column}") == F.col(f"t.{column}"))
+    return done.alias("d").join(one_row(picked).alias("t"), same, "left").select(
+        "d.id", "d.source", "d.size", "d.part", "d.rank", "rate", (F.col("copies") + F.coalesce("step", F.lit(0))).alias("copies")
     )

@@ -74,20 +74,22 @@ def near_vectors(vectors, id="vec_id", vector="embedding", threshold=0.9):
     others go into tiles of some 4,096 by hash, and each pair of tiles is one task's work of
     bounded memory: counts and a forest of links leave it, not pairs. All pairs of tiles are
     needed for exact links, so work grows with the square of different vectors.
-    A repeated id counts as a vector of its own; a null id is left out of links.
+    Rows of a repeated id count as vectors of their own, with links of their own; a null id is
+    left out of links.
     """
     good = usable(F.col(vector)) & F.exists(vector, lambda x: x != 0) & F.col(id).isNotNull()
     rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("vector"), good.alias("good"))
-    keys = rows.where("good").select(
-        "id", F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit("second"), "vector").alias("k2")
-    )
-    classes = keys.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
-    members = saved(keys.join(classes, ["k1", "k2"]).select("id", "rep", "n", "k1"), "members")
-    own = members.where("id = rep").select("id", "n", "k1").distinct()
-    picked = rows.where("good").withColumn("k1", F.xxhash64("vector")).join(own, ["id", "k1"]).dropDuplicates(["id", "k1"])
-    tiled, tiles = with_tiles(picked.select("id", "n", "vector"), "id", "vector", TILE_ROWS)
+    keys_of = {"k1": F.xxhash64("vector"), "k2": F.xxhash64(F.lit("second"), "vector")}
+    keys = rows.where("good").select("id", *[column.alias(name) for name, column in keys_of.items()])
+    classes = saved(keys.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
+    members = saved(keys.join(classes, ["k1", "k2"]), "members")
+    # A class is known by its smallest id and its fingerprint, as ids may be repeated.
+    own = classes.select(F.col("rep").alias("id"), "k1", "k2", "n")
+    picked = rows.where("good").select("id", "vector", *[keys_of[c].alias(c) for c in ("k1", "k2")])
+    picked = picked.join(own, ["id", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"])
+    tiled, tiles = with_tiles(picked, "id", "vector", TILE_ROWS)
     kind = np.float32 if vectors.schema[vector].dataType.elementType.typeName() == "float" else np.float64
-    stored = saved(packed(tiled, ["id", "n"], "vector", kind), "tiles")
+    stored = saved(packed(tiled, ["id", "k1", "k2", "n"], "vector", kind), "tiles")
     other = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
     met = stored.withColumn("other", other).select(
         "*", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b")
@@ -97,30 +99,37 @@ def near_vectors(vectors, id="vec_id", vector="embedding", threshold=0.9):
         dim = key[0].as_py()
         sides = []
         for row in table.sort_by("tile").to_pylist():
-            sides.append((longs(row["id"]), longs(row["n"]), quantised(matrix(row["vector"], dim, kind))))
+            names = np.stack([longs(row[c]) for c in ("id", "k1", "k2")])
+            sides.append((names, longs(row["n"]), quantised(matrix(row["vector"], dim, kind))))
         alone = key[1].as_py() == key[2].as_py()
         if len(sides) < 2 and not alone:
             sides = []
-        ids, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        ids, counts = np.zeros((3, 0), np.int64), np.zeros(0, np.int64)
         parent = np.zeros(0, np.int64)
         if sides:
             (ids_a, n_a, left), (ids_b, n_b, right) = sides[0], sides[-1]
-            ids = ids_a if alone else np.concatenate([ids_a, ids_b])
-            shift = 0 if alone else len(ids_a)
-            parent, counts = np.arange(len(ids)), np.zeros(len(ids), np.int64)
+            ids = ids_a if alone else np.concatenate([ids_a, ids_b], axis=1)
+            shift = 0 if alone else len(n_a)
+            parent, counts = np.arange(ids.shape[1]), np.zeros(ids.shape[1], np.int64)
             for i, j in linked_pairs(left, right, threshold, same=alone):
                 np.add.at(counts, i, n_b[j])
                 np.add.at(counts, j + shift, n_a[i])
                 parent = joined(parent, i, j + shift)
         linked = np.flatnonzero(counts)
-        return pa.table(
-            [pa.array(ids[linked]), pa.array(counts[linked]), pa.array(ids[parent[linked]])], names=["rep", "links", "near"]
-        )
+        columns = [*ids[:, linked], counts[linked], *ids[:, parent[linked]]]
+        return pa.table([pa.array(c) for c in columns], names=["rep", "k1", "k2", "links", "rep2", "k12", "k22"])
 
-    found = saved(met.groupBy("dim", "a", "b").applyInArrow(meet, "rep long, links long, near long"), "links")
-    sums = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    comps = components(found.select(F.col("rep").alias("a"), F.col("near").alias("b")))
-    linked = members.join(sums, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
+    found = saved(
+        met.groupBy("dim", "a", "b").applyInArrow(meet, "rep long, k1 long, k2 long, links long, rep2 long, k12 long, k22 long"),
+        "links",
+    )
+    sums = found.groupBy("rep", "k1", "k2").agg(F.sum("links").alias("links"))
+    # Nodes are structs that begin with the smallest id, so the smallest node names the component.
+    node = F.struct("rep", "k1", "k2")
+    near = F.struct(F.col("rep2").alias("rep"), F.col("k12").alias("k1"), F.col("k22").alias("k2"))
+    comps = components(found.select(node.alias("a"), near.alias("b")))
+    comps = comps.select("node.*", F.col("component.rep").alias("component"))
+    linked = members.join(sums, ["rep", "k1", "k2"], "left").join(comps, ["rep", "k1", "k2"], "left").select(
         "id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"),
     )

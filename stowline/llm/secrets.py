@@ -117,13 +117,13 @@ def scan_unseen(versions, folder, path="path", text="text", rules=RULES):
     seen = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("scanned"))).alias("seen"))
     blobs = held.groupBy("blob").agg(F.count("*").alias("rows"), F.min("path").alias("path"))
     noted = blobs.join(seen, "blob", "left").where("rows > 1 or seen is not null").select(
-        "blob", F.col("path").alias("holder"),
-        F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo"),
+        "blob", F.col("path").alias("holder"), F.col("seen").isNull().alias("fresh"),
+        F.when(F.col("seen").isNotNull(), F.array_except(every, "seen")).alias("todo"),
     )
     noted = saved(noted, "noted")
     few = noted.count() <= SMALL_ROWS
     met = texts.join(F.broadcast(noted) if few else noted, "blob", "left")
-    here = F.when(F.col("todo").isNull(), every).when(F.col("path").eqNullSafe(F.col("holder")), F.col("todo"))
+    here = F.when(F.col("fresh").isNull(), every).when(F.col("path").eqNullSafe(F.col("holder")), F.coalesce("todo", every))
     met = met.withColumn("scanned", here).where(F.size("scanned") > 0).select("blob", "text", "scanned")
 
     def scan(batches):

@@ -528,9 +528,15 @@ def merged(spans, size):
     return begin[heads], reach[np.append(heads[1:], len(reach)) - 1]
 
 
-def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole_characters=False):
+#: Columns that ``remove_repeats`` adds, and their types.
+ADDED = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary", "kept_sha256": "string"}
+
+
+def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole_characters=False, names=tuple(ADDED)):
     """Every row with n_bytes, n_removed, n_spans, kept (bytes) and kept_sha256 more.
 
+    ``names`` are the five columns' names; a column of ``docs`` that has one of them is replaced.
+
     Each byte covered by a ``width``-byte string that also starts in a document of smaller id
     goes; strings are judged on the texts as they came. A null text has no bytes; a null id
     is no document's smaller or larger, so its text stays; repeated rows of one id are one
@@ -549,9 +555,9 @@ def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole
     """
     if width <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
-    added = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary", "kept_sha256": "string"}
+    added = dict(zip(names, ADDED.values()))
     docs = docs.drop(*added)
-    always = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    always = [name for name, kind in added.items() if kind != "binary"]
     wanted = [c for c in (*docs.columns, *added) if keep is None or c in keep or c in always]
     own = [c for c in docs.columns if c in wanted or c in (id, text)]
     total, rows = docs.agg(F.sum(F.octet_length(text)), F.count("*")).first()
@@ -572,7 +578,7 @@ def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole
     )
     routed = routed.repartition(-(-buckets // TASK_BUCKETS), "bucket")
     spans = routed.mapInArrow(_resolve(width), "grp long, row long, begin long, end long")
-    schema = ", ".join(declared(docs.schema[c]) if c in docs.columns else f"{c} {added[c]}" for c in wanted)
+    schema = ", ".join(declared(docs.schema[c]) if c in docs.columns else f"`{c}` {added[c]}" for c in wanted)
     kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
 
     def cut(key, table, found):

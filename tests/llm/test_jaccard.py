@@ -70,3 +70,15 @@ def test_odd_rows(spark):
         key=str,
     )
     assert jaccard.jaccard_components(table.where("false")).count() == 0
+
+
+def test_one_id_with_other_texts(spark):
+    """Rows of one id are one document: what either links with has one component_id."""
+    first, second = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(3, first), (9, first + " end"), (9, second), (12, second + " tail"), (12, "alone with these four words"), (4, second), (4, None), (20, "x y")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (1, 3):
+        found = jaccard.jaccard_components(table.repartition(n), width=4, percent=85).collect()
+        reached = {(r.doc_id, r.component_id) for r in found if r.n_shingles}
+        assert reached == {(3, 3), (9, 3), (12, 3), (4, 3), (20, 20)}
+        assert sorted(r.n_shingles for r in found) == [0, 1, 2, 37, 37, 37, 38, 38]

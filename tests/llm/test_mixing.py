@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import pytest
@@ -62,6 +63,22 @@ def test_rates_balance(spark):
         assert len({(r["size"], r.rate) for r in own}) == len({r["size"] for r in own})
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_repeated_ids(spark, seed):
+    """Rows of one id with other sizes and sources have copies of their own, within the bounds."""
+    rng = random.Random(seed)
+    rows = [(rng.randrange(7), rng.choice("aab"), rng.choice([1, 3, 3, 9, 40])) for _ in range(60)]
+    sizes = spark.createDataFrame(rows, "id long, source string, size long")
+    found = mix_sources(sizes).collect()
+    assert sorted((r.id, r.source, r["size"]) for r in found) == sorted(rows)
+    assert all(0 <= r.copies <= 3 for r in found)
+    for source in "ab":
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.copies * r["size"] for r in own) - own[0].target) <= 40
+    again = mix_sources(sizes.repartition(5)).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, again))
+
+
 def test_odd_rows(spark):
     rows = [(1, "hot", 5)] * 3 + [(i, "hot", 5) for i in range(2, 1500)] + [(None, None, 4), (None, None, 0), (7000, "empty", 0), (7001, "z", 1_000_000)]
     sizes = spark.createDataFrame(rows, "id long, source string, size long")

@@ -91,14 +91,15 @@ def test_odd_documents(spark, tmp_path):
         (90001, None, "en", "s", 0), (90002, "", None, None, 0), (90003, text * 3, None, None, 1), (90003, text * 3, None, None, 1),
         (None, text + " more of the", "en", "s", 1), (90004, "12 345", "en", "s", 6),
     ]
-    docs = learn.union(spark.createDataFrame(rows, learn.schema)).withColumn("score", F.lit("mine")).withColumn("lang_pred", F.lit("x"))
-    docs = docs.withColumn("kept", F.lit("k")).withColumn("copies", F.lit(9))
+    docs = learn.union(spark.createDataFrame(rows, learn.schema))
+    own = {"kept": "k", "copies": 9, "n_bytes": 7, "n_removed": 8, "n_spans": 9, "kept_sha256": "d", "score": "mine", "lang_pred": "x"}
+    docs = docs.withColumns({name: F.lit(value) for name, value in own.items()})
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     table = spark.read.parquet(str(tmp_path / "documents.parquet"))
     for _, stage in pipeline.STAGES[:-1]:
         table = saved(stage(spark, table, str(tmp_path)), "odd")
         assert table.columns == docs.columns
-        assert {(r.score, r.lang_pred, r.kept, r.copies) for r in table.collect()} == {("mine", "x", "k", 9)}
+        assert {tuple(r[name] for name in own) for r in table.collect()} == {tuple(own.values())}
         ids = [r.doc_id for r in table.collect()]
         assert not {90001, 90002, 90004} & set(ids)
     assert pipeline.STAGES[-1][1](spark, table, "").where("not round_trip").count() == 0
@@ -107,6 +108,29 @@ def test_odd_documents(spark, tmp_path):
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
+def test_long_text(spark, tmp_path):
+    """A text of some megabytes goes through all stages whole."""
+    learn = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    body = " ".join(r.text or "" for r in learn.where("lang = 'en'").collect())
+    long = " ".join(f"{word} {n}" for n, word in enumerate(body.split() * 4))
+    rows = [(70001, long, "en", "src0", len(long)), (70002, long[: 3 * len(long) // 4], "en", "src0", 0)]
+    table = learn.union(spark.createDataFrame(rows, learn.schema))
+    for _, stage in pipeline.STAGES:
+        table = saved(stage(spark, table, FOLDER), "long")
+        assert not table.where("doc_id = 70002 and lang <> 'en'").count()
+    found = table.where("doc_id = 70001").collect()
+    assert all(r.round_trip and r.n_pieces > len(long) // 20 for r in found)
+
+
+def test_near_copies_with_one_id(spark):
+    """Rows of one doc_id are one document: it goes if any of its texts is a copy."""
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text), (5, text + " more"), (5, ""), (5, "else " * 3), (7, "nothing like it at all here"), (7, "nothing like it at all here"), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = pipeline.one_of_near_copies(spark, docs, FOLDER).collect()
+    assert sorted(map(tuple, kept)) == [(1, text), (7, "nothing like it at all here"), (8, "")]
+
+
 def test_mix_without_ids(spark):
     """Rows without a doc_id are mixed one by one, for their own sources."""
     rows = [(None, f"{'word ' * (5 + i % 9)}{i // 2}", "abc"[i % 3], 1) for i in range(600)]

@@ -1,0 +1,82 @@
+import hashlib
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from stowline.llm import vector_codes as codes
+from stowline.llm.vector_codes import codebooks_digest, farthest_first, nearest_entries, squares, vector_codes
+
+
+def _plain(rows, parts=4, entries=256, rounds=4):
+    """Codes, errors, label errors and codebooks of (id, vector, label) by trying every entry."""
+    kept = [(i, [math.floor(1024 * x) for x in v], c) for i, v, c in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = len(kept[0][1]) // parts
+    cut = [[v[p * width : (p + 1) * width] for _, v, _ in kept] for p in range(parts)]
+    books = [[list(x) for x in cut[p][:entries]] for p in range(parts)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), n) for n, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            mine = defaultdict(list)
+            for x in cut[p]:
+                mine[nearest(x, books[p])[1]].append(x)
+            for n, own in mine.items():
+                books[p][n] = [sum(c) // len(own) for c in zip(*own)]
+    result, labels = [], defaultdict(int)
+    for k, (i, _, label) in enumerate(kept):
+        found = [nearest(cut[p][k], books[p]) for p in range(parts)]
+        error = sum(f[0] for f in found)
+        labels[label] += error
+        result.append((i, "".join(f"{f[1]:02x}" for f in found), error, label))
+    told = ",".join(str(x) for book in books for e in book for x in e)
+    return sorted((str(i), c, e, labels[label]) for i, c, e, label in result), hashlib.sha256(told.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("pivots", [0, 1, 4])
+@pytest.mark.parametrize("spread", [3, 200])
+def test_pruning_changes_nothing(pivots, spread):
+    rng = np.random.default_rng(spread)
+    rows, entries = rng.integers(-spread, spread, (500, 6)), rng.integers(-spread, spread, (40, 6))
+    entries[7] = entries[3]
+    chosen = entries[farthest_first(entries, pivots)] if pivots else entries[:0]
+    far = np.stack([squares(rows, p) for p in chosen], 1) if pivots else np.zeros((500, 0), np.int64)
+    moved = entries + rng.integers(-2, 3, entries.shape)  # the codebook leaves its pivots behind
+    index, best, done = nearest_entries(rows, far, moved, chosen)
+    every = ((rows[:, None] - moved[None]) ** 2).sum(2)
+    assert (index == every.argmin(1)).all() and (best == every.min(1)).all()
+    assert done == every.size if not pivots else done < every.size
+
+
+@pytest.mark.parametrize("count", [1, 5, 700])
+def test_against_plain_rounds(spark, count):
+    rng = np.random.default_rng(count)
+    vectors = rng.normal(size=(count, 8)).astype(np.float32).round(2 if count == 700 else 6)
+    rows = [(int(i), [float(x) for x in v], None if i % 7 == 0 else int(i) % 3) for i, v in zip(rng.permutation(2 * count), vectors)]
+    nan, inf = float("nan"), float("inf")
+    rows += [(-1, None, 1), (-2, [nan] * 8, 1), (-3, [inf] + [0.0] * 7, 1), (-4, [None] + [0.0] * 7, 2), (rows[0][0], rows[0][1], 1), (None, [-0.5] * 8, None), rows[-1]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").selectExpr("*", "'x' as code", "1 as error", "2 as far").repartition(3)
+    found, books = vector_codes(table, entries=256 if count != 5 else 3)
+    wanted, digest = _plain(rows, entries=256 if count != 5 else 3)
+    assert sorted((str(r.vec_id), r.code, r.error, r.label_error) for r in found.collect()) == wanted
+    assert codebooks_digest(books) == digest
+
+
+def test_odd_tables(spark):
+    schema = "vec_id long, embedding array<double>, label string"
+    table = spark.createDataFrame([(1, [1.0] * 4, "a"), (2, [0.5] * 4, None)], schema)
+    found, books = vector_codes(table.where("false"))
+    assert found.count() == 0 and sum(map(len, books)) == 0
+    found, books = vector_codes(table.where("embedding[0] > 5"))
+    assert found.count() == 0
+    found, _ = vector_codes(spark.createDataFrame([(1, [], "a"), (2, [], "a")], schema))
+    assert sorted(map(tuple, found.collect())) == [(1, "00000000", 0, 0), (2, "00000000", 0, 0)]
+    for bad in ([(1, [1.0] * 4, "a"), (2, [1.0] * 8, "a")], [(1, [1.0] * 6, "a")], [(1, [1e12] * 4, "a")], [(1, [1e300] * 4, "a")]):
+        with pytest.raises(ValueError):
+            vector_codes(spark.createDataFrame(bad, schema))
+    assert vector_codes(table.drop("label"), label=None)[0].count() == 2
+    assert codes.PARTS == 4

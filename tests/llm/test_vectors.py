@@ -79,6 +79,15 @@ def test_odd_vectors(spark):
     assert near_vectors.near_vectors(table.where("false")).count() == 0
 
 
+def test_repeated_vector_ids(spark, monkeypatch):
+    """Vectors under one id have links of their own."""
+    monkeypatch.setattr(near_vectors, "TILE_ROWS", 2)
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1]), (3, [1.0, 0.2]), (4, [0.1, 1.0]), (9, [-1.0, 0.0]), (9, [-1.0, 0.0]), (1, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    found = near_vectors.near_vectors(table).collect()
+    assert sorted(tuple(r)[:3] for r in found) == [(1, 0, 1), (1, 1, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 1, 1), (9, 1, 9), (9, 1, 9)]
+
+
 def _top(ids, rows, queries, k):
     result = {}
     for q in queries:

@@ -13,7 +13,7 @@ from stowline.llm.mixing import mix_sources, word_count
 from stowline.llm.pieces import encode_pieces
 from stowline.llm.queries import held_out, vocabulary
 from stowline.llm.storage import saved
-from stowline.llm.suffixes import remove_repeats
+from stowline.llm.suffixes import ADDED, remove_repeats
 from stowline.llm.texts import unused
 
 #: A text is rejected when the best language's code is no shorter than its bytes.
@@ -34,8 +34,8 @@ def known_language(spark, docs, sf_dir):
 def one_of_near_copies(spark, docs, sf_dir):
     """Of documents that links of 5-word shingles (Jaccard 0.8 or more) connect, that of the smallest id."""
     found = jaccard_components(docs, width=NEAR_WORDS, percent=NEAR_PERCENT)
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = saved(kept, "kept")
+    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    kept = saved(ids.where("doc_id = component_id").select("doc_id", "rows"), "kept")
     once = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
     if kept.where("rows > 1").head(1):
         again = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
@@ -45,11 +45,11 @@ def one_of_near_copies(spark, docs, sf_dir):
 
 def without_repeats(spark, docs, sf_dir):
     """Texts without the 50-byte strings of documents of smaller ids; those left blank by it go."""
-    marks = unused(docs.columns, "_text")
-    cut = remove_repeats(docs.withColumn(marks, F.col("text")), text=marks, width=REPEAT_BYTES,
-                         keep=[*docs.columns, "kept"], whole_characters=True)
-    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text"))
-    cut = cut.withColumn("text", text).where((F.col("n_removed") == 0) | F.col("text").rlike("[^\\s]"))
+    names = [unused(docs.columns, name) for name in ADDED]
+    removed, kept = F.col(names[1]), names[3]
+    cut = remove_repeats(docs, width=REPEAT_BYTES, keep=[*docs.columns, kept], whole_characters=True, names=names)
+    text = F.when(removed > 0, F.col(kept).cast("string")).otherwise(F.col("text"))
+    cut = cut.withColumn("text", text).where((removed == 0) | F.col("text").rlike("[^\\s]"))
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -70,7 +70,9 @@ def mixed_sources(spark, docs, sf_dir):
     units = units.union(equal.select(F.struct("doc_id", "row", "n").alias("id"), "source", "size"))
     copies = saved(mix_sources(saved(units, "sizes")).where("copies > 0").select("id.doc_id", "id.row", "copies"), "copies")
     again = F.explode(F.sequence(one, F.col("c.copies"))).alias(unused(docs.columns, "_copy"))
-    named = docs.alias("d").join(copies.where("row is null").alias("c"), F.col("d.doc_id") == F.col("c.doc_id"))
+    # There is a row of copies for most documents: never a table to broadcast.
+    chosen = copies.where("row is null").hint("merge").alias("c")
+    named = docs.alias("d").join(chosen, F.col("d.doc_id") == F.col("c.doc_id"))
     shared = copies.where("row is not null").groupBy("row").agg(F.sum("copies").alias("copies"))
     others = nameless.dropDuplicates([row]).alias("d").join(shared.alias("c"), F.col(f"d.{row}") == F.col("c.row"))
     return named.select("d.*", again).select(*docs.columns).union(others.select("d.*", again).select(*docs.columns))

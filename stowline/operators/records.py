@@ -83,5 +83,14 @@ def to_kafka_rows(source_records: DataFrame) -> DataFrame:
 
 
 def dedupe_records(records: DataFrame) -> DataFrame:
-    """One row per topic, partition, offset: undoes redelivery."""
-    return records.dropDuplicates(["topic", "partition", "offset"])
+    """One row per topic, partition, offset: undoes redelivery.
+
+    Of copies that differ, the least stays, by the other columns in their order, so a second
+    run keeps the same. ``streaming.dedupe.first_deliveries`` does this across batches.
+    """
+    key = ["topic", "partition", "offset"]
+    others = [c for c in records.columns if c not in key]
+    if not others:
+        return records.distinct()
+    least = records.groupBy(*key).agg(F.min(F.struct(*others)).alias("_least"))
+    return least.select(*[c if c in key else F.col("_least")[c].alias(c) for c in records.columns])

@@ -15,6 +15,13 @@ def block_of(order_col: str, width: int) -> Column:
     return F.expr(f"`{order_col}` div {width}")
 
 
+def _beside(rows: DataFrame, carried: DataFrame, cells: list[str]) -> DataFrame:
+    """Rows with the one row of their cell; null keys are a group like any other."""
+    named = carried.withColumnsRenamed({c: f"_of_{c}" for c in cells})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cells]
+    return rows.join(named, same, "left")
+
+
 def running_total(
     df: DataFrame,
     keys: list[str],
@@ -25,7 +32,7 @@ def running_total(
 ) -> DataFrame:
     """Add ``name``: sum of ``value`` over the rows of the group up to this one.
 
-    ``order_col`` is a whole number, unique in its group; keys are not null.
+    ``order_col`` is a whole number, unique in its group; a null key is a group of its own.
     """
     blocked = df.withColumn("_block", block_of(order_col, width)).withColumn("_value", value)
     cells = keys + ["_block"]
@@ -52,7 +59,7 @@ def running_total(
     )
     return (
         blocked.withColumn(name, inside)
-        .join(before, cells, "left")
+        .transform(lambda found: _beside(found, before, cells))
         .withColumn(name, F.col(name) + F.col("_before"))
         .select(*df.columns, name)
     )
@@ -79,7 +86,7 @@ def previous_value(
     return (
         blocked.withColumn(name, F.lag(value_col).over(in_block))
         .withColumn("_first", F.row_number().over(in_block) == 1)
-        .join(edges, cells, "left")
+        .transform(lambda found: _beside(found, edges, cells))
         .withColumn(name, F.when(F.col("_first"), F.col("_edge")).otherwise(F.col(name)))
         .select(*df.columns, name)
     )

@@ -11,9 +11,12 @@ is a chain through the whole group, but only through record sizes. So:
    group are applied in order, which gives the state entering each run, and from
    there, run by run in parallel, the state entering each block.
 3. Each block is then cut on its own, in parallel, and its cuts are joined to the
-   records.
+   records; a summary of the segments adds up what each block gives to them instead.
 """
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -73,16 +76,28 @@ def out_of_order(
     ).drop("previous_offset")
 
 
-def _sizes(records: DataFrame, keys: list[str], cap: int, block_rows: int) -> DataFrame:
-    """Key columns, block, offset and size; an oversized record fails here."""
+REFUSED = "record without topic, partition, offset or epoch"
+
+
+def _sizes(
+    records: DataFrame, keys: list[str], cap: int, block_rows: int, refuse: bool = False
+) -> DataFrame:
+    """Key columns, block, offset and size; an oversized record fails here.
+
+    Records that lack a key are left out, or with ``refuse`` fail too.
+    """
     too_large = F.format_string(
         f"record %s/%d offset %d takes %d bytes, more than a segment of {cap} can hold",
         "topic", "partition", "offset", "_size",
     )
-    # records that lack a key column are left to attach_segments, which refuses them
-    complete = records.select(*keys, "offset", record_size().alias("_size")).dropna(
-        subset=keys + ["offset"]
-    )
+    size = record_size()
+    if refuse:
+        missing = reduce(or_, (F.col(c).isNull() for c in (*keys, "offset")))
+        size = F.when(missing, F.raise_error(F.lit(REFUSED)).cast("long")).otherwise(size)
+    # else they are left to attach_segments, which refuses them
+    complete = records.select(*keys, "offset", size.alias("_size"))
+    if not refuse:
+        complete = complete.dropna(subset=keys + ["offset"])
     return complete.select(
         *keys,
         F.expr(f"offset div {block_rows}").alias("_block"),
@@ -118,6 +133,34 @@ def _key_columns(table: pa.Table, keys: list[str], n: int) -> list[pa.Array]:
     return [pa.repeat(table.column(k)[0], n) for k in keys]
 
 
+def _packed_steps(limit, fill, start) -> np.ndarray:
+    """A step function as pieces (limit, its step, fill, its step, start, its step, count).
+
+    Where all records have one size the three advance evenly, so thousands of steps are two
+    pieces; where sizes vary there are few steps.
+    """
+    values = np.stack([limit, fill, start])
+    steps = np.diff(values, axis=1)
+    heads = np.flatnonzero(np.append(True, (steps[:, 1:] != steps[:, :-1]).any(axis=0))) if steps.shape[1] else []
+    # the first entry alone, then each stretch of equal steps
+    heads = np.concatenate(([0], np.asarray(heads, np.int64) + 1))
+    counts = np.diff(np.append(heads, values.shape[1]))
+    pieces = np.zeros((len(heads), 7), np.int64)
+    pieces[:, 0:6:2] = values[:, heads].T
+    pieces[1:, 1:6:2] = steps[:, heads[1:] - 1].T
+    pieces[:, 6] = counts
+    return pieces.reshape(-1)
+
+
+def _unpacked_steps(pieces: np.ndarray):
+    """(limit, fill, start) of ``_packed_steps``."""
+    pieces = pieces.reshape(-1, 7)
+    counts = pieces[:, 6]
+    piece = np.repeat(np.arange(len(pieces)), counts)
+    place = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return tuple(pieces[piece, c] + place * pieces[piece, c + 1] for c in (0, 2, 4))
+
+
 def _summarizer(keys: list[str], cap: int):
     def summarize(table: pa.Table) -> pa.Table:
         offsets, ends = _block_arrays(table)
@@ -140,11 +183,12 @@ def _summarizer(keys: list[str], cap: int):
             _key_columns(table, keys + ["_block"], 1)
             + [
                 pa.array([int(ends[-1])], pa.int64()),
-                pa.array([ends[step]], pa.list_(pa.int64())),
-                pa.array([SEGMENT_OVERHEAD + ends[-1] - begins[final]], pa.list_(pa.int64())),
-                pa.array([offsets[final]], pa.list_(pa.int64())),
+                pa.array(
+                    [_packed_steps(ends[step], SEGMENT_OVERHEAD + ends[-1] - begins[final], offsets[final])],
+                    pa.list_(pa.int64()),
+                ),
             ],
-            names=keys + ["_block", "_bytes", "_limit", "_fill", "_start"],
+            names=keys + ["_block", "_bytes", "_pieces"],
         )
 
     return summarize
@@ -157,22 +201,20 @@ def _leave(fill, start, total, limit, fills, starts, cap):
     return np.where(inside, fill + total, fills[at]), np.where(inside, start, starts[at])
 
 
-def _steps(table: pa.Table) -> list[tuple]:
-    """(block, bytes, limit, fill, start) of each summary, in block order."""
+def _steps(table: pa.Table):
+    """(block, bytes, limit, fill, start) of each summary, in block order, one at a time."""
     blocks, totals = (table.column(c).to_numpy() for c in ("_block", "_bytes"))
-    lists = [table.column(c).combine_chunks() for c in ("_limit", "_fill", "_start")]
-    return [
-        (int(blocks[i]), int(totals[i]), *(c[i].values.to_numpy() for c in lists))
-        for i in np.argsort(blocks)
-    ]
+    pieces = table.column("_pieces").combine_chunks()
+    for i in np.argsort(blocks):
+        yield int(blocks[i]), int(totals[i]), *_unpacked_steps(pieces[i].values.to_numpy())
 
 
 def _composer(keys: list[str], cap: int):
     def compose(table: pa.Table) -> pa.Table:
         """One summary for a run of blocks, as if they were one block."""
         steps = _steps(table)
-        _, size, limit, fill, start = steps[0]
-        for _, total, next_limit, next_fill, next_start in steps[1:]:
+        _, size, limit, fill, start = next(steps)
+        for _, total, next_limit, next_fill, next_start in steps:
             fill, start = _leave(fill, start, total, next_limit, next_fill, next_start, cap)
             if size <= cap - SEGMENT_OVERHEAD:
                 # the segment open at the beginning may reach into this block
@@ -184,19 +226,18 @@ def _composer(keys: list[str], cap: int):
             limit, fill, start = limit[kept], fill[kept], start[kept]
         return pa.table(
             _key_columns(table, keys + ["_run"], 1)
-            + [pa.array([size], pa.int64())]
-            + [pa.array([c], pa.list_(pa.int64())) for c in (limit, fill, start)],
-            names=keys + ["_block", "_bytes", "_limit", "_fill", "_start"],
+            + [pa.array([size], pa.int64()), pa.array([_packed_steps(limit, fill, start)], pa.list_(pa.int64()))],
+            names=keys + ["_block", "_bytes", "_pieces"],
         )
 
     return compose
 
 
-def _walk(steps: list[tuple], fill: int, start: int | None, cap: int):
-    """Fill and open segment entering each block, from those entering the first."""
+def _walk(steps, fill: int, start: int | None, cap: int):
+    """Block, and fill and open segment entering it, for each block, from those entering the first."""
     entries = []
-    for _, total, limit, fills, starts in steps:
-        entries.append((fill, start))
+    for block, total, limit, fills, starts in steps:
+        entries.append((block, fill, start))
         if fill + total <= cap:
             fill += total
         else:
@@ -205,46 +246,64 @@ def _walk(steps: list[tuple], fill: int, start: int | None, cap: int):
     return entries
 
 
-def _entry_table(table: pa.Table, keys: list[str], steps, entries) -> pa.Table:
+def _entry_table(table: pa.Table, keys: list[str], entries) -> pa.Table:
     return pa.table(
-        _key_columns(table, keys, len(steps))
-        + [
-            pa.array([s[0] for s in steps], pa.int64()),
-            pa.array([e[0] for e in entries], pa.int64()),
-            pa.array([e[1] for e in entries], pa.int64()),
-        ],
+        _key_columns(table, keys, len(entries)) + [pa.array(c, pa.int64()) for c in zip(*entries)],
         names=keys + ["_block", "_fill", "_start"],
     )
 
 
 def _run_walker(keys: list[str], cap: int):
     def walk(runs: pa.Table) -> pa.Table:
-        steps = _steps(runs)
         # nothing open: a full segment makes the first record start one
-        return _entry_table(runs, keys, steps, _walk(steps, cap, None, cap))
+        return _entry_table(runs, keys, _walk(_steps(runs), cap, None, cap))
 
     return walk
 
 
 def _block_walker(keys: list[str], cap: int):
     def walk(blocks: pa.Table, entry: pa.Table) -> pa.Table:
-        steps = _steps(blocks)
         fill, start = (entry.column(c)[0].as_py() for c in ("_fill", "_start"))
-        return _entry_table(blocks, keys, steps, _walk(steps, fill, start, cap))
+        return _entry_table(blocks, keys, _walk(_steps(blocks), fill, start, cap))
 
     return walk
 
 
+def _cuts(ends: np.ndarray, fill: int, cap: int) -> list[int]:
+    """Indexes of the records of a block that start a segment."""
+    following = _next_starts(ends, cap)
+    at = int(np.searchsorted(ends, cap - fill, side="right"))
+    cuts = []
+    while at < len(ends):
+        cuts.append(at)
+        at = int(following[at])
+    return cuts
+
+
+def _piece_maker(keys: list[str], cap: int):
+    def cut(sizes: pa.Table, entry: pa.Table) -> pa.Table:
+        """What a block adds to each segment it touches; the first may have begun before it."""
+        offsets, ends = _block_arrays(sizes)
+        cuts = _cuts(ends, entry.column("_fill")[0].as_py(), cap)
+        edges = np.array(cuts if cuts[:1] == [0] else [0, *cuts], np.int64)
+        starts = [int(offsets[at]) for at in edges]
+        if cuts[:1] != [0]:
+            starts[0] = entry.column("_start")[0].as_py()
+        last = np.append(edges[1:], len(offsets)) - 1
+        before = np.concatenate(([0], ends))[edges]
+        return pa.table(
+            _key_columns(sizes, keys, len(edges))
+            + [pa.array(c, pa.int64()) for c in (starts, offsets[last], last - edges + 1, ends[last] - before)],
+            names=keys + ["segment_start", "_end", "_count", "_size"],
+        )
+
+    return cut
+
+
 def _cutter(keys: list[str], cap: int, bucket_rows: int):
     def cut(sizes: pa.Table, entry: pa.Table) -> pa.Table:
         offsets, ends = _block_arrays(sizes)
-        n = len(offsets)
-        following = _next_starts(ends, cap)
-        at = int(np.searchsorted(ends, cap - entry.column("_fill")[0].as_py(), side="right"))
-        cuts = []
-        while at < n:
-            cuts.append(at)
-            at = int(following[at])
+        cuts = _cuts(ends, entry.column("_fill")[0].as_py(), cap)
         starts = offsets[cuts] if cuts else offsets[:0]
         buckets = np.unique(offsets // bucket_rows)
         edges = np.searchsorted(starts, np.append(buckets * bucket_rows, offsets[-1] + 1))
@@ -263,30 +322,15 @@ def _cutter(keys: list[str], cap: int, bucket_rows: int):
     return cut
 
 
-def segment_starts(
-    records: DataFrame,
-    cap: int = SEGMENT_CAPACITY,
-    epoch_col: str | None = None,
-    block_rows: int = BLOCK_ROWS,
-    run_blocks: int = RUN_BLOCKS,
-) -> tuple[DataFrame, int]:
-    """Where segments start: one row per bucket of offsets, and the bucket width.
-
-    ``_open`` is the segment open at the bucket's start, ``_starts`` those starting in it.
-    """
+def _entered_blocks(
+    records: DataFrame, cap: int, epoch_col: str | None, block_rows: int, run_blocks: int, refuse: bool = False
+):
+    """Sizes by block, cogrouped with the fill and open segment that enter it."""
     keys = group_keys(epoch_col)
-    # a bucket spans few segments whatever the record size, so looking a record
-    # up among its bucket's starts costs a fixed time per byte
-    bucket_rows = min(max(cap // 64, 256), 1 << 16, block_rows)
-    block_rows -= block_rows % bucket_rows
-    sizes = _sizes(records, keys, cap, block_rows)
-    key_fields = [records.schema[k] for k in keys]
-    longs = T.ArrayType(T.LongType())
-    block = key_fields + [T.StructField("_block", T.LongType())]
+    sizes = _sizes(records, keys, cap, block_rows, refuse)
+    block = [records.schema[k] for k in keys] + [T.StructField("_block", T.LongType())]
     summary_type = T.StructType(
-        block
-        + [T.StructField("_bytes", T.LongType())]
-        + [T.StructField(c, longs) for c in ("_limit", "_fill", "_start")]
+        block + [T.StructField("_bytes", T.LongType()), T.StructField("_pieces", T.ArrayType(T.LongType()))]
     )
     entry_type = T.StructType(
         block + [T.StructField(c, T.LongType()) for c in ("_fill", "_start")]
@@ -302,20 +346,29 @@ def segment_starts(
     entries = summaries.cogroup(
         run_entries.withColumnRenamed("_block", "_run").groupBy(*keys, "_run")
     ).applyInArrow(_block_walker(keys, cap), entry_type)
-    starts = (
-        sizes.groupBy(*keys, "_block")
-        .cogroup(entries.groupBy(*keys, "_block"))
-        .applyInArrow(
-            _cutter(keys, cap, bucket_rows),
-            T.StructType(
-                key_fields
-                + [
-                    T.StructField("_bucket", T.LongType()),
-                    T.StructField("_open", T.LongType()),
-                    T.StructField("_starts", longs),
-                ]
-            ),
-        )
+    return sizes.groupBy(*keys, "_block").cogroup(entries.groupBy(*keys, "_block"))
+
+
+def segment_starts(
+    records: DataFrame,
+    cap: int = SEGMENT_CAPACITY,
+    epoch_col: str | None = None,
+    block_rows: int = BLOCK_ROWS,
+    run_blocks: int = RUN_BLOCKS,
+) -> tuple[DataFrame, int]:
+    """Where segments start: one row per bucket of offsets, and the bucket width.
+
+    ``_open`` is the segment open at the bucket's start, ``_starts`` those starting in it.
+    """
+    keys = group_keys(epoch_col)
+    # a bucket spans few segments whatever the record size, so looking a record
+    # up among its bucket's starts costs a fixed time per byte
+    bucket_rows = min(max(cap // 64, 256), 1 << 16, block_rows)
+    block_rows -= block_rows % bucket_rows
+    found = [T.StructField("_bucket", T.LongType()), T.StructField("_open", T.LongType())]
+    found.append(T.StructField("_starts", T.ArrayType(T.LongType())))
+    starts = _entered_blocks(records, cap, epoch_col, block_rows, run_blocks).applyInArrow(
+        _cutter(keys, cap, bucket_rows), T.StructType([records.schema[k] for k in keys] + found)
     )
     return starts, bucket_rows
 
@@ -325,7 +378,7 @@ def attach_segments(
 ) -> DataFrame:
     """Records with ``segment_start`` looked up in a table made by ``segment_starts``."""
     keys = group_keys(epoch_col)
-    refused = F.raise_error(F.lit("record without topic, partition, offset or epoch"))
+    refused = F.raise_error(F.lit(REFUSED))
     found = F.array_max(F.filter("_starts", lambda s: s <= F.col("offset")))
     return (
         records.withColumn("_bucket", F.expr(f"offset div {bucket_rows}"))
@@ -354,14 +407,24 @@ def assign_segments(
 
 
 def summarize_segments(
-    records: DataFrame, cap: int = SEGMENT_CAPACITY, prefix: str = "", epoch_col: str | None = None
+    records: DataFrame,
+    cap: int = SEGMENT_CAPACITY,
+    prefix: str = "",
+    epoch_col: str | None = None,
+    block_rows: int = BLOCK_ROWS,
+    run_blocks: int = RUN_BLOCKS,
 ) -> DataFrame:
-    """``segment_summary`` of records not packed yet: sizes are taken first, so no payload is shuffled."""
+    """``segment_summary`` of records not packed yet.
+
+    Sizes are all that is taken of the records. Each block tells what it adds to the segments
+    it touches, and the parts of a segment add up: records are not joined to their segments.
+    """
     keys = group_keys(epoch_col)
-    starts, bucket_rows = segment_starts(records, cap, epoch_col)
-    sized = records.select(*keys, "offset", record_size().alias("_size"))
-    assigned = attach_segments(sized, starts, bucket_rows, epoch_col)
-    return segment_summary(assigned, prefix, epoch_col, F.col("_size"))
+    parts = [T.StructField(c, T.LongType()) for c in ("segment_start", "_end", "_count", "_size")]
+    pieces = _entered_blocks(records, cap, epoch_col, block_rows, run_blocks, refuse=True).applyInArrow(
+        _piece_maker(keys, cap), T.StructType([records.schema[k] for k in keys] + parts)
+    )
+    return _summary(pieces, keys, prefix, F.max("_end"), F.sum("_count"), F.sum("_size"))
 
 
 def segment_summary(
@@ -371,14 +434,17 @@ def segment_summary(
 
     ``size`` is the size of a record, by default taken from its columns.
     """
-    keys = group_keys(epoch_col)
     size = record_size() if size is None else size
+    return _summary(assigned, group_keys(epoch_col), prefix, F.max("offset"), F.count("*"), F.sum(size))
+
+
+def _summary(rows: DataFrame, keys: list[str], prefix: str, end: Column, count: Column, size: Column) -> DataFrame:
     return (
-        assigned.groupBy(*keys, "segment_start")
+        rows.groupBy(*keys, "segment_start")
         .agg(
-            F.max("offset").alias("end_offset"),
-            F.count("*").alias("record_count"),
-            (F.sum(size) + SEGMENT_OVERHEAD).alias("byte_length"),
+            end.alias("end_offset"),
+            count.alias("record_count"),
+            (size + SEGMENT_OVERHEAD).alias("byte_length"),
         )
         .select(
             object_key(

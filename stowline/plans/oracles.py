@@ -237,6 +237,12 @@ ORACLES = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_us(o_orderdate) AS o_orderdate,
                o_orderpriority
         FROM orders""",
+    "stream_parquet_widened": """
+        SELECT event_id, CASE WHEN event_id % 2 = 1 THEN user_id END AS user_id,
+               CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type,
+               CASE WHEN event_id % 2 = 0 THEN value END AS value,
+               CASE WHEN event_id % 2 = 0 THEN props END AS props
+        FROM events""",
     "parquet_progress": """
         SELECT event_id,
                CAST(row_number() OVER (ORDER BY event_id) AS DOUBLE) / count(*) OVER () AS progress

@@ -15,6 +15,7 @@ from stowline.sources.segment_reader import read_segments
 from stowline.sources.segments import decode_segments as _decode
 from stowline.sources.segments import scan_segments
 from stowline.streaming.archive import append_latencies_stream, write_segments_stream
+from stowline.streaming.widening import widening_parquet
 from stowline.streaming.discovery import discover_new_files
 from stowline.streaming.line_source import tail_lines
 
@@ -496,6 +497,22 @@ def stream_parquet(spark, folder):
     return _to_table(parquet.stream_parquet(spark, f"{folder}/order[s].parquet", 1))
 
 
+def stream_parquet_widened(spark, folder):
+    """Events in files whose columns differ, one file a batch, read back with all columns."""
+    events, source, out = _table(spark, folder, "events"), new_folder(spark, "widening"), new_folder(spark, "widened")
+    odd = F.col("event_id") % 2 == 1
+    events.where(odd).select("event_id", "user_id", "event_type").write.parquet(f"{source}/odd")
+    events.where(~odd).select("value", "event_id", "props").write.parquet(f"{source}/even/deep")
+    _run(
+        widening_parquet(
+            spark, source, lambda rows, epoch: rows.write.mode("overwrite").parquet(f"{out}/{epoch}"),
+            new_folder(spark, "schema-log"), new_folder(spark, "checkpoint"), 1, trigger={"availableNow": True},
+        )
+    )
+    rows = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(out)
+    return rows.select("event_id", "user_id", "event_type", "value", "props")
+
+
 def parquet_progress(spark, folder):
     return parquet.parquet_progress(spark, f"{folder}/events.parquet").select(
         "event_id", "progress"
@@ -628,6 +645,7 @@ QUERIES = {
     "scan_parquet_merged": scan_parquet_merged,
     "scan_timestamps_physical": scan_timestamps_physical,
     "stream_parquet": stream_parquet,
+    "stream_parquet_widened": stream_parquet_widened,
     "parquet_progress": parquet_progress,
     "int96_bytes": int96_bytes,
     "physical_maps": physical_maps,

@@ -1,16 +1,14 @@
 """Segments as objects under their own keys."""
 
 import json
-import uuid
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from stowline.functions.keys import object_key_text
 from stowline.operators.segments import assembler, encoded_by_segment, group_keys
-from stowline.sources.storage import join_path, locate, qualify
+from stowline.sources.storage import join_path, put_object, qualify
 
 FORMAT, SINK_FORMAT = "stowline_segments", "stowline_segment_sink"
 
@@ -36,7 +34,7 @@ class SegmentWriter(DataSourceArrowWriter):
         count = 0
         for batch in assembler(self.keys)(iterator) if self.keys else iterator:
             for key, payload in zip(self._names(batch), batch.column("payload")):
-                self._put(key, payload.as_buffer())
+                put_object(join_path(self.base, key), payload.as_buffer())
                 count += 1
         return Written(count)
 
@@ -47,22 +45,6 @@ class SegmentWriter(DataSourceArrowWriter):
         rows = zip(*(batch.column(c).to_pylist() for c in parts))
         return [object_key_text(self.prefix, *row) for row in rows]
 
-    def _put(self, key: str, payload: pa.Buffer) -> None:
-        system, path = locate(join_path(self.base, key))
-        if system.type_name in ("local", "hdfs"):
-            # readers must never see half an object; object stores put atomically
-            folder, name = path.rsplit("/", 1)
-            system.create_dir(folder, recursive=True)
-            partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
-            with system.open_output_stream(partial) as stream:
-                stream.write(payload)
-            if system.type_name == "hdfs" and system.get_file_info(path).is_file:
-                system.delete_file(path)  # a rename does not replace there
-            system.move(partial, path)
-        else:
-            with system.open_output_stream(path) as stream:
-                stream.write(payload)
-
 
 def writer_of(options) -> SegmentWriter:
     keys = options.get("assemble")

@@ -1,8 +1,10 @@
 """Schemas and row counts from Parquet footers."""
 
+import json
 from dataclasses import dataclass, field
 
 import pyarrow.parquet as pq
+from pyspark.sql import SparkSession
 
 from stowline.sources.storage import locate
 
@@ -58,102 +60,52 @@ def open_footer(uri: str) -> pq.ParquetFile:
     return pq.ParquetFile(system.open_input_file(path))
 
 
-# Names of the stored types and repetitions by number in the footer's schema
-# list, and of the annotations of groups, older and newer.
-_PHYSICAL = ("boolean", "int32", "int64", "int96", "float", "double", "binary", "fixed_len_byte_array")
-_REPETITION = ("required", "optional", "repeated")
-_CONVERTED = {1: "Map", 2: "Map", 3: "List"}
-_LOGICAL = {2: "Map", 3: "List"}
-
-
-class _Compact:
-    """Reads values of the footer's compact encoding: structs as {field number: value}."""
-
-    def __init__(self, data: bytes):
-        self.data, self.at = data, 0
-
-    def _number(self, signed: bool) -> int:
-        value = shift = 0
-        while True:
-            byte = self.data[self.at]
-            self.at += 1
-            value |= (byte & 0x7F) << shift
-            shift += 7
-            if byte < 0x80:
-                return (value >> 1) ^ -(value & 1) if signed else value
-
-    def value(self, kind: int):
-        if kind in (1, 2):
-            return kind == 1
-        if kind == 3:
-            self.at += 1
-            return self.data[self.at - 1]
-        if kind in (4, 5, 6):
-            return self._number(True)
-        if kind in (7, 8):
-            size = 8 if kind == 7 else self._number(False)
-            self.at += size
-            return self.data[self.at - size : self.at]
-        if kind in (9, 10):
-            head = self.data[self.at]
-            self.at += 1
-            count = head >> 4 if head >> 4 < 15 else self._number(False)
-            item = head & 15
-            if item in (1, 2):
-                self.at += count
-                return list(self.data[self.at - count : self.at])
-            return [self.value(item) for _ in range(count)]
-        if kind == 12:
-            return self.struct()
-        raise ValueError(f"footer with an unknown kind of value: {kind}")
-
-    def struct(self, last: int | None = None) -> dict:
-        """Fields up to the end, or up to field ``last``."""
-        found, number = {}, 0
-        while self.data[self.at]:
-            head = self.data[self.at]
-            self.at += 1
-            number = number + (head >> 4) if head >> 4 else self._number(True)
-            found[number] = self.value(head & 15)
-            if number == last:
-                return found
-        self.at += 1
-        return found
-
-
-def message_of(file: pq.ParquetFile, footer: bytes) -> Field:
-    """The schema tree of an open file, from the elements its footer lists."""
-    elements = iter(_Compact(footer).struct(last=2)[2])
-    columns = (file.schema.column(i) for i in range(len(file.schema)))
-
-    def node() -> Field:
-        own = next(elements)
-        name = own[4].decode("utf-8")
-        repetition = _REPETITION[own.get(3, 0)]
-        if 5 not in own and 1 in own:
-            logical = str(next(columns).logical_type)
-            return Field(name, repetition, _PHYSICAL[own[1]], None if logical == "None" else logical)
-        logical = next((v for k, v in _LOGICAL.items() if k in own.get(10, {})), _CONVERTED.get(own.get(6)))
-        return Field(name, repetition, None, logical, [node() for _ in range(own.get(5, 0))])
-
-    return node()
-
-
-def read_message(uri: str) -> Field:
-    """The schema tree of a file."""
-    system, path = locate(uri)
-    with system.open_input_file(path) as data:
-        size = data.size()
-        if size < 12:
-            raise ValueError(f"no Parquet file: {uri}")
-        data.seek(size - 8)
-        length = int.from_bytes(data.read(4), "little")
-        if data.read(4) != b"PAR1" or length > size - 12:
-            raise ValueError(f"no Parquet file: {uri}")
-        data.seek(size - 8 - length)
-        footer = data.read(length)
-        data.seek(0)
-        return message_of(pq.ParquetFile(data), footer)
+# How annotations of groups are shown.
+_GROUPS = {"LIST": "List", "MAP": "Map", "MAP_KEY_VALUE": "Map"}
+
+
+def read_kind(uri: str) -> tuple[str, int]:
+    """A text that only files of one schema share, and the rows of the file; for use in tasks."""
+    with open_footer(uri) as file:
+        schema = file.schema
+        # the first line names an object in memory
+        tree = str(schema).partition("\n")[2]
+        return json.dumps([tree, [schema.column(i).path for i in range(len(schema))]]), file.metadata.num_rows
+
+
+def read_message(spark: SparkSession, uri: str) -> Field:
+    """The schema tree of a file, as Spark's own Parquet reader has it; for use on the driver.
+
+    Leaves have the annotation that Arrow shows, which is the same for older and newer files.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.parquet.hadoop
+    reader = hadoop.ParquetFileReader.open(
+        hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(uri), conf)
+    )
+    try:
+        message = reader.getFileMetaData().getSchema()
+    finally:
+        reader.close()
+    with open_footer(uri) as file:
+        columns = iter([str(file.schema.column(i).logical_type) for i in range(len(file.schema))])
+
+    def node(found) -> Field:
+        name, repetition = found.getName(), found.getRepetition().name().lower()
+        if found.isPrimitive():
+            logical = next(columns)
+            physical = found.asPrimitiveType().getPrimitiveTypeName().name().lower()
+            return Field(name, repetition, physical, None if logical == "None" else logical)
+        annotation = found.getLogicalTypeAnnotation()
+        logical = annotation and _GROUPS.get(annotation.toString())
+        return Field(name, repetition, None, logical, [node(f) for f in found.asGroupType().getFields()])
+
+    return Field(message.getName(), "required", None, None, [node(f) for f in message.getFields()])
+
+
+def from_json(node: dict) -> Field:
+    """A tree from what ``dataclasses.asdict`` made of it."""
+    return Field(**{**node, "children": [from_json(c) for c in node["children"]]})
 
 
 def merged(one: Field, other: Field, where: tuple[str, str], path: tuple = ()) -> Field:

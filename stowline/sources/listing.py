@@ -1,16 +1,19 @@
-"""File inventory."""
+"""File inventory, listed by tasks."""
 
 import re
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyarrow import fs
-
-from stowline.sources.storage import is_file, locate, qualify
+from stowline.sources.storage import locate, qualify
 
 
 SCHEMA = "path string, length long, modificationTime timestamp"
+_FOUND = f"{SCHEMA}, folder boolean"
+# levels of folders that are dealt out anew; deeper ones are listed by the task of their parent
+LEVELS = 2
 
 
 def list_files(
@@ -26,18 +29,106 @@ def list_files(
     unless a list names them.
     With ``ignore_missing`` names of a list that are not there, and files that vanish
     before they are looked at, are left out.
+
+    Folders are listed by tasks and never gathered on the driver: those of each of the first
+    levels are dealt out to all tasks, which then list what lies below. A folder's own
+    files are listed by one task. Only patterns are resolved by Spark's own file index.
+    """
+    paths = path if isinstance(path, list) else [path]
+    if any(re.search(r"[*?\[{]", p) for p in paths):
+        return _matching(spark, path, recursive, ignore_missing)
+    roots = [plain_uri(qualify(spark, p)) for p in paths]
+    if not ignore_missing and len(roots) == 1:
+        _look(roots[0], False)  # a wrong name is told at once
+    found = spark.createDataFrame([(r,) for r in roots], "path string")
+    found = found.mapInArrow(_lister("here", ignore_missing), _FOUND)
+    spread = spark.sparkContext.defaultParallelism
+    for level in range(LEVELS if recursive else 0):
+        last = level == LEVELS - 1
+        found = found.repartition(spread, "path").mapInArrow(_lister("below" if last else "next", ignore_missing), _FOUND)
+    return found.where("not folder").drop("folder")
+
+
+def plain_uri(uri: str) -> str:
+    uri = re.sub("^file:/+", "file:/", uri)
+    return uri.rstrip("/") if uri.count("/") > 1 else uri
+
+
+def _look(uri: str, ignore_missing: bool):
+    system, inner = locate(uri)
+    info = system.get_file_info(inner)
+    if info.type == fs.FileType.NotFound:
+        if ignore_missing:
+            return None
+        raise FileNotFoundError(uri)
+    return info
+
+
+def _children(uri: str, recursive: bool, ignore_missing: bool):
+    """(URI, info) of what lies in a folder and is not hidden."""
+    system, inner = locate(uri)
+    base = inner.rstrip("/")
+    start = uri[: uri.rindex(base)] if base else uri.rstrip("/")
+    for info in system.get_file_info(fs.FileSelector(inner, ignore_missing, recursive)):
+        if not re.search(r"/[_.]", info.path[len(base) :]):
+            yield start + info.path, info
+
+
+def _lister(what: str, ignore_missing: bool):
+    """Arrow function that replaces folders by what they hold.
+
+    ``here`` takes names of files and folders, ``next`` folders that were found, for one
+    level each, and ``below`` those for all levels.
     """
-    if ignore_missing and isinstance(path, list):
-        path = [p for p in path if is_file(qualify(spark, p))]
-        if not path:
-            return spark.createDataFrame([], SCHEMA)
-    hidden = []
-    if isinstance(path, list):
-        hidden = [p for p in path if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
-        path = [p for p in path if p not in hidden]
-    named = _named_files(spark, hidden, ignore_missing)
-    if hidden and not path:
-        return named
+
+    def rows(batch):
+        known = batch.to_pylist()
+        for row in known:
+            if what == "here":
+                info = _look(row["path"], ignore_missing)
+                if info is None:
+                    continue
+                if info.type != fs.FileType.Directory:
+                    yield row["path"], info
+                    continue
+            elif not row["folder"]:
+                yield row
+                continue
+            yield from _children(row["path"], what == "below", ignore_missing)
+
+    def table(found):
+        made = []
+        for item in found:
+            if not isinstance(item, dict):
+                path, info = item
+                folder = info.type == fs.FileType.Directory
+                # whole milliseconds, as in Spark's own inventory
+                micros = (info.mtime_ns or 0) // 1_000_000 * 1000
+                item = {"path": path, "length": info.size or 0, "modificationTime": micros, "folder": folder}
+            made.append(item)
+        return pa.RecordBatch.from_pylist(made, _ARROW)
+
+    def listed(batches):
+        held = []
+        for batch in batches:
+            for item in rows(batch):
+                held.append(item)
+                if len(held) >= 10_000:
+                    yield table(held)
+                    held = []
+        if held:
+            yield table(held)
+
+    return listed
+
+
+_ARROW = pa.schema(
+    [("path", pa.string()), ("length", pa.int64()), ("modificationTime", pa.timestamp("us", "UTC")), ("folder", pa.bool_())]
+)
+
+
+def _matching(spark: SparkSession, path, recursive: bool, ignore_missing: bool) -> DataFrame:
+    """The same for patterns of names."""
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -47,21 +138,7 @@ def list_files(
     )
     if not recursive:
         found = found.where(one_level(spark, path if isinstance(path, list) else [path]))
-    return regular_files(found).union(named) if hidden else regular_files(found)
-
-
-def _named_files(spark: SparkSession, paths: list[str], ignore_missing: bool) -> DataFrame:
-    """Inventory rows of single files, looked up by name."""
-    rows = []
-    for path in paths:
-        uri = re.sub("^file:/+", "file:/", qualify(spark, path))
-        system, inner = locate(uri)
-        info = system.get_file_info(inner)
-        if info.type == fs.FileType.File:
-            rows.append((uri, info.size, info.mtime))
-        elif not ignore_missing:
-            raise FileNotFoundError(uri)
-    return spark.createDataFrame(rows, SCHEMA)
+    return regular_files(found)
 
 
 def one_level(spark: SparkSession, paths: list[str]) -> Column:

@@ -1,19 +1,20 @@
 """Parquet files by their physical types: annotations other than text are ignored."""
 
-import json
 import logging
 from collections.abc import Callable
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stowline.functions.physical import int96_bytes, physical_list, physical_map
-from stowline.sources.footers import Field, merged, open_footer, read_message
-from stowline.sources.listing import list_files
-from stowline.sources.storage import check_on_error
+from stowline.scratch import new_folder
+from stowline.sources.footers import Field, merged, open_footer, read_kind, read_message
+from stowline.sources.listing import list_files, plain_uri
+from stowline.sources.storage import check_on_error, is_file, qualify
 
 # The Spark type each stored type is read as.
 SPARK_TYPES = {
@@ -32,6 +33,9 @@ OLDEST_FILE = "36500d"
 
 log = logging.getLogger(__name__)
 
+# so many named files are looked at by the driver, more of them and folders by tasks
+FEW_FILES = 16
+
 # above this many files, row counts are joined by a shuffle instead of a broadcast
 BROADCAST_FILES = 50_000
 
@@ -130,50 +134,77 @@ def _map(entry: Field) -> View:
     )
 
 
-def _messages(on_error: str):
-    """Arrow function from paths to the schema trees of the files."""
+def _kinds(on_error: str):
+    """Arrow function from paths to what their footers tell: ``kind`` of schema and ``rows``."""
 
     def read(batches):
         for batch in batches:
             found = []
             for path in batch.column("path").to_pylist():
                 try:
-                    found.append((path, json.dumps(asdict(read_message(path)))))
+                    found.append((path, *read_kind(path)))
                 except (OSError, ValueError):
                     if on_error == "fail":
                         raise
                     log.exception("skipped %s", path)
-            columns = [pa.array(c, pa.string()) for c in (zip(*found) if found else ((), ()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["path", "message"])
+            yield pa.RecordBatch.from_pylist([dict(zip(_FOOTERS.names, f)) for f in found], _FOOTERS)
 
     return read
 
 
-def _tree(node: dict) -> Field:
-    return Field(**{**node, "children": [_tree(c) for c in node["children"]]})
+_FOOTERS = pa.schema([("path", pa.string()), ("kind", pa.string()), ("rows", pa.int64())])
+_FOOTER_COLUMNS = "path string, kind string, rows long"
+
+
+def _named(spark: SparkSession, path: str | list[str]) -> list[str] | None:
+    """URIs if a few files are named, whose footers the driver can read itself."""
+    paths = [plain_uri(qualify(spark, p)) for p in (path if isinstance(path, list) else [path])]
+    return paths if len(paths) <= FEW_FILES and all(is_file(p) for p in paths) else None
 
 
-def _message(
+def read_footers(
     spark: SparkSession, path: str | list[str], recursive: bool = True, on_error: str = "fail"
-) -> Field:
-    """One schema for all files: footers are read by tasks, distinct schemas are merged."""
+) -> DataFrame:
+    """A row per file that is not empty: ``path``, ``kind`` of its schema and ``rows``."""
+    read = _kinds(check_on_error(on_error))
+    named = _named(spark, path)
+    if named is not None:
+        (batch,) = read([pa.RecordBatch.from_arrays([pa.array(named, pa.string())], ["path"])])
+        return spark.createDataFrame([tuple(r.values()) for r in batch.to_pylist()], _FOOTER_COLUMNS)
     files = list_files(spark, path, recursive).where(F.col("length") > 0).select("path")
-    kinds = (
-        _spread(files)
-        .mapInArrow(_messages(check_on_error(on_error)), "path string, message string")
-        .groupBy("message")
-        .agg(F.min("path").alias("path"))
-        .orderBy("path")
-        .collect()
-    )
+    return _spread(files).mapInArrow(read, _FOOTER_COLUMNS)
+
+
+def one_of_each(footers: DataFrame) -> list[tuple[str, str]]:
+    """(kind, path) of one file of every kind of schema, by path."""
+    found = footers.groupBy("kind").agg(F.min("path").alias("path")).orderBy("path")
+    return [(r.kind, r.path) for r in found.collect()]
+
+
+def fold(trees: list[tuple[str, Field]]) -> Field:
+    """One schema that holds the columns of all; ``trees`` are files with theirs."""
+    first, whole = trees[0]
+    for number, (file, tree) in enumerate(trees[1:], 1):
+        tree.name = whole.name
+        # name the first of the files that this one contradicts
+        for before, known in trees[:number]:
+            merged(known, tree, (before, file))
+        whole = merged(whole, tree, (first, file))
+    return whole
+
+
+def physical_tree(
+    spark: SparkSession, path: str | list[str], recursive: bool = True, on_error: str = "fail"
+) -> Field:
+    """One schema for all files: tasks read footers, the driver one file of each kind."""
+    return _tree_of(spark, read_footers(spark, path, recursive, on_error), path)
+
+
+def _tree_of(spark: SparkSession, footers: DataFrame, path) -> Field:
+    kinds = one_of_each(footers)
     if not kinds:
         raise ValueError(f"no file under {path}")
-    whole, first = _tree(json.loads(kinds[0]["message"])), kinds[0]["path"]
-    for kind in kinds[1:]:
-        other = _tree(json.loads(kind["message"]))
-        other.name = whole.name
-        whole = merged(whole, other, (first, kind["path"]))
-    return whole
+    return fold([(file, read_message(spark, file)) for _, file in kinds])
 
 
 def _quoted(name: str) -> Column:
@@ -182,7 +213,7 @@ def _quoted(name: str) -> Column:
 
 def physical_schema(spark: SparkSession, path: str | list[str]) -> T.StructType:
     """Schema to read the files with, holding the columns of all of them."""
-    return _struct(_message(spark, path)).type
+    return _struct(physical_tree(spark, path)).type
 
 
 def _physical(rows: DataFrame, message: Field, *extra: Column) -> DataFrame:
@@ -203,6 +234,7 @@ def scan_parquet_physical(
     with_file: bool = False,
     on_error: str = "fail",
     recursive: bool = True,
+    schema: Field | None = None,
 ) -> DataFrame:
     """Rows by physical type; lists and maps keep their groups, INT96 its 12 bytes.
 
@@ -210,9 +242,10 @@ def scan_parquet_physical(
     columns differ in type fail. Folders are read to all levels unless ``recursive`` is off.
     ``with_file`` adds ``filename`` and ``row_index``. ``on_error="skip"`` passes over
     files that are corrupt or gone. INT96 needs the UTC session time
-    zone and ``spark.sql.parquet.int96RebaseModeInRead=CORRECTED``.
+    zone and ``spark.sql.parquet.int96RebaseModeInRead=CORRECTED``. Where ``schema`` is given,
+    a ``physical_tree``, no footers are read before the scan.
     """
-    message = _message(spark, path, recursive, on_error)
+    message = physical_tree(spark, path, recursive, on_error) if schema is None else schema
     reader = spark.read.option("recursiveFileLookup", recursive).schema(_struct(message).type)
     rows = _skipping(reader, on_error).parquet(*(path if isinstance(path, list) else [path]))
     return _physical(rows, message, *(_file_columns() if with_file else []))
@@ -238,10 +271,11 @@ def stream_parquet(
 ) -> DataFrame:
     """Stream of the rows of Parquet files as they appear; the schema is that of all present files.
 
+    Columns that first appear in later files are left out; ``widening_parquet`` takes them.
     A file is taken once, whatever its age. ``with_progress`` adds ``filename`` and
     ``progress``, exactly 1.0 on a file's last row; tasks take the row counts from the footers.
     """
-    message = _message(spark, directory, recursive, on_error)
+    message = physical_tree(spark, directory, recursive, on_error)
     reader = _skipping(spark.readStream.schema(_struct(message).type), on_error)
     reader = reader.option("recursiveFileLookup", recursive).option("maxFileAge", OLDEST_FILE)
     if max_files_per_trigger is not None:
@@ -258,12 +292,13 @@ def _with_progress(rows: DataFrame, keep_index: bool) -> DataFrame:
     def add(batches):
         counts = {}
         for batch in batches:
-            names = batch.column("filename").to_pylist()
-            for name in set(names) - counts.keys():
+            for name in set(batch.column("filename").unique().to_pylist()) - counts.keys():
                 with open_footer(name) as file:
                     counts[name] = file.metadata.num_rows
-            index = batch.column("row_index").to_pylist()
-            progress = pa.array([(i + 1) / counts[n] for i, n in zip(index, names)], pa.float64())
+            files = batch.column("filename").dictionary_encode()
+            whole = np.array([counts[n] for n in files.dictionary.to_pylist()], np.float64)
+            index = batch.column("row_index").to_numpy() + 1
+            progress = pa.array(index / whole[files.indices.to_numpy()] if len(index) else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, progress], [*batch.schema.names, "progress"])
 
     shape = T.StructType([*rows.schema.fields, T.StructField("progress", T.DoubleType())])
@@ -277,26 +312,11 @@ _INVENTORY = (
 )
 
 
-def _read_footers(batches):
-    for batch in batches:
-        for path in batch.column("path").to_pylist():
-            fields = list(read_message(path).walk())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([path] * len(fields), pa.string()),
-                    pa.array([".".join(p) for p, _ in fields], pa.string()),
-                    pa.array([len(p) for p, _ in fields], pa.int32()),
-                    pa.array([f.repetition for _, f in fields], pa.string()),
-                    pa.array([f.repetition != "required" for _, f in fields], pa.bool_()),
-                    pa.array([f.physical for _, f in fields], pa.string()),
-                    pa.array([f.logical for _, f in fields], pa.string()),
-                    pa.array([f.target for _, f in fields], pa.string()),
-                ],
-                names=[
-                    "path", "column_path", "depth", "repetition", "optional",
-                    "physical_type", "logical_type", "target_type",
-                ],
-            )
+def _described(kind: str, tree: Field) -> list[tuple]:
+    return [
+        (kind, ".".join(p), len(p), f.repetition, f.repetition != "required", f.physical, f.logical, f.target)
+        for p, f in tree.walk()
+    ]
 
 
 def _spread(files: DataFrame) -> DataFrame:
@@ -307,26 +327,19 @@ def _spread(files: DataFrame) -> DataFrame:
 def schema_inventory(
     spark: SparkSession, path: str | list[str], recursive: bool = True
 ) -> DataFrame:
-    """One row per file and schema field, with its stored types, repetition and shown type."""
-    files = list_files(spark, path, recursive).select("path")
-    return _spread(files).mapInArrow(_read_footers, _INVENTORY)
-
-
-def _count_rows(batches):
-    for batch in batches:
-        counts = []
-        for path in batch.column("path").to_pylist():
-            with open_footer(path) as file:
-                counts.append(file.metadata.num_rows)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), pa.array(counts, pa.int64())], names=["path", "rows"]
-        )
+    """One row per file and schema field, with its stored types, repetition and shown type.
+
+    Tasks read the footers; the driver looks at one file of each kind of schema.
+    """
+    footers = read_footers(spark, path, recursive)
+    fields = [row for kind, file in one_of_each(footers) for row in _described(kind, read_message(spark, file))]
+    known = spark.createDataFrame(fields, _INVENTORY.replace("path string", "kind string", 1))
+    return footers.join(known, "kind").select("path", *[c for c in known.columns if c != "kind"])
 
 
 def row_counts(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
     """Rows of each file, from its footer: ``path``, ``rows``."""
-    files = list_files(spark, path, recursive).select("path")
-    return _spread(files).mapInArrow(_count_rows, "path string, rows long")
+    return read_footers(spark, path, recursive).select("path", "rows")
 
 
 def parquet_progress(
@@ -334,12 +347,18 @@ def parquet_progress(
 ) -> DataFrame:
     """Physical rows with ``filename`` and ``progress``, exactly 1.0 on a file's last row.
 
-    The row counts come from the footers. They are broadcast while there are at most
-    ``broadcast_files`` files; beyond that rows and counts meet by a shuffle on the file.
+    The files are listed and their footers read once, for schema and row counts. The counts
+    are broadcast while there are at most ``broadcast_files`` files; beyond that rows and
+    counts meet by a shuffle on the file.
     """
-    rows = scan_parquet_physical(spark, path, with_file=True)
-    counts = row_counts(spark, path).withColumnRenamed("path", "filename")
-    if list_files(spark, path, recursive=True).count() <= broadcast_files:
+    footers = read_footers(spark, path)
+    if _named(spark, path) is None:
+        table = new_folder(spark, "footers")
+        footers.write.parquet(table)
+        footers = spark.read.parquet(table)
+    rows = scan_parquet_physical(spark, path, with_file=True, schema=_tree_of(spark, footers, path))
+    counts = footers.select(F.col("path").alias("filename"), "rows")
+    if counts.count() <= broadcast_files:
         counts = F.broadcast(counts)
     unknown = F.raise_error(F.concat(F.lit("no row count for "), "filename")).cast("long")
     return (

@@ -24,6 +24,8 @@ log = logging.getLogger(__name__)
 
 _ROWS_PER_BATCH = 10_000
 _BYTES_PER_BATCH = 32 << 20
+# tasks per core that objects are dealt out to; a task holds one object at a time
+OBJECT_TASKS = 4
 # stretches longer than this on average are copied one by one, shorter ones by an index per byte
 _LONG_PIECE = 64
 _DECODED = (
@@ -263,8 +265,8 @@ def scan_segments(
 ) -> DataFrame:
     """Records archived under ``path``, optionally of some topics and an offset range.
 
-    ``offsets`` is a closed range. Only folders of the wanted topics are listed and
-    only objects whose key overlaps the range are opened. Files whose name is no
+    ``offsets`` is a closed range. Only folders of the wanted topics are listed, by tasks, and
+    only objects whose key overlaps the range are opened, dealt out evenly to all tasks. Files whose name is no
     object key are ignored. ``dedupe`` drops records delivered twice.
     """
     _check(on_error)
@@ -284,7 +286,9 @@ def scan_segments(
     def payload(batch, i):
         return read_object(batch.column("object_key")[i].as_py())
 
-    records = wanted.select("object_key", "topic", "partition").mapInArrow(
+    tasks = OBJECT_TASKS * spark.sparkContext.defaultParallelism
+    chosen = wanted.select("object_key", "topic", "partition").repartition(tasks, "object_key")
+    records = chosen.mapInArrow(
         _decoder(payload, on_error), _DECODED
     )
     if offsets:

@@ -1,6 +1,7 @@
 """Opening single files and objects from inside a task, through Arrow's file systems."""
 
 import os
+import uuid
 
 from pyarrow import fs
 from pyspark.sql import SparkSession
@@ -50,6 +51,23 @@ def join_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
+def put_object(uri: str, payload) -> None:
+    """Put a whole object; readers never see half of it."""
+    system, path = locate(uri)
+    if system.type_name in ("local", "hdfs"):
+        folder, name = path.rsplit("/", 1)
+        system.create_dir(folder, recursive=True)
+        partial = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        with system.open_output_stream(partial) as stream:
+            stream.write(payload)
+        if system.type_name == "hdfs" and system.get_file_info(path).is_file:
+            system.delete_file(path)  # a rename does not replace there
+        system.move(partial, path)
+    else:  # object stores put atomically
+        with system.open_output_stream(path) as stream:
+            stream.write(payload)
+
+
 def choose_input(files: list[str] | None, directory: str | None) -> list[str]:
     """Paths to load: explicit files or one directory, not both and not neither."""
     if (files is None) == (directory is None):
@@ -68,7 +86,7 @@ def drop_folder(uri: str) -> None:
         system.delete_dir(path)
 
 
-def check_on_error(on_error: str) -> str:
-    if on_error not in ("fail", "skip"):
-        raise ValueError("on_error must be 'fail' or 'skip'")
+def check_on_error(on_error: str, *more: str) -> str:
+    if on_error not in ("fail", "skip", *more):
+        raise ValueError(f"on_error must be one of {', '.join(('fail', 'skip', *more))}")
     return on_error

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,6 +10,7 @@ from stowline.functions.codec import SEGMENT_CAPACITY
 from stowline.operators.records import dedupe_records
 from stowline.plans.archive import archive_records
 from stowline.sinks.latency import latency_lines
+from stowline.streaming.dedupe import first_deliveries
 
 
 def _start(writer, trigger: dict | None) -> StreamingQuery:
@@ -28,12 +30,20 @@ def write_segments_stream(
 
     Offsets are committed after a batch is written. A batch that is run again has the
     same records, so the same keys and bytes, and overwrites itself. ``dedupe`` drops
-    records delivered twice within a batch, which would otherwise fail it.
+    records delivered twice: within a batch, which would otherwise fail it, and in later
+    batches, also after a restart. A batch is kept on the executors while it is packed, as
+    packing reads it twice.
     """
 
     def flush(batch: DataFrame, _epoch: int) -> None:
-        archive_records(dedupe_records(batch) if dedupe else batch, path, prefix, cap)
+        batch = dedupe_records(batch) if dedupe else batch
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            archive_records(batch, path, prefix, cap)
+        finally:
+            batch.unpersist()
 
+    records = first_deliveries(records) if dedupe else records
     return _start(
         records.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint), trigger
     )

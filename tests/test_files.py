@@ -170,3 +170,22 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             unshared_folder(master)
+
+
+def test_listing_is_done_by_tasks(spark, tmp_path):
+    from stowline.sources.segments import scan_segments
+
+    names = ["a", "x/b", "x/y/c", "x/y/z/d", "x/y/z/w/e", "q/r/s/t/u/f", "_h/g", "x/.i", "x/y/_j/k", "sp ace/é%20+"]
+    for name in names:
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(name)
+    found = list_files(spark, str(tmp_path / "in"), recursive=True)
+    wanted = sorted((f"file:{tmp_path}/in/{n}", len(n.encode())) for n in names if "_" not in n and "/." not in n)
+    assert sorted((r.path, r.length) for r in found.collect()) == wanted
+    assert [r.path for r in list_files(spark, str(tmp_path / "in")).collect()] == [f"file:{tmp_path}/in/a"]
+    for df in (found, scan_segments(spark, str(tmp_path / "in"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan and "BatchScan" not in plan
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, str(tmp_path / "none"))

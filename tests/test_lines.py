@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -104,7 +105,7 @@ def test_unreadable_files(spark, tmp_path):
     assert got(scan_lines(spark, files=names[:1], on_error="skip")) == []
     for on_error in ("fail", "skip"):
         gone.write_bytes(b"y\n")
-        df = scan_lines(spark, directory=str(tmp_path), on_error=on_error)
+        df = scan_lines(spark, files=[str(here), str(gone)], on_error=on_error)
         gone.unlink()
         if on_error == "skip":
             assert got(df) == [(2, "x")]
@@ -178,6 +179,7 @@ class Tail:
 
 
 def append(path, data):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "ab") as file:
         file.write(data)
 
@@ -257,8 +259,6 @@ def test_tail_limit_takes_turns(tmp_path):
 
 
 def test_tail_never_passes_over_a_planned_range(tmp_path):
-    import os
-
     from stowline.streaming.line_source import GrowingLinesReader
 
     path = tmp_path / "f"
@@ -281,3 +281,162 @@ def test_a_named_hidden_file_is_read(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         scan_lines(spark, files=[str(tmp_path / ".none")])
     assert scan_lines(spark, files=[str(tmp_path / ".none"), names[1]], on_error="skip").count() == 1
+
+
+def _tailed(reader, start):
+    """One trigger of a reader: the offset, and its lines as (file, line)."""
+    end = reader.latestOffset()
+    lines = []
+    for task in reader.partitions(start, end):
+        for batch in reader.read(task):
+            lines += [(r["filename"].rsplit("/", 1)[-1], r["line"]) for r in batch.to_pylist()]
+    reader.commit(end)
+    return end, sorted(lines)
+
+
+def test_a_vanished_file_leaves_the_others_alone(spark, tmp_path):
+    from stowline.streaming.line_source import GrowingLinesReader
+    from stowline.streaming.range_ledger import failed_ranges
+
+    for name in "ab":
+        append(tmp_path / "in" / name, f"{name}1\n{name}2\n".encode())
+    state = str(tmp_path / "state")
+    options = {"directory": str(tmp_path / "in"), "onerror": "skip", "state": state, "stride": "3"}
+    reader = GrowingLinesReader(options)
+    start, end = reader.initialOffset(), reader.latestOffset()
+    tasks = reader.partitions(start, end)
+    os.rename(tmp_path / "in" / "a", tmp_path / "away")
+    read = lambda r, tasks: sorted(x["line"] for t in tasks for b in r.read(t) for x in b.to_pylist())
+    assert read(reader, tasks) == ["b1", "b2"]
+    reader.commit(end)
+    kept = failed_ranges(spark, state).collect()
+    assert [(r.path.rsplit("/", 1)[-1], r.start, r.end, r.tries) for r in sorted(kept, key=lambda r: r.start)] == [("a", 0, 3, 1), ("a", 3, 6, 1)]
+    assert all("away" not in r.error and r.error for r in kept)
+
+    append(tmp_path / "in" / "b", b"b3\n")
+    start, lines = _tailed(reader, end)
+    assert lines == [("b", "b3")]
+
+    os.rename(tmp_path / "away", tmp_path / "in" / "a")
+    append(tmp_path / "in" / "a", b"a3\n")
+    # a restart in the same state, and the batch run twice, as after a crash before its commit
+    reader = GrowingLinesReader(options)
+    end = reader.latestOffset()
+    tasks = reader.partitions(start, end)
+    assert read(reader, tasks) == ["a1", "a2", "a3"]
+    reader = GrowingLinesReader(options)
+    assert read(reader, reader.partitions(start, end)) == ["a1", "a2", "a3"]
+    reader.commit(end)
+    assert failed_ranges(spark, state).count() == 0
+    again = reader.latestOffset()
+    assert reader.partitions(end, again) == [] and again == end
+
+    with pytest.raises(ValueError, match="another query"):
+        reader.partitions({str(tmp_path / "in" / "a"): 99}, end)
+
+
+def test_a_range_that_fails_again_stays(tmp_path):
+    from stowline.streaming.line_source import GrowingLinesReader
+    from stowline.streaming.range_ledger import RangeLedger
+
+    append(tmp_path / "f", b"one\ntwo\n")
+    state = str(tmp_path / "state")
+    reader = GrowingLinesReader({"files": f'["{tmp_path / "f"}"]', "onerror": "skip", "state": state})
+    end = reader.latestOffset()
+    tasks = reader.partitions({}, end)
+    os.rename(tmp_path / "f", tmp_path / "away")
+    assert [list(reader.read(t)) for t in tasks] == [[]]
+    for tries in (1, 2, 3):
+        os.rename(tmp_path / "away", tmp_path / "f")
+        start, end = end, reader.latestOffset()
+        tasks = reader.partitions(start, end)
+        os.rename(tmp_path / "f", tmp_path / "away")
+        assert [list(reader.read(t)) for t in tasks] == [[]]
+        reader.commit(end)
+        assert [r["tries"] for r in RangeLedger(state).failures()] == [tries + 1]
+    os.rename(tmp_path / "away", tmp_path / "f")
+    assert _tailed(reader, end)[1] == [("f", "one"), ("f", "two")]
+    assert RangeLedger(state).failures() == []
+
+
+def test_every_batch_is_bounded_also_after_restarts(spark, tmp_path):
+    from stowline.streaming.line_source import drain
+
+    rng = random.Random(5)
+    wanted = []
+    for name in ("a", "b", "c"):
+        lines = [f"{name}{n} {'x' * rng.randrange(60)}" for n in range(80)]
+        append(tmp_path / "in" / name, "".join(f"{line}\n" for line in lines).encode())
+        wanted += lines
+    sizes = []
+
+    def start():
+        lines = tail_lines(spark, directory=str(tmp_path / "in"), max_bytes_per_trigger=1024, state=str(tmp_path / "state"))
+
+        def take(batch, _epoch):
+            rows = [r.line for r in batch.collect()]
+            sizes.append(sum(len(line) + 1 for line in rows))
+            got.extend(rows)
+
+        writer = lines.writeStream.foreachBatch(take).trigger(availableNow=True)
+        return writer.option("checkpointLocation", str(tmp_path / "checkpoint")).start()
+
+    got = []
+    assert drain(start) == len([s for s in sizes if s])
+    assert sorted(got) == sorted(wanted) and max(sizes) <= 1024 and len(sizes) >= 8
+    append(tmp_path / "in" / "b", b"y" * 3000 + b"\nend\n")
+    got.clear()
+    drain(start)
+    assert got == ["y" * 3000, "end"] and len(sizes[-3:]) == 3
+
+
+def test_scan_reports_missing_files(spark, tmp_path):
+    append(tmp_path / "good", b"a\nb\n")
+    files = [str(tmp_path / n) for n in ("good", "never")]
+    found = scan_lines(spark, files=files, on_error="report").collect()
+    assert sorted((r.filename.rsplit("/", 1)[-1], r.position, r.line, r.error) for r in found) == sorted(
+        [("good", 2, "a", None), ("good", 4, "b", None), ("never", 0, None, "no such file")], key=str
+    )
+
+
+def test_extents_that_cannot_be_read_are_rows(tmp_path):
+    import pyarrow as pa
+
+    from stowline.sources.lines import _extent_reader
+
+    append(tmp_path / "f", b"a\nb\n")
+    rows = [{"path": str(tmp_path / n), "start": s, "size": 2, "length": 4, "origin": 0} for n in ("f", "none") for s in (0, 2)]
+    batch = pa.RecordBatch.from_pylist(rows)
+    found = [r for b in _extent_reader("UTF-8", False, "report")([batch]) for r in b.to_pylist()]
+    assert [(r["position"], r["line"], bool(r["error"])) for r in found] == [(2, "a", False), (4, "b", False), (0, None, True), (2, None, True)]
+
+
+def test_null_keys_are_a_file(spark):
+    from stowline.operators.lines import batch_number, line_position
+
+    rows = [(None, n, "ab") for n in range(5)] + [("f", n, "c") for n in range(3)]
+    table = spark.createDataFrame(rows, "file string, n long, line string")
+    found = {(r.file, r.n): r.position for r in line_position(table, ["file"], "n", width=2).collect()}
+    assert found == {(None, n): 3 * n + 3 for n in range(5)} | {("f", n): 2 * n + 2 for n in range(3)}
+    found = {(r.file, r.n): r.batch for r in batch_number(table, ["file"], "n", 2, width=2).collect()}
+    assert found == {(None, n): n // 2 for n in range(5)} | {("f", n): n // 2 for n in range(3)}
+
+
+def test_memory_of_a_range():
+    """Masks and texts of a range are made some at a time."""
+    import io
+    import tracemalloc
+
+    from stowline.sources.line_ranges import read_lines
+
+    class File(io.BytesIO):
+        pass
+
+    size = 32 << 20
+    data = (b"some words of a line " * 3 + b"\n") * (size // 64)
+    file = File(data)
+    tracemalloc.start()
+    lines = sum(len(b) for b in read_lines(file, "f", 0, size, len(data)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lines == size // 64 and peak < 150e6

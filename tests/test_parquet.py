@@ -13,10 +13,12 @@ from stowline.sources.listing import list_files
 from stowline.sources.parquet import (
     parquet_progress,
     physical_schema,
+    physical_tree,
     scan_parquet_physical,
     schema_inventory,
     stream_parquet,
 )
+from stowline.streaming.widening import SchemaLog, widening_parquet
 
 PHONE_BOOK = """message phone_book {
   required int64 id; required binary name (UTF8);
@@ -308,3 +310,49 @@ def test_stream_takes_old_files_with_progress(spark, tmp_path):
     os.utime(folder / "old.parquet", (past, past))
     _written(folder / "newer.parquet", id=[4])
     assert run() == [(1, 0.5), (2, 1.0), (3, 1.0), (4, 1.0)]
+
+
+def test_schema_may_be_given(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a"))
+    tree = physical_tree(spark, str(tmp_path / "a"))
+    assert scan_parquet_physical(spark, str(tmp_path / "a"), schema=tree).count() == 3
+    with pytest.raises(ValueError, match="no file"):
+        (tmp_path / "none").mkdir()
+        physical_tree(spark, str(tmp_path / "none"))
+
+
+def _widened(spark, tmp_path, got, files=1):
+    def flush(rows, epoch):
+        got.extend(r.asDict() for r in rows.collect())
+
+    query = widening_parquet(
+        spark, str(tmp_path / "in"), flush, str(tmp_path / "log"), str(tmp_path / "mark"), files, trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+
+
+def test_columns_of_later_files_arrive(spark, tmp_path):
+    def put(sql, name):
+        spark.sql(sql).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    got = []
+    put("select 1 as a", "x")
+    _widened(spark, tmp_path, got)
+    assert got == [{"a": 1}]
+    put("select 2 as a, 'new' as b", "y/deep")
+    put("select named_struct('u', 1, 'v', 2) as c", "z")
+    _widened(spark, tmp_path, got, 5)  # after a restart
+    put("select 3 as a", "w")
+    put("select named_struct('v', 7, 'w', cast(null as string)) as c", "q")
+    _widened(spark, tmp_path, got)
+    rows = {str(r.get("a")) + str(r.get("b")): r for r in got if r.get("a") is not None}
+    assert rows["1None"] == {"a": 1} and rows["2new"]["b"] == "new" and set(rows["3None"]) >= {"a", "b", "c"}
+    deep = [r["c"].asDict() for r in got if r.get("c") is not None]
+    assert deep[0]["v"] == 2 and deep[1] == {"u": None, "v": 7, "w": None}
+    versions = SchemaLog(str(tmp_path / "log")).versions()
+    assert len(versions) == 4 and len({v["kind"] for v in versions}) == 4
+
+    put("select 'text' as a", "bad")
+    with pytest.raises(Exception, match=r"column a is .*in/x/.* and .*in/bad/"):
+        _widened(spark, tmp_path, got)
+    assert len(SchemaLog(str(tmp_path / "log")).versions()) == 4

@@ -3,12 +3,14 @@ import random
 import re
 import struct
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from stowline.functions.codec import encode_headers, encode_record, record_size
 from stowline.operators.records import dedupe_records
+from stowline.operators import segments
 from stowline.operators.segments import (
     assemble_segments,
     assign_segments,
@@ -371,16 +373,64 @@ def test_restore_order(make_records):
     assert [r.start_offset for r in restore_order(packed).collect()] == [5, 9, 50, 500]
 
 
-def test_summary_shuffles_no_payload(spark, make_records):
-    from stowline.operators import segments
-
-    rows = [("t", 0, i, i, b"k", b"v" * (i % 7), []) for i in range(500)]
-    records = make_records(rows)
-    made = segments.summarize_segments(records, 400)
-    wanted = segments.segment_summary(segments.assign_segments(records, 400))
+@pytest.mark.parametrize("cap,block_rows,run_blocks", [(400, 1 << 18, 256), (300, 16, 4), (450, 7, 1), (4000, 1, 3), (100_000, 32, 3)])
+def test_summary_adds_up_blocks(make_records, cap, block_rows, run_blocks):
+    records = make_records(random_records(cap, 300))
+    made = segments.summarize_segments(records, cap, "p", block_rows=block_rows, run_blocks=run_blocks)
+    wanted = segment_summary(assign_segments(records, cap), "p")
     assert sorted(map(tuple, made.collect())) == sorted(map(tuple, wanted.collect()))
-    plan = made._jdf.queryExecution().executedPlan().toString()
-    import re
-
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "Join" not in plan and plan.count("summarize(") == 1
     below = re.findall(r"Exchange[^\n]*\n[^\n]*", plan)
     assert below and not [e for e in below if re.search(r"[\[,] ?(value|headers)#\d+[,\]]", e)]
+
+
+def test_summary_refuses_records_without_a_key(make_records):
+    rows = [("t", 0, 1, 1, b"", b"", []), (None, 0, 2, 2, b"", b"", [])]
+    with pytest.raises(Exception, match="record without topic"):
+        segments.summarize_segments(make_records(rows)).collect()
+    with pytest.raises(Exception, match="more than once"):
+        segments.summarize_segments(make_records(rows[:1] * 2)).collect()
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_step_functions_as_pieces(seed):
+    rng = np.random.default_rng(seed)
+    parts = [np.cumsum(rng.integers(1, 4, (3, rng.integers(1, 6))), axis=1) if rng.random() < 0.5 else np.outer([3, 61, 1], np.arange(rng.integers(1, 50))) for _ in range(seed % 5 + 1)]
+    whole = np.concatenate(parts, axis=1)
+    pieces = segments._packed_steps(*whole)
+    assert (np.stack(segments._unpacked_steps(pieces)) == whole).all()
+    assert len(segments._packed_steps(*np.outer([3, 61, 1], np.arange(5000)))) == 14
+
+
+def test_runs_of_equal_records_stay_small():
+    """256 blocks of 61-byte records, composed as one run, against their plain packing."""
+    import tracemalloc
+
+    cap, rows, blocks, keys = 5 << 20, 1 << 16, 256, ["topic", "partition"]
+    summarize = segments._summarizer(keys, cap)
+    made = [
+        summarize(pa.table({"topic": ["t"] * rows, "partition": [0] * rows, "_block": [b] * rows, "offset": np.arange(rows) + b * rows, "_size": np.full(rows, 61)}))
+        for b in range(3)
+    ]
+    table = pa.concat_tables(made)
+    # further blocks are the third one, moved on: only the starts differ
+    for b in range(3, blocks):
+        pieces = np.array(made[2].column("_pieces")[0].as_py()).reshape(-1, 7)
+        pieces[:, 4] += (b - 2) * rows
+        moved = made[2].set_column(2, "_block", [[b]]).set_column(4, "_pieces", pa.array([pieces.reshape(-1)], pa.list_(pa.int64())))
+        table = pa.concat_tables([table, moved])
+    table = table.append_column("_run", pa.array([0] * blocks))
+    tracemalloc.start()
+    whole = segments._composer(keys, cap)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert table.nbytes + peak < 64e6
+    per_segment = (cap - 4) // 61
+    (_, total, limit, fill, start), = segments._steps(whole.rename_columns(keys + ["_block", "_bytes", "_pieces"]))
+    assert total == 61 * rows * blocks
+    for before in (cap, 4, 4 + 61 * 1000, cap - 61):
+        at = min(int(np.searchsorted(limit, cap - before, side="right")), len(limit) - 1)
+        first = (cap - before) // 61  # records that still fit the segment before
+        last = first + (rows * blocks - first - 1) // per_segment * per_segment
+        assert (start[at], fill[at]) == (last, 4 + 61 * (rows * blocks - last))

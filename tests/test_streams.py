@@ -93,3 +93,49 @@ def test_events_become_records(spark, width):
     assert [tuple(r) for r in got] == expected
     first = rows.first()
     assert bytes(first.key) == b"0" and bytes(first.headers[0].value) == b"0"
+
+
+def test_intervals():
+    import random
+
+    import numpy as np
+
+    from stowline.streaming.dedupe import inside, with_offsets
+
+    rng, seen = random.Random(1), set()
+    starts, ends = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for _ in range(200):
+        some = np.array(sorted({rng.randrange(300) for _ in range(rng.randint(0, 6))}), np.int64)
+        assert inside(starts, ends, some).tolist() == [o in seen for o in some.tolist()]
+        starts, ends = with_offsets(starts, ends, some)
+        seen |= set(some.tolist())
+        assert {o for a, b in zip(starts.tolist(), ends.tolist()) for o in range(a, b + 1)} == seen
+        assert (starts[1:] > ends[:-1] + 1).all()
+
+
+def test_redelivery_over_batches_and_restarts(spark, make_records, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    row = lambda t, o: (t, 0, o, o, b"key", b"v%d" % o, [("h", b"x")])
+
+    def run(rows):
+        make_records(rows).coalesce(1).write.mode("append").parquet(source)
+        stream = stream_of(spark, source, make_records(rows))
+        write_segments_stream(stream, out, mark, cap=300, trigger={"availableNow": True}, dedupe=True).awaitTermination()
+
+    run([row("t", o) for o in range(10)] + [row("t", 3)])
+    run([row("t", o) for o in range(5, 15)] + [row("u", 2)])
+    run([row("u", 2), row("u", 2), row("t", 14), row("t", 70_000)])
+    found = sorted((r.topic, r.offset) for r in scan_segments(spark, out).collect())
+    assert found == [("t", o) for o in [*range(15), 70_000]] + [("u", 2)]
+    state = spark.read.format("statestore").load(mark).select("key.*", "value.*").collect()
+    intervals = {(r.topic, r._block): list(zip(r.groupState.starts, r.groupState.ends)) for r in state}
+    assert intervals == {("t", 0): [(0, 14)], ("t", 1): [(70_000, 70_000)], ("u", 0): [(2, 2)]}
+
+
+def test_the_same_copy_stays(spark, make_records):
+    from stowline.operators.records import dedupe_records
+
+    rows = [("t", 0, 1, 5, b"k", b"b", []), ("t", 0, 1, 5, b"k", b"a", []), ("t", 0, 1, 5, None, b"z", []), (None, None, 1, 5, b"k", b"c", None)]
+    for n in (1, 3):
+        found = dedupe_records(make_records(rows).repartition(n)).collect()
+        assert sorted((str(r.topic), bytes(r.value)) for r in found) == [("None", b"c"), ("t", b"z")]

@@ -2,11 +2,12 @@
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, Window
+from pyspark import TaskContext
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stowline.llm.components import components, joined
-from stowline.llm.storage import SMALL_ROWS, saved
+from stowline.llm.storage import SMALL_ROWS, forget, saved
 from stowline.llm.texts import BLANK, SMALL, Rolling, find_words, give_back, mixed, slices, utf8
 
 #: Tokens in this share of all documents come last in the order of tokens.
@@ -16,6 +17,10 @@ LEAST_REPORTED = 4
 #: Shared tokens that open a group, at least and as a part of a set: prefixes are long enough
 #: for any linked pair to have them.
 SHARED, SHARED_PART = 3, 10
+#: Leading bits of tokens by which documents that may share them are found, and such keys of a bucket.
+KEY_BITS, BUCKET_KEYS = 44, 1 << 19
+#: First tokens that a block of documents may hold together, one document excepted.
+DEALT_TOKENS = 1 << 20
 #: Tokens that a block of a group may hold together.
 BLOCK_TOKENS = 1 << 20
 SLICE_BYTES = 1 << 21
@@ -109,18 +114,17 @@ def _frequent(docs, text, width):
     return np.sort(found["token"].to_numpy().view(np.uint64))
 
 
-def _prefixes(docs, id, text, width, percent, frequent):
-    """Rows (id, n, k1, k2, gid, tokens): set size, fingerprint, group and first tokens of each document.
+def _blocks(docs, id, text, width, percent, frequent):
+    """Rows of some MB of tokens each: (block, ids, n, k1, k2, size, tokens), lists by document.
 
-    The group is the least token, which similar sets have in common most likely.
-
-    Tokens are in order of hash, frequent ones last. Two linked sets share at least s of
-    their first n - needed(n) + s tokens, with s from ``shared_tokens`` for
-    the smaller of them.
+    n is a set's size, k1 and k2 its fingerprint, and size how many of the first tokens stand
+    in ``tokens`` (64-bit numbers in one binary). Tokens are in order of hash, frequent ones
+    last. Two linked sets share at least s of their first n - needed(n) + s tokens, with s
+    from ``shared_tokens`` for the smaller of them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def read(batches):
+    def sets(batches):
         late = shared.value
         for batch in batches:
             for first, last, offsets, tokens in shingle_sets(batch.column(1), width):
@@ -137,20 +141,141 @@ def _prefixes(docs, id, text, width, percent, frequent):
                 if len(late):
                     order = np.lexsort((late[at] == tokens, owner))
                 place = np.arange(len(tokens)) - np.repeat(offsets[:-1], sizes)
-                chosen = tokens[order][place < length[owner]].view(np.int64)
-                least = np.zeros(last - first, np.int64)
-                least[sizes > 0] = tokens[offsets[:-1][sizes > 0]].view(np.int64)
-                edges = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(chosen))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(sizes), *map(pa.array, keys), pa.array(least), lists],
-                    ["id", "n", "k1", "k2", "gid", "tokens"],
-                )
+                lists = [batch.column(0).slice(first, last - first), *(pa.array(x.astype(np.int64)) for x in (sizes, *keys, length))]
+                yield lists, tokens[order][place < length[owner]]
+
+    def block_of(number, held):
+        lists = [pa.concat_arrays(column) for column in zip(*(lists for lists, _ in held))]
+        edges = pa.array([0, len(lists[0])], pa.int32())
+        tokens = np.concatenate([tokens for _, tokens in held])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number]), *(pa.ListArray.from_arrays(edges, x) for x in lists), pa.array([tokens.tobytes()], pa.binary())],
+            ["block", "ids", "n", "k1", "k2", "size", "tokens"],
+        )
+
+    def read(batches):
+        block = TaskContext.get().partitionId() << 32
+        held, filled = [], 0
+        for lists, tokens in sets(batches):
+            if held and filled + len(tokens) > DEALT_TOKENS:
+                yield block_of(block, held)
+                block, held, filled = block + 1, [], 0
+            held.append((lists, tokens))
+            filled += len(tokens)
+        if held:
+            yield block_of(block, held)
         give_back()
 
-    return docs.select(F.col(id).cast("long").alias("id"), text).mapInArrow(
-        read, "id long, n long, k1 long, k2 long, gid long, tokens array<long>"
-    )
+    lists = ", ".join(f"{c} array<bigint>" for c in ("ids", "n", "k1", "k2", "size"))
+    return docs.select(F.col(id).cast("long").alias("id"), text).mapInArrow(read, f"block long, {lists}, tokens binary")
+
+
+#: Sorted keys of some documents of a block: the first, the steps from it, and whose they are.
+_PACKED = "count long, first long, steps binary, owners binary"
+
+
+def _packed(keys, owners):
+    """Values of the columns ``_PACKED``; numbers are as narrow as they can be."""
+    steps = np.diff(keys, prepend=keys[:1])
+    steps = steps.astype(np.uint32 if steps.max() < 1 << 32 else np.uint64)
+    owners = owners.astype(np.uint16 if owners.max() < 1 << 16 else np.uint32)
+    return len(keys), int(keys[0]), steps.tobytes(), owners.tobytes()
+
+
+def _unpacked(table):
+    """(keys, owners) of each row, and how many it has."""
+    keys, owners, counts = [], [], []
+    for row in table.select(["count", "first", "steps", "owners"]).to_pylist():
+        count = row["count"]
+        steps = np.frombuffer(row["steps"], np.uint32 if len(row["steps"]) == 4 * count else np.uint64)
+        keys.append(row["first"] + np.cumsum(steps.astype(np.int64)))
+        owners.append(np.frombuffer(row["owners"], np.uint16 if len(row["owners"]) == 2 * count else np.uint32).astype(np.int64))
+        counts.append(count)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(keys or none), np.concatenate(owners or none), np.array(counts, np.int64)
+
+
+def _keys_by_bucket(buckets):
+    """Arrow function: the tokens of each block as sorted keys with their documents, by bucket."""
+
+    def deal(batches):
+        for batch in batches:
+            for block, size, tokens in zip(*(batch.column(c) for c in ("block", "size", "tokens"))):
+                key = (np.frombuffer(tokens.as_buffer(), np.uint64) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+                owner = np.repeat(np.arange(len(size)), size.values.to_numpy())
+                order = np.argsort(key, kind="stable")
+                key, owner = key[order], owner[order]
+                edges = np.searchsorted(key, -(-(np.arange(buckets + 1) << KEY_BITS) // buckets))
+                rows = [(int(k), block.as_py(), *_packed(key[edges[k] : edges[k + 1]], owner[edges[k] : edges[k + 1]])) for k in np.flatnonzero(np.diff(edges))]
+                yield pa.RecordBatch.from_pylist([dict(zip(_BUCKETED.names, r)) for r in rows], _BUCKETED)
+        give_back()
+
+    return deal
+
+
+_BUCKETED = pa.schema(
+    [("bucket", pa.int64()), ("block", pa.int64()), ("count", pa.int64()), ("first", pa.int64()), ("steps", pa.binary()), ("owners", pa.binary())]
+)
+
+
+def _shared_keys(key, table):
+    """Of a bucket's keys those that several documents hold, for each block that has such."""
+    keys, owners, counts = _unpacked(table)
+    blocks = np.repeat(table.column("block").to_numpy(), counts)
+    order = np.argsort(keys, kind="stable")
+    same = keys[order[1:]] == keys[order[:-1]]
+    chosen = order[np.append(same, False) | np.append(False, same)]
+    chosen = chosen[np.lexsort((keys[chosen], blocks[chosen]))]
+    keys, owners, blocks = keys[chosen], owners[chosen], blocks[chosen]
+    edges = np.append(np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])) if len(blocks) else [], len(blocks)).astype(np.int64)
+    rows = [(int(blocks[a]), *_packed(keys[a:b], owners[a:b])) for a, b in zip(edges[:-1], edges[1:])]
+    found = pa.Table.from_pylist([dict(zip(_BUCKETED.names[1:], r)) for r in rows], pa.schema(list(_BUCKETED)[1:]))
+    give_back()
+    return found
+
+
+def _grouped_rows(percent):
+    """Cogroup function: a block's shared keys and documents to rows (token, id, n, gid).
+
+    A linked set has at least that percentage of the tokens of the other, and shares what
+    that size calls for; documents with fewer shared keys go. A group is named by its members'
+    least shared key: what a copy has changed is shared by nobody, so near copies mostly meet
+    in one group, and in a few at all. Equal sets have equal rows: only those of the documents
+    that name their class go on.
+    """
+
+    def settle(key, found, known):
+        token, owner, _ = _unpacked(found)
+        known = known.sort_by("owner")
+        name, n = known.column("owner").to_numpy(), known.column("n").to_numpy()
+        place = np.searchsorted(name, owner)
+        here = place < len(name)
+        here[here] = name[place[here]] == owner[here]
+        token, place = token[here], place[here]
+        held = np.bincount(place, minlength=len(n))
+        enough = shared_tokens((n * percent + 99) // 100, percent)
+        least = np.full(len(n), np.iinfo(np.int64).max)
+        np.minimum.at(least, place, token)
+        place, token = place[held[place] >= enough[place]], token[held[place] >= enough[place]]
+        rep = known.column("rep").to_numpy()
+        return pa.table([pa.array(x) for x in (token, rep[place], n[place], least[place])], names=["token", "id", "n", "gid"])
+
+    return settle
+
+
+def _whole(width):
+    """Arrow function that puts the whole set in the place of the last column, a text."""
+
+    def read(batches):
+        for batch in batches:
+            *before, texts = batch.columns
+            for first, last, offsets, tokens in shingle_sets(texts, width):
+                cells = [tokens[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+                kept = [c.slice(first, last - first) for c in before]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(cells, pa.binary())], [*batch.schema.names[:-1], "tokens"])
+        give_back()
+
+    return read
 
 
 def local_links(sizes, tokens, percent):
@@ -224,9 +349,12 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     sequence is the one shingle, and without any the set is empty and links with nothing.
     Sets link when 100 * shared >= percent * union. component_id is the smallest id reached.
 
-    Equal sets form a class and are compared once. Classes with the same least token form a
-    group. The matrix of groups and tokens has, for each group, the union of its members'
-    first tokens in a global order (frequent tokens last), with the sizes of their sets. The
+    Equal sets form a class and are compared once. Of each set's first tokens in a global
+    order (frequent tokens last) only those matter that other documents hold: blocks of
+    documents send theirs as sorted keys of 44 bits to buckets of keys, which tell the shared
+    ones. Classes with the same least shared token form a group. The matrix of groups and
+    tokens has, for each group, the union of its members' shared first tokens, with the sizes
+    of their sets. The
     tokens in the unions of two groups bound what any two of their sets can share, and a
     group is opened to the sets of another only if that is enough and sizes allow a link. Opened groups compare sets
     exactly, in blocks of bounded size, every pair of blocks in a task of its own, and give
@@ -237,25 +365,24 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     own text, and all that have words reach each other and have one component_id.
     """
     frequent = _frequent(docs, text, width)
-    sets = saved(_prefixes(docs, id, text, width, percent, frequent), "sets")
+    blocks = saved(_blocks(docs, id, text, width, percent, frequent), "blocks")
+    zipped = F.arrays_zip(F.col("ids").alias("id"), "n", "k1", "k2", "size")
+    sets = blocks.select("block", F.posexplode(zipped).alias("owner", "s")).select("block", F.col("owner").cast("long").alias("owner"), "s.*")
     classes = saved(sets.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep")), "fingerprints")
-    named = saved(
-        sets.where("n > 0").select("id", "n", "k1", "k2").join(classes, ["k1", "k2"]).select("id", "n", "rep"), "classes"
+    named = saved(sets.where("n > 0").join(classes, ["k1", "k2"]).select("id", "n", "rep", "size", "block", "owner"), "classes")
+    empty = saved(sets.where("n = 0").select("id"), "empty")
+    total = named.agg(F.sum("size")).first()[0] or 0
+    buckets = total // BUCKET_KEYS + 1
+    keys = blocks.select("block", "size", "tokens").mapInArrow(
+        _keys_by_bucket(buckets), f"bucket long, block long, {_PACKED}"
     )
-    able = sets.where(F.size("tokens") > 0)
-    names = classes.select("k1", "k2", F.col("rep").alias("id"))
-    reps = able.select("id", "n", "k1", "k2", "tokens").join(names, ["k1", "k2", "id"]).dropDuplicates(["id", "k1"])
-    rows = reps.select(F.explode("tokens").alias("token"), "id", "n")
-    # Only tokens of several classes matter; one shuffle finds them and brings their rows.
-    token = Window.partitionBy("token")
-    both = rows.withColumn("least", F.min("id").over(token)).withColumn("most", F.max("id").over(token))
-    rows = both.where("least <> most").drop("least", "most")
-    # A linked set has at least that percentage of the tokens, and shares what that size calls for.
-    enough = shared_tokens(F.floor((F.col("n") * percent + 99) / 100), percent)
-    own = Window.partitionBy("id")
-    rows = rows.withColumn("several", F.count("*").over(own)).where(F.col("several") >= enough).drop("several")
-    gids = able.select("id", "k1", "k2", "gid").join(names, ["k1", "k2", "id"]).select("id", "gid").distinct()
-    rows = saved(rows.join(gids, "id"), "common")
+    shared = keys.groupBy("bucket").applyInArrow(_shared_keys, f"block long, {_PACKED}")
+    able = named.where("size > 0 and id = rep").select("block", "owner", "rep", "n")
+    rows = shared.groupBy("block").cogroup(able.groupBy("block")).applyInArrow(
+        _grouped_rows(percent), "token long, id long, n long, gid long"
+    )
+    rows = saved(rows, "common")
+    forget(blocks)
     matrix = saved(rows.groupBy("token", "gid").agg(F.min("n").alias("low"), F.max("n").alias("high")), "matrix")
     near = (F.col("a.high") * 100 >= F.col("b.low") * percent) & (F.col("b.high") * 100 >= F.col("a.low") * percent)
     smallest = F.greatest(F.min("a.low"), F.min("b.low"))
@@ -286,21 +413,13 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
         ),
         "placed",
     )
-    wanted = placed.select("id").distinct()
-    if wanted.count() <= SMALL_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
-
-    def whole(batches):
-        for batch in batches:
-            for first, last, offsets, tokens in shingle_sets(batch.column(1), width):
-                cells = [tokens[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(cells, pa.binary())], ["id", "tokens"]
-                )
-        give_back()
-
-    full = texts.mapInArrow(whole, "id long, tokens binary")
+    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    if placed.count() <= SMALL_ROWS:
+        texts = texts.join(F.broadcast(placed), "id").select("gid", "a", "b", "id", "text")
+        met = texts.mapInArrow(_whole(width), "gid long, a int, b int, id long, tokens binary")
+    else:
+        texts = texts.join(placed.select("id").distinct(), "id", "left_semi")
+        met = placed.join(texts.mapInArrow(_whole(width), "id long, tokens binary"), "id")
 
     def compare(key, table):
         ids = table.column("id").to_numpy()
@@ -312,12 +431,12 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
         moved = np.flatnonzero(parent != np.arange(len(parent)))
         return pa.table([pa.array(ids[moved]), pa.array(ids[parent[moved]])], names=["a", "b"])
 
-    links = placed.join(full, "id").groupBy("gid", "a", "b").applyInArrow(compare, "a long, b long")
+    links = met.groupBy("gid", "a", "b").applyInArrow(compare, "a long, b long")
     # Rows of one id with different sets are one document: their classes are linked.
     ids = named.where("id is not null").groupBy("id").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
     several = saved(ids.where("least <> most").select("id", "least"), "several")
     same_id = named.join(several, "id").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     comps = components(links.union(same_id)).withColumnRenamed("node", "rep")
     found = named.join(comps, "rep", "left").select("id", "n", F.coalesce("component", "rep", "id").alias("component_id"))
-    empty = sets.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    empty = empty.select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("component_id"))
     return found.union(empty).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id")

@@ -9,7 +9,7 @@ from stowline.llm.texts import declared, give_back, kept, utf8
 
 SPACE = "▁"
 #: Units in each of two generations, and pairs of pieces, that a worker keeps.
-CACHE_UNITS = 150_000
+CACHE_UNITS = 300_000
 CACHE_PAIRS = 300_000
 BATCH_CHARS = 1 << 20
 FAR = float("inf")
@@ -257,19 +257,21 @@ def transducer(path):
     return kept(f"pieces {path}", lambda: Transducer(path))
 
 
-def encode_pieces(docs, model, text="text", column="pieces", keep=None, decoded=None):
+def encode_pieces(docs, model, text="text", column="pieces", keep=None, decoded=None, packed=None):
     """Every row with the ids of its text (array of int) more; null and empty texts have none.
 
     ``keep`` names the columns to return beside the ids. With ``decoded``, a column of that
-    name has the text that the ids decode to, made in the same pass.
+    name has the text that the ids decode to, made in the same pass; with ``packed``, one has
+    the ids as a binary of little-endian 32-bit numbers.
 
     ``model`` is the path of a model file, present on every machine that runs tasks. A
     column of the new name is replaced; repeated rows stay.
     """
-    docs = docs.drop(column, *([decoded] if decoded else []))
+    more = {n: kind for n, kind in ((decoded, "string"), (packed, "binary")) if n}
+    docs = docs.drop(column, *more)
     keep = [c for c in docs.columns if keep is None or c in keep]
     docs = docs.select(*{*keep, text})
-    schema = ", ".join([*(declared(docs.schema[c]) for c in keep), f"`{column}` array<int>", *([f"`{decoded}` string"] if decoded else [])])
+    schema = ", ".join([*(declared(docs.schema[c]) for c in keep), f"`{column}` array<int>", *(f"`{n}` {kind}" for n, kind in more.items())])
 
     def encode(batches):
         made = transducer(model)
@@ -283,6 +285,9 @@ def encode_pieces(docs, model, text="text", column="pieces", keep=None, decoded=
                 if decoded:
                     columns.append(pa.array(map(made.decode, ids), pa.string()))
                     names.append(decoded)
+                if packed:
+                    columns.append(pa.array([i.astype("<i4").tobytes() for i in ids], pa.binary()))
+                    names.append(packed)
                 yield pa.RecordBatch.from_arrays(columns, names)
             batch = part = columns = ids = values = lists = None
             give_back()

@@ -92,16 +92,16 @@ def op6_license_templates(spark, sf_dir):
 
 
 def op7_sentencepiece_fst(spark, sf_dir):
-    """Ids and decoded text as digests: SHA-256 of the ids in decimals with commas, and of the text."""
+    """Ids and decoded text as digests: SHA-256 of the ids as little-endian 32-bit numbers, and of the text."""
     model = vocabulary("piece_bpe_32k.model")
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    found = encode_pieces(docs, model, decoded="decoded")
+    found = encode_pieces(docs, model, decoded="decoded", packed="packed")
     fallback = sorted(transducer(model).byte.values())
     return found.select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.size("pieces").cast("long").alias("n_pieces"),
         F.size(F.filter("pieces", lambda x: x.between(fallback[0], fallback[-1]))).cast("long").alias("n_fallback"),
-        F.sha2(F.array_join(F.col("pieces").cast("array<string>"), ",").cast("binary"), 256).alias("pieces_sha256"),
+        F.sha2("packed", 256).alias("pieces_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "▁", " ")).alias("round_trip"),
     )

@@ -13,22 +13,77 @@ TEMPLATES = (
     ("mit", "base", "mit license"),
     ("apache", "base", "apache license"),
     ("gpl", "base", "general public license"),
-    ("mit", "text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files [[the software]] to deal in the software without restriction"),
+    ("mit", "text", """
+        permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files [[the software]] to deal in the software without restriction including without limitation the
+        rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit
+        persons to whom the software is furnished to do so subject to the following conditions
+        the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all
+        copies or substantial portions of the software
+        the software is provided as is without warranty of any kind express or implied including but not limited to the
+        warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {{8}} be
+        liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from
+        out of or in connection with the software or the use or other dealings in the software"""),
     ("mit", "notice", "licensed under the [[terms of the]] mit license"),
     ("mit", "notice", "released under the [[terms of the]] mit license"),
     ("apache", "notice", "licensed under the apache license [[version 2 0]]"),
-    ("apache", "text", "licensed under the apache license version 2 0 the license you may not use {{3}} except in compliance with the license"),
-    ("apache", "text", "apache license version 2 0 january 2004"),
-    ("gpl", "text", "{{4}} is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] [[affero]] [[library]] general public license as published by the free software foundation"),
+    ("apache", "text", """
+        licensed under the apache license version 2 0 the license you may not use {{3}} except in compliance with the
+        license you may obtain a copy of the license at {{12}}
+        unless required by applicable law or agreed to in writing software distributed under the license is distributed
+        on an as is basis without warranties or conditions of any kind either express or implied see the license for the
+        specific language governing permissions and limitations under the license"""),
+    ("apache", "title", "apache license version 2 0 january 2004"),
+    ("gpl", "text", """
+        {{4}} is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] [[affero]]
+        [[library]] general public license as published by the free software foundation either version {{3}} of the
+        license or [[at your option]] any later version
+        {{4}} is distributed in the hope that it will be useful but without any warranty without even the implied warranty
+        of merchantability or fitness for a particular purpose see the gnu [[lesser]] [[affero]] [[library]] general
+        public license for more details"""),
     ("gpl", "notice", "licensed under the [[terms of the]] gnu general public license"),
     ("gpl", "notice", "gnu general public license [[as published by the free software foundation]]"),
-    ("bsd", "text", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "text", """
+        redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met
+        [[1]] redistributions of source code must retain the above copyright notice this list of conditions and the
+        following disclaimer
+        [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the
+        following disclaimer in the documentation and or other materials provided with the distribution
+        [[ [[3]] neither the name of {{12}} nor the names of its contributors may be used to endorse or promote products
+        derived from this software without specific prior written permission ]]
+        this software is provided by {{12}} as is and any express or implied warranties including but not limited to the
+        implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{12}}
+        be liable for any direct indirect incidental special exemplary or consequential damages including but not limited
+        to procurement of substitute goods or services loss of use data or profits or business interruption however caused
+        and on any theory of liability whether in contract strict liability or tort including negligence or otherwise
+        arising in any way out of the use of this software even if advised of the possibility of such damage"""),
     ("bsd", "notice", "licensed under the [[2 clause]] [[3 clause]] [[new]] [[simplified]] bsd license"),
-    ("isc", "text", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
-    ("mpl", "text", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("isc", "text", """
+        permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby
+        granted provided that the above copyright notice and this permission notice appear in all copies
+        the software is provided as is and {{6}} disclaims all warranties with regard to this software including all
+        implied warranties of merchantability and fitness in no event shall {{8}} be liable for any special direct
+        indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in
+        an action of contract negligence or other tortious action arising out of or in connection with the use or
+        performance of this software"""),
+    ("mpl", "text", """
+        this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not
+        distributed with this file you can obtain one at"""),
     ("mpl", "notice", "mozilla public license [[version]] [[v]] 2 0"),
     ("cc", "notice", "creative commons attribution [[noncommercial]] [[sharealike]] [[noderivatives]] {{2}} license"),
-    ("unlicense", "text", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "text", """
+        this is free and unencumbered software released into the public domain
+        anyone is free to copy modify publish use compile sell or distribute this software either in source code form or
+        as a compiled binary for any purpose commercial or non commercial and by any means
+        in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all
+        copyright interest in the software to the public domain we make this dedication for the benefit of the public at
+        large and to the detriment of our heirs and successors we intend this dedication to be an overt act of
+        relinquishment in perpetuity of all present and future rights to this software under copyright law
+        the software is provided as is without warranty of any kind express or implied including but not limited to the
+        warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors
+        be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from
+        out of or in connection with the software or the use or other dealings in the software"""),
 )
 
 ANY = -1
@@ -102,14 +157,19 @@ class Automata:
             found = self.steps[states, word] = (found, tuple(self.final[s] for s in found if s in self.final))
         return found
 
-    def matches(self, ids, at):
-        """(template, end) of every match that starts at word ``at``; ids: word numbers, -2 for others."""
-        states, place = self.first, at
-        while states and place < len(ids):
-            states, ended = self.step(states, ids[place])
-            place += 1
+    def run(self, words):
+        """(template, number of words) of every match that begins with the first of the words.
+
+        ``words`` yields word numbers, -2 for others; no more are taken than templates reach.
+        """
+        states, taken = self.first, 0
+        for word in words:
+            states, ended = self.step(states, word)
+            taken += 1
             for template in ended:
-                yield template, place
+                yield template, taken
+            if not states:
+                return
 
 
 def _words(data, starts, known, hashes, rolling):
@@ -135,14 +195,24 @@ def _words(data, starts, known, hashes, rolling):
     return counts, join(rows), join(places), join(numbers)
 
 
+def _following(places, numbers, at, end, count):
+    """Word numbers of a text of ``count`` words from the known word ``at`` on, -2 for unknown ones."""
+    for place in range(int(places[at]), count):
+        if at < end and places[at] == place:
+            yield int(numbers[at])
+            at += 1
+        else:
+            yield -2
+
+
 def scan_licenses(docs, id="doc_id", text="text", templates=TEMPLATES):
     """Rows (id, n_words, n_base, first_word, last_word, base_labels, labels, spans, score).
 
     A template's text is matched word by word, lower-cased: words outside ``[[ ]]`` and
     ``{{ }}`` are mandatory and must match exactly, in order and without others between
-    them. Templates of kind ``text`` hold the openings of licenses, not their whole wording:
-    what follows an opening (conditions, disclaimer) is not looked at, so a license that is
-    cut or changed there has the label too. Templates of kind ``base`` are plain phrases; n_base counts all their places,
+    them. Templates of kind ``text`` hold the whole wording of short licenses and of the notices
+    of long ones, so a text with a changed, added or missing condition is none of them. Those
+    of kind ``base`` are plain phrases; n_base counts all their places,
     first_word and last_word bound their starts (null without any). ``labels`` has the labels
     of all templates found, ``spans`` each match as (label, kind, first word, words), the
     longest of a template at a start. The score is the share of words that lie in matches.
@@ -171,18 +241,7 @@ def scan_licenses(docs, id="doc_id", text="text", templates=TEMPLATES):
             ends = np.searchsorted(rows, rows, side="right") if len(rows) else []
             for at in begins:
                 row, place = int(rows[at]), int(places[at])
-                span = int(ends[at]) - at
-                # Numbers of the words from here on, as far as the longest template reaches.
-                reach = min(int(counts[row]) - place, LONGEST)
-                ids = [-2] * reach
-                for k in range(at, at + min(span, reach)):
-                    gap = int(places[k]) - place
-                    if gap >= reach:
-                        break
-                    ids[gap] = int(numbers[k])
-                best = {}
-                for template, end in automata.matches(ids, 0):
-                    best[template] = end
+                best = dict(automata.run(_following(places, numbers, int(at), int(ends[at]), int(counts[row]))))
                 found[row] += [(place, template, length) for template, length in best.items()]
             yield _result(batch.column(0), counts, found, chosen)
 
@@ -193,10 +252,6 @@ def scan_licenses(docs, id="doc_id", text="text", templates=TEMPLATES):
     )
 
 
-#: Words that the longest template can span, optional and replaceable ones included.
-LONGEST = 64
-
-
 def _result(ids, counts, found, templates):
     n_base, first, last, base, labels, spans, score = [], [], [], [], [], [], []
     for count, hits in zip(counts.tolist(), found):

@@ -67,14 +67,42 @@ def test_templates_as_expressions(number):
         words = re.sub(r"\{\{\d+\}\}", "w", text).split()
         numbers = [ids.get(w, -2) for w in words]
         for at in range(len(words)):
-            ends = {end for _, end in automata.matches(numbers, at)}
+            ends = {at + length for _, length in automata.run(numbers[at:])}
             joined = "".join(w + " " for w in words[at:])
             own = {end for end in range(at + 1, len(words) + 1) if pattern.fullmatch("".join(w + " " for w in words[at:end]))}
             assert ends == own, (text, joined)
 
 
+def _text(label):
+    """A template's own text: optional regions there, replaceable ones filled."""
+    template = next(t for name, kind, t in TEMPLATES if (name, kind) == (label, "text"))
+    return " ".join(re.sub(r"\{\{\d+\}\}", "some holders", template).replace("[[", "").replace("]]", "").split())
+
+
+def test_whole_wording_is_needed(spark):
+    """Every mandatory word of a license counts, however long it is."""
+    labels = ["mit", "apache", "gpl", "bsd", "isc", "unlicense", "mpl"]
+    rows = []
+    for label in labels:
+        text = _text(label)
+        words = text.split()
+        assert label == "mpl" or len(words) > 64
+        late = 4 * len(words) // 5
+        if label == "bsd":
+            rows.append(("bsd2", text[: text.index("3 neither")] + text[text.index("this software is provided by") :]))
+        rows += [
+            (label, text), (label, f"Copyright 1999 somebody.\n\n{text.capitalize()}. The end."),
+            ("", " ".join(words[:-1])), ("", " ".join(words[:late] + ["never"] + words[late:])), ("", " ".join(words[:late] + words[late + 1 :])),
+        ]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, row struct<label:string,text:string>").select("doc_id", "row.*")
+    found = {r.doc_id: [s for s in r.spans if s.kind == "text"] for r in scan_licenses(docs).collect()}
+    for at, (label, text) in enumerate(rows):
+        assert {s.label for s in found[at]} == ({label[:3] if label == "bsd2" else label} if label else set()), (label, text)
+    assert found[0][0].words == len(rows[0][1].split())
+
+
 def test_odd_rows(spark):
-    mit = next(t for _, k, t in TEMPLATES if t.startswith("permission is hereby")).replace("[[", "").replace("]]", "")
+    mit = _text("mit")
     rows = [
         (1, "Licensed under the MIT License."), (2, None), (3, ""), (4, "..."), (5, "mit-license MIT/LICENSE"), (6, "x " * 700_000 + "Apache License"),
         (7, mit.title()), (8, mit.replace("charge", "costs")), (1, "Licensed under the MIT License."), (None, "éGeneral Public License"),

@@ -119,7 +119,66 @@ FROM kept AS k JOIN coded AS c ON k.r = c.r CROSS JOIN told AS t
 """
 
 
+def _reached(nodes):
+    """CTE ``least`` (r, c): each node of ``nodes`` with the smallest that ``links`` (a, b) lead to."""
+    return f"""reached(r, c) AS (
+  SELECT r, r FROM {nodes} UNION SELECT l.b, reached.c FROM reached JOIN links AS l ON l.a = reached.r WHERE reached.c < l.b
+), least AS (
+  SELECT r, min(c) AS c FROM reached GROUP BY r
+)"""
+
+
+JACCARD = f"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM docs
+), tokens AS MATERIALIZED (
+  SELECT r, len(s) AS n, unnest(s) AS token FROM sets
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM tokens AS a JOIN tokens AS b ON a.token = b.token AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), {_reached("sets")}
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, t.doc_id AS component_id
+FROM sets AS s JOIN least USING (r) JOIN sets AS t ON t.r = least.c
+"""
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE vectors AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, embedding::DOUBLE[] AS v,
+    embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS good
+  FROM embeddings
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM vectors AS a JOIN vectors AS b ON a.good AND b.good AND a.r <> b.r
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.9 ELSE FALSE END
+), {_reached("vectors")}
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.r) AS n_links, t.vec_id AS component_id, v.vec_id = t.vec_id AS kept
+FROM vectors AS v JOIN least USING (r) JOIN vectors AS t ON t.r = least.c
+"""
+
+TOP_SCORES = """
+WITH vectors AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors AS q JOIN vectors AS c ON q.r <> c.r WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 10
+"""
+
+
 ORACLES = {
+    "op4_token_group_jaccard": JACCARD,
+    "op9_int8_near_vectors": NEAR_VECTORS,
+    "op10_uniform_threshold_top_k": TOP_SCORES,
     "op11_arrow_divergence": DIVERGENCE,
     "op12_blob_ledger_secrets": SECRETS,
     "op13_laesa_vector_codes": _vector_codes(),

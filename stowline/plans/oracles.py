@@ -141,6 +141,7 @@ ORACLES = {
     "assign_segments": f"""{_WALK}
         SELECT topic, "partition", pos AS "offset", segment_start FROM walk""",
     "assign_segments_by_epoch": _DAILY,
+    "segments_per_flush": f'SELECT topic, "partition", epoch, count(*) AS segments FROM ({_DAILY}) GROUP BY ALL',
     "segment_summary": f"""{_WALK}
         SELECT 'archive/' || key AS object_key, topic, "partition", start_offset, end_offset,
                record_count, byte_length FROM keyed""",
@@ -206,6 +207,18 @@ ORACLES = {
         JOIN seen s ON s.lang = p.lang AND s.chunk = p.chunk WHERE p.position > s.position""",
     "tail_lines": f"WITH {_LINES} SELECT lang, chunk, position, line FROM placed",
     "tail_lines_restarted": f"WITH {_LINES} SELECT lang, chunk, position, line FROM placed",
+    "tail_lines_bounded": f"WITH {_LINES} SELECT lang, chunk, position, line, TRUE AS bounded FROM placed",
+    "scan_lines_reported": f"""WITH {_LINES}
+        SELECT lang, chunk, position, line, FALSE AS failed FROM placed
+        UNION ALL SELECT 'xx', 9, 0, NULL, TRUE""",
+    "scan_lines_unterminated": f"""
+        WITH flat AS (
+          SELECT doc_id, lang, doc_id // {DOCS_PER_FILE} AS chunk, translate(text, chr(10), ' ') AS line
+          FROM documents WHERE text IS NOT NULL)
+        SELECT lang, chunk, line,
+               CAST(sum(strlen(line) + 1) OVER (PARTITION BY lang, chunk ORDER BY doc_id) AS BIGINT) AS position
+        FROM flat
+        QUALIFY row_number() OVER (PARTITION BY lang, chunk ORDER BY doc_id DESC) > 1""",
     "line_position": f"WITH {_LINES} SELECT doc_id, line_no, position FROM own",
     "batch_number": f"WITH {_LINES} SELECT doc_id, line_no, (n - 1) // 10 AS batch FROM own",
     "to_source_records": f"""WITH {_LINES}

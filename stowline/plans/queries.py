@@ -17,11 +17,12 @@ from stowline.sources.segments import scan_segments
 from stowline.streaming.archive import append_latencies_stream, write_segments_stream
 from stowline.streaming.widening import widening_parquet
 from stowline.streaming.discovery import discover_new_files
-from stowline.streaming.line_source import tail_lines
+from stowline.streaming.line_source import drain, tail_lines
 
 CAP = 4096
 NOW = "2024-03-01 00:00:00"
 DOCS_PER_FILE = 500
+TAIL_BYTES = 1 << 20
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -177,6 +178,13 @@ def segment_summary(spark, folder):
     return segments.summarize_segments(_records(spark, folder), CAP, "archive")
 
 
+def segments_per_flush(spark, folder):
+    """Segments of every day's flush: a topic-partition without records that day has none."""
+    daily = _records(spark, folder).withColumn("epoch", F.to_date("timestamp").cast("string"))
+    found = segments.summarize_segments(daily, CAP, "daily", "epoch")
+    return found.groupBy("topic", "partition", "epoch").agg(F.count("*").alias("segments"))
+
+
 def assemble_segments(spark, folder):
     assigned = segments.assign_segments(_records(spark, folder), CAP)
     return segments.assemble_segments(assigned, "archive").select(
@@ -364,7 +372,7 @@ def _text_files(spark, folder) -> str:
     return out
 
 
-def _add_text_files(documents: DataFrame, out: str) -> None:
+def _add_text_files(documents: DataFrame, out: str, line_end: str = "\n") -> None:
     (
         documents.withColumn("chunk", F.expr(f"doc_id div {DOCS_PER_FILE}"))
         .repartition("lang", "chunk")
@@ -372,16 +380,17 @@ def _add_text_files(documents: DataFrame, out: str) -> None:
         .select("text", "lang", "chunk")
         .write.mode("append")
         .partitionBy("lang", "chunk")
-        .text(out)
+        .text(out, lineSep=line_end)
     )
 
 
-def _placed(df: DataFrame) -> DataFrame:
+def _placed(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
         F.regexp_extract("filename", "lang=([^/]*)", 1).alias("lang"),
         F.regexp_extract("filename", "chunk=([0-9]+)", 1).cast("long").alias("chunk"),
         "position",
         "line",
+        *more,
     )
 
 
@@ -414,6 +423,41 @@ def tail_text_restarted(spark, folder):
     return _placed(spark.read.schema(stream.schema).parquet(out))
 
 
+def tail_text_bounded(spark, folder):
+    """Batches of a limited size, each by a query started anew; ``bounded`` looks at each batch."""
+    text_folder, out, checkpoint, state = (new_folder(spark, n) for n in ("text", "table", "checkpoint", "state"))
+    _add_text_files(_table(spark, folder, "documents"), text_folder)
+    stream = tail_lines(
+        spark, directory=text_folder, recursive=True, max_bytes_per_trigger=TAIL_BYTES, state=state
+    )
+
+    def put(rows, epoch):
+        rows.withColumn("batch", F.lit(epoch)).write.mode("overwrite").parquet(f"{out}/{epoch}")
+
+    writer = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    drain(lambda: writer.trigger(availableNow=True).start())
+    rows = spark.read.option("recursiveFileLookup", True).parquet(out)
+    sizes = rows.groupBy("batch").agg((F.sum(F.octet_length("line") + 1) <= TAIL_BYTES).alias("bounded"))
+    marked = rows.join(sizes, "batch")
+    return _placed(marked, "bounded")
+
+
+def scan_text_reported(spark, folder):
+    """Named files, one of which is not there: a row tells so, and the others are read."""
+    out = _text_files(spark, folder)
+    names = [r.path for r in list_files(spark, out, recursive=True).collect()]
+    found = scan_lines(spark, files=[*names, f"{out}/lang=xx/chunk=9/gone.txt"], on_error="report")
+    return _placed(found.withColumn("failed", F.col("error").isNotNull()), "failed")
+
+
+def scan_text_unterminated(spark, folder):
+    """Documents as lines that end in a carriage return; the last of a file waits for what may follow."""
+    out = new_folder(spark, "text")
+    flat = _table(spark, folder, "documents").where("text is not null").withColumn("text", F.translate("text", "\n", " "))
+    _add_text_files(flat, out, "\r")
+    return _placed(scan_lines(spark, directory=out, recursive=True))
+
+
 def _split_text(spark, folder):
     docs = _table(spark, folder, "documents")
     return docs.select(
@@ -613,6 +657,7 @@ QUERIES = {
     "assign_segments": assign_segments,
     "assign_segments_by_epoch": assign_segments_by_epoch,
     "segment_summary": segment_summary,
+    "segments_per_flush": segments_per_flush,
     "assemble_segments": assemble_segments,
     "decode_segments": decode_segments,
     "write_segments": write_segments,
@@ -636,6 +681,9 @@ QUERIES = {
     "scan_lines_from_offsets": scan_text_from_offsets,
     "tail_lines": tail_text_lines,
     "tail_lines_restarted": tail_text_restarted,
+    "tail_lines_bounded": tail_text_bounded,
+    "scan_lines_reported": scan_text_reported,
+    "scan_lines_unterminated": scan_text_unterminated,
     "line_position": line_position,
     "batch_number": batch_number,
     "to_source_records": to_source_records,

@@ -12,8 +12,6 @@ from stowline.sources.storage import locate, qualify
 
 SCHEMA = "path string, length long, modificationTime timestamp"
 _FOUND = f"{SCHEMA}, folder boolean"
-# levels of folders that are dealt out anew; deeper ones are listed by the task of their parent
-LEVELS = 2
 
 
 def list_files(
@@ -21,6 +19,7 @@ def list_files(
     path: str | list[str],
     recursive: bool = False,
     ignore_missing: bool = False,
+    levels: int = 1,
 ) -> DataFrame:
     """Regular files under a path: ``path``, ``length``, ``modificationTime``; no content is read.
 
@@ -31,20 +30,24 @@ def list_files(
     before they are looked at, are left out.
 
     Folders are listed by tasks and never gathered on the driver: those of each of the first
-    levels are dealt out to all tasks, which then list what lies below. A folder's own
-    files are listed by one task. Only patterns are resolved by Spark's own file index.
+    ``levels`` below the path are dealt out to all tasks, which then list what lies below. A
+    folder's own files are listed by one task. Only patterns are resolved by Spark's own file
+    index.
     """
     paths = path if isinstance(path, list) else [path]
     if any(re.search(r"[*?\[{]", p) for p in paths):
         return _matching(spark, path, recursive, ignore_missing)
     roots = [plain_uri(qualify(spark, p)) for p in paths]
     if not ignore_missing and len(roots) == 1:
-        _look(roots[0], False)  # a wrong name is told at once
+        info = _look(roots[0], False)  # a wrong name is told at once
+        if info.type == fs.FileType.File:
+            (row,) = _table([(roots[0], info)]).select(["path", "length", "modificationTime"]).to_pylist()
+            return spark.createDataFrame([tuple(row.values())], SCHEMA)
     found = spark.createDataFrame([(r,) for r in roots], "path string")
     found = found.mapInArrow(_lister("here", ignore_missing), _FOUND)
     spread = spark.sparkContext.defaultParallelism
-    for level in range(LEVELS if recursive else 0):
-        last = level == LEVELS - 1
+    for level in range(levels if recursive else 0):
+        last = level == levels - 1
         found = found.repartition(spread, "path").mapInArrow(_lister("below" if last else "next", ignore_missing), _FOUND)
     return found.where("not folder").drop("folder")
 
@@ -74,6 +77,19 @@ def _children(uri: str, recursive: bool, ignore_missing: bool):
             yield start + info.path, info
 
 
+def _table(found) -> pa.RecordBatch:
+    made = []
+    for item in found:
+        if not isinstance(item, dict):
+            path, info = item
+            folder = info.type == fs.FileType.Directory
+            # whole milliseconds, as in Spark's own inventory
+            micros = (info.mtime_ns or 0) // 1_000_000 * 1000
+            item = {"path": path, "length": info.size or 0, "modificationTime": micros, "folder": folder}
+        made.append(item)
+    return pa.RecordBatch.from_pylist(made, _ARROW)
+
+
 def _lister(what: str, ignore_missing: bool):
     """Arrow function that replaces folders by what they hold.
 
@@ -96,28 +112,16 @@ def _lister(what: str, ignore_missing: bool):
                 continue
             yield from _children(row["path"], what == "below", ignore_missing)
 
-    def table(found):
-        made = []
-        for item in found:
-            if not isinstance(item, dict):
-                path, info = item
-                folder = info.type == fs.FileType.Directory
-                # whole milliseconds, as in Spark's own inventory
-                micros = (info.mtime_ns or 0) // 1_000_000 * 1000
-                item = {"path": path, "length": info.size or 0, "modificationTime": micros, "folder": folder}
-            made.append(item)
-        return pa.RecordBatch.from_pylist(made, _ARROW)
-
     def listed(batches):
         held = []
         for batch in batches:
             for item in rows(batch):
                 held.append(item)
                 if len(held) >= 10_000:
-                    yield table(held)
+                    yield _table(held)
                     held = []
         if held:
-            yield table(held)
+            yield _table(held)
 
     return listed
 

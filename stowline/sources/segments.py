@@ -272,7 +272,7 @@ def scan_segments(
     _check(on_error)
     root = join_path(path, prefix.strip("/")) if prefix.strip("/") else path
     folders = [join_path(root, t) for t in topics] if topics else root
-    found = list_files(spark, folders, recursive=True)
+    found = list_files(spark, folders, recursive=True, levels=1 if topics else 2)
     wanted = (
         found.select("path", parse_object_key("path").alias("k"))
         .select(F.col("path").alias("object_key"), "k.*")

@@ -101,7 +101,7 @@ def _frequent(docs, text, width):
                      pa.array(np.append(np.zeros(many.sum(), np.int64), last - first))],
                     ["token", "n", "docs"],
                 )
-        give_back()
+        give_back(all_kept=True)
 
     seen = saved(
         docs.select(text).mapInArrow(report, "token long, n long, docs long").groupBy("token").agg(
@@ -111,6 +111,7 @@ def _frequent(docs, text, width):
     )
     total = seen.agg(F.sum("docs")).first()[0] or 0
     found = seen.where(F.col("n") >= max(LEAST_REPORTED, FREQUENT_SHARE * total)).select("token").toArrow()
+    forget(seen)
     return np.sort(found["token"].to_numpy().view(np.uint64))
 
 
@@ -164,7 +165,7 @@ def _blocks(docs, id, text, width, percent, frequent):
             filled += len(tokens)
         if held:
             yield block_of(block, held)
-        give_back()
+        give_back(all_kept=True)
 
     lists = ", ".join(f"{c} array<bigint>" for c in ("ids", "n", "k1", "k2", "size"))
     return docs.select(F.col(id).cast("long").alias("id"), text).mapInArrow(read, f"block long, {lists}, tokens binary")
@@ -208,7 +209,7 @@ def _keys_by_bucket(buckets):
                 edges = np.searchsorted(key, -(-(np.arange(buckets + 1) << KEY_BITS) // buckets))
                 rows = [(int(k), block.as_py(), *_packed(key[edges[k] : edges[k + 1]], owner[edges[k] : edges[k + 1]])) for k in np.flatnonzero(np.diff(edges))]
                 yield pa.RecordBatch.from_pylist([dict(zip(_BUCKETED.names, r)) for r in rows], _BUCKETED)
-        give_back()
+        give_back(all_kept=True)
 
     return deal
 
@@ -230,7 +231,7 @@ def _shared_keys(key, table):
     edges = np.append(np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])) if len(blocks) else [], len(blocks)).astype(np.int64)
     rows = [(int(blocks[a]), *_packed(keys[a:b], owners[a:b])) for a, b in zip(edges[:-1], edges[1:])]
     found = pa.Table.from_pylist([dict(zip(_BUCKETED.names[1:], r)) for r in rows], pa.schema(list(_BUCKETED)[1:]))
-    give_back()
+    give_back(all_kept=True)
     return found
 
 
@@ -258,7 +259,9 @@ def _grouped_rows(percent):
         np.minimum.at(least, place, token)
         place, token = place[held[place] >= enough[place]], token[held[place] >= enough[place]]
         rep = known.column("rep").to_numpy()
-        return pa.table([pa.array(x) for x in (token, rep[place], n[place], least[place])], names=["token", "id", "n", "gid"])
+        made = pa.table([pa.array(x) for x in (token, rep[place], n[place], least[place])], names=["token", "id", "n", "gid"])
+        give_back(all_kept=True)
+        return made
 
     return settle
 
@@ -273,7 +276,7 @@ def _whole(width):
                 cells = [tokens[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 kept = [c.slice(first, last - first) for c in before]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(cells, pa.binary())], [*batch.schema.names[:-1], "tokens"])
-        give_back()
+        give_back(all_kept=True)
 
     return read
 
@@ -402,6 +405,8 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     asked = pairs.select(F.when(small, F.col("one")).otherwise(F.col("two")).alias("gid"), F.when(small, F.col("two")).otherwise(F.col("one")).alias("opens"))
     visits = members.join(asked, "gid").select(F.col("opens").alias("gid"), "id", "n")
     opened = saved(visits.union(members), "visits")
+    forget(matrix)
+    forget(rows)
     weights = opened.groupBy("gid").agg(F.count("*").alias("members"), F.sum("n").alias("weight")).where("members > 1")
     blocks = (F.floor(F.col("weight") / BLOCK_TOKENS) + 1).cast("int")
     part = F.pmod(F.xxhash64(F.lit("block"), "id"), F.col("blocks")).cast("int")
@@ -413,6 +418,8 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
         ),
         "placed",
     )
+    forget(opened)
+    forget(members)
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     if placed.count() <= SMALL_ROWS:
         texts = texts.join(F.broadcast(placed), "id").select("gid", "a", "b", "id", "text")
@@ -437,6 +444,8 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
     several = saved(ids.where("least <> most").select("id", "least"), "several")
     same_id = named.join(several, "id").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     comps = components(links.union(same_id)).withColumnRenamed("node", "rep")
+    for done in (placed, several, classes):
+        forget(done)
     found = named.join(comps, "rep", "left").select("id", "n", F.coalesce("component", "rep", "id").alias("component_id"))
     empty = empty.select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("component_id"))
     return found.union(empty).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id")

@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stowline.llm.components import components, joined
-from stowline.llm.storage import saved
+from stowline.llm.storage import forget, saved
 from stowline.llm.tiles import longs, matrix, packed, usable, with_tiles
 
 TILE_ROWS = 4096
@@ -128,6 +128,8 @@ def near_vectors(vectors, id="vec_id", vector="embedding", threshold=0.9):
     node = F.struct("rep", "k1", "k2")
     near = F.struct(F.col("rep2").alias("rep"), F.col("k12").alias("k1"), F.col("k22").alias("k2"))
     comps = components(found.select(node.alias("a"), near.alias("b")))
+    forget(stored)
+    forget(classes)
     comps = comps.select("node.*", F.col("component.rep").alias("component"))
     linked = members.join(sums, ["rep", "k1", "k2"], "left").join(comps, ["rep", "k1", "k2"], "left").select(
         "id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),

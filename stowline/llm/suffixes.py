@@ -21,9 +21,9 @@ BUCKET_BYTES = 2 << 20
 TASK_BUCKETS = 8
 #: Text that is suffix-sorted at once.
 SORT_BYTES = 2 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: An anchor with more text is routed window by window. Groups report its text in powers of 2 times AMOUNT.
-HOT_BYTES = 8 << 20
+HOT_BYTES = SORT_BYTES
 AMOUNT = 128
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -131,7 +131,7 @@ def _list_anchors(id, text, width, buckets):
     def listed(key, table):
         keys, several, amount = _Group(table, id, text).keys(width)
         power = np.ceil(np.log2(np.maximum(amount / AMOUNT, 1))).astype(np.uint8)
-        give_back()
+        give_back(all_kept=True)
         edges, rows = _by_bucket(keys, buckets), []
         for bucket in np.flatnonzero(np.diff(edges)):
             own = slice(edges[bucket], edges[bucket + 1])
@@ -297,7 +297,7 @@ def _route(id, text, width, key_buckets, buckets):
                     held.append((row[some], pos[some], run, anchor[some], content, piece[_ranges(at, run + width - 1)]))
         rows = gather(key[0].as_py(), group.docs, held, spans) if held else []
         del group, held
-        give_back()
+        give_back(all_kept=True)
         return _table(rows, [("bucket", pa.int64()), ("grp", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
 
     return route
@@ -511,7 +511,7 @@ def _resolve(width):
                     held.setdefault(bucket, []).append((grp, size, blob))
         for bucket in list(held):
             yield from one_bucket(held.pop(bucket))
-        give_back()
+        give_back(all_kept=True)
 
     return resolve
 
@@ -549,7 +549,7 @@ def remove_repeats(docs, id="doc_id", text="text", width=WIDTH, keep=None, whole
     text, go to their anchor's bucket, where the windows are suffix-sorted and windows with
     equal neighbours found (``two_stage_order``, ``equal_to_next``). Equal strings in one
     group are settled before. (3) Groups cut their texts. Buckets are worked off one by one.
-    Groups also report each anchor's text; one with more than 8 MB in all goes to all buckets,
+    Groups also report each anchor's text; one with more than 2 MB in all goes to all buckets,
     window by window. So a bucket's text does not grow with a frequent anchor, only with the
     groups (of some 6 MB) that hold one and the same window.
     """

@@ -23,8 +23,13 @@ def kept(key, make):
     return holder.__dict__[key]
 
 
-def give_back():
-    """Return freed memory to the system: Python workers live on, idle or in other stages."""
+def give_back(all_kept=False):
+    """Return freed memory to the system: Python workers live on, idle or in other stages.
+
+    With ``all_kept`` also what ``kept`` holds, for stages that need the room and none of it.
+    """
+    if all_kept:
+        sys.modules.pop("stowline_kept", None)
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

@@ -92,5 +92,8 @@ def dedupe_records(records: DataFrame) -> DataFrame:
     others = [c for c in records.columns if c not in key]
     if not others:
         return records.distinct()
-    least = records.groupBy(*key).agg(F.min(F.struct(*others)).alias("_least"))
+    row = F.struct(*others)
+    # maps have no order of their own
+    order = F.to_json(row) if "map<" in records.select(*others).schema.simpleString() else row
+    least = records.groupBy(*key).agg(F.min_by(row, order).alias("_least"))
     return least.select(*[c if c in key else F.col("_least")[c].alias(c) for c in records.columns])

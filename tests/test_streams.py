@@ -137,5 +137,9 @@ def test_the_same_copy_stays(spark, make_records):
 
     rows = [("t", 0, 1, 5, b"k", b"b", []), ("t", 0, 1, 5, b"k", b"a", []), ("t", 0, 1, 5, None, b"z", []), (None, None, 1, 5, b"k", b"c", None)]
     for n in (1, 3):
-        found = dedupe_records(make_records(rows).repartition(n)).collect()
-        assert sorted((str(r.topic), bytes(r.value)) for r in found) == [("None", b"c"), ("t", b"z")]
+        table = make_records(rows).repartition(n)
+        for df in (table, table.withColumn("more", F.create_map(F.lit("a"), F.lit(1)))):
+            found = dedupe_records(df).collect()
+            assert sorted((str(r.topic), bytes(r.value)) for r in found)[0] == ("None", b"c") and len(found) == 2
+        found = dedupe_records(table).where("topic = 't'").collect()
+        assert [bytes(r.value) for r in found] == [b"z"]

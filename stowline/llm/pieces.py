@@ -76,6 +76,10 @@ class Transducer:
         self.pair = {}
         if self.merging:
             self._learn_halves()
+        self.clear()
+
+    def clear(self):
+        """Forget the units and pairs of pieces seen so far."""
         self.fresh, self.older, self.next_to = {}, {}, {}
 
     def _learn_halves(self):
@@ -291,6 +295,9 @@ def encode_pieces(docs, model, text="text", column="pieces", keep=None, decoded=
                 yield pa.RecordBatch.from_arrays(columns, names)
             batch = part = columns = ids = values = lists = None
             give_back()
+        # Units and pairs of one task hardly help the next, but would stay in the worker.
+        made.clear()
+        give_back()
 
     return docs.mapInArrow(encode, schema)
 

@@ -16,7 +16,7 @@ GROUP_BYTES = 6 << 20
 #: Bits of an anchor that are compared to find anchors of one document; more only pass in error.
 KEY_BITS = 40
 #: Anchors and text that a bucket holds in the middle, and how many buckets a task takes.
-BUCKET_ANCHORS = 1 << 20
+BUCKET_ANCHORS = 1 << 18
 BUCKET_BYTES = 2 << 20
 TASK_BUCKETS = 8
 #: Text that is suffix-sorted at once.

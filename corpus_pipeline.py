@@ -12,7 +12,7 @@ from stowline.llm.language import detect_languages, fit_languages
 from stowline.llm.mixing import mix_sources, word_count
 from stowline.llm.pieces import encode_pieces
 from stowline.llm.queries import held_out, vocabulary
-from stowline.llm.storage import saved
+from stowline.llm.storage import forget, saved
 from stowline.llm.suffixes import ADDED, remove_repeats
 from stowline.llm.texts import unused
 
@@ -101,6 +101,8 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     """All stages over ``documents``, each written and read again before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for number, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if number:
+            forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)

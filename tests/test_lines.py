@@ -390,6 +390,18 @@ def test_every_batch_is_bounded_also_after_restarts(spark, tmp_path):
     assert got == ["y" * 3000, "end"] and len(sizes[-3:]) == 3
 
 
+def test_one_query_runs_dry_in_bounded_batches(spark, tmp_path):
+    from stowline.streaming.line_source import run_dry
+
+    append(tmp_path / "in" / "a", b"".join(b"%04d\n" % n for n in range(100)))
+    lines = tail_lines(spark, directory=str(tmp_path / "in"), max_bytes_per_trigger=50, state=str(tmp_path / "state"))
+    got = []
+    writer = lines.writeStream.foreachBatch(lambda batch, _epoch: got.append([r.line for r in batch.collect()]))
+    writer = writer.option("checkpointLocation", str(tmp_path / "checkpoint"))
+    run_dry(lambda: writer.trigger(processingTime="0 seconds").start())
+    assert got == [[f"{10 * b + n:04d}" for n in range(10)] for b in range(10)] and not spark.streams.active
+
+
 def test_scan_reports_missing_files(spark, tmp_path):
     append(tmp_path / "good", b"a\nb\n")
     files = [str(tmp_path / n) for n in ("good", "never")]

@@ -20,6 +20,8 @@ from stowline.llm.texts import unused
 MOST_BITS = 8.0
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 REPEAT_BYTES = 50
+#: So many ids, of 8 bytes each, are broadcast.
+GONE_ROWS = 1 << 20
 PIECES = "piece_bpe_32k.model"
 
 
@@ -32,15 +34,23 @@ def known_language(spark, docs, sf_dir):
 
 
 def one_of_near_copies(spark, docs, sf_dir):
-    """Of documents that links of 5-word shingles (Jaccard 0.8 or more) connect, that of the smallest id."""
+    """Of documents that links of 5-word shingles (Jaccard 0.8 or more) connect, that of the smallest id.
+
+    Ids that go are fewer than those that stay: up to GONE_ROWS of them are broadcast, so that
+    texts are not shuffled.
+    """
     found = jaccard_components(docs, width=NEAR_WORDS, percent=NEAR_PERCENT)
     ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
-    kept = saved(ids.where("doc_id = component_id").select("doc_id", "rows"), "kept")
-    once = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    if kept.where("rows > 1").head(1):
-        again = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
+    apart = saved(ids.where("doc_id <> component_id or rows > 1"), "apart").select("doc_id", "rows", F.expr("doc_id = component_id").alias("stays"))
+    gone = apart.select("doc_id")
+    if gone.count() <= GONE_ROWS:
+        gone = F.broadcast(gone)
+    # a null id is in no table of ids
+    once = docs.join(gone, "doc_id", "left_anti")
+    if apart.where("stays").head(1):
+        again = docs.join(apart.where("stays").select("doc_id"), "doc_id", "left_semi")
         once = once.union(again.dropDuplicates(["doc_id"]))
-    return once.union(docs.where("doc_id is null"))
+    return once
 
 
 def without_repeats(spark, docs, sf_dir):

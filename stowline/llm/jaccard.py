@@ -88,6 +88,10 @@ def shared_tokens(n, percent):
     return np.maximum(least, n // SHARED_PART)
 
 
+#: Blocks of fewer bytes leave little behind, and are many.
+GIVEN_BACK = 1 << 20
+
+
 def _frequent(docs, text, width):
     """Tokens that many documents hold, counted over all: no more than set size / share."""
 
@@ -436,6 +440,9 @@ def jaccard_components(docs, id="doc_id", text="text", width=4, percent=85):
         ids, sizes = ids[order], sizes[order]
         parent = local_links(sizes, np.concatenate([cells[i] for i in order]), percent)
         moved = np.flatnonzero(parent != np.arange(len(parent)))
+        if table.nbytes > GIVEN_BACK:
+            del cells
+            give_back(all_kept=True)
         return pa.table([pa.array(ids[moved]), pa.array(ids[parent[moved]])], names=["a", "b"])
 
     links = met.groupBy("gid", "a", "b").applyInArrow(compare, "a long, b long")

@@ -148,3 +148,21 @@ def test_mix_without_ids(spark):
     assert set(counts) <= set(rows) and all(n <= 3 * rows.count(r) for r, n in counts.items())
     again = pipeline.mixed_sources(spark, docs.repartition(2), FOLDER)
     assert sorted(map(str, again.collect())) == sorted(map(str, mixed.collect()))
+
+
+def test_texts_stay_where_they_are_while_few_copies_go(spark):
+    """The ids that go are broadcast, however many stay; without an id all rows stay."""
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text), (2, text + " more"), (3, "nothing like it at all here"), (4, "a b c"), (4, "a b c"), (None, text), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = pipeline.one_of_near_copies(spark, docs.where("doc_id is null or doc_id < 4"), FOLDER)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        assert {(r.doc_id, r.text) for r in kept.collect()} == {(3, rows[2][1]), (1, text), (None, text)}
+        kept = sorted(pipeline.one_of_near_copies(spark, docs.where("doc_id is not null"), FOLDER).collect())
+        assert [tuple(r) for r in kept] == [(1, text), (3, rows[2][1]), (4, "a b c")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -402,6 +402,47 @@ def test_one_query_runs_dry_in_bounded_batches(spark, tmp_path):
     assert got == [[f"{10 * b + n:04d}" for n in range(10)] for b in range(10)] and not spark.streams.active
 
 
+def test_limited_triggers_work_a_listing_off(tmp_path, monkeypatch):
+    from stowline.streaming.line_source import GrowingLinesReader
+
+    for n in range(9):
+        append(tmp_path / "in" / f"{n}", b"%d\n" % n)
+    listed, listing = [], GrowingLinesReader._listing
+    monkeypatch.setattr(GrowingLinesReader, "_listing", lambda self: listed.append(1) or listing(self))
+    reader = GrowingLinesReader({"directory": str(tmp_path / "in"), "maxbytes": "2"})
+    start, got = reader.initialOffset(), []
+    for turn in range(10):
+        start, lines = _tailed(reader, start)
+        got += lines
+        if turn == 3:
+            os.remove(tmp_path / "in" / "4")  # gone before its turn
+            append(tmp_path / "in" / "0", b"10\n")
+            append(tmp_path / "in" / "9", b"9\n")
+    assert [line for _, line in got] == [*"01235678", "9", "10"] and len(listed) == 2
+
+
+def test_shares_of_a_folder_take_every_file_once(spark, tmp_path):
+    from stowline.streaming.line_source import GrowingLinesReader
+
+    def tail(n):
+        for name in (f"f{n}", f"sub{n}/f", f"sub{n}/_no/f"):
+            append(tmp_path / "in" / name, f"{name}\n".encode())
+
+    for n in range(20):
+        tail(n)
+    options = [{"directory": str(tmp_path / "in"), "recursive": "true", "share": f"[{i}, 3]"} for i in range(3)]
+    readers = [GrowingLinesReader(o) for o in options]
+    ends, lines = zip(*(_tailed(r, r.initialOffset()) for r in readers))
+    assert sorted(x for part in lines for _, x in part) == sorted(f for n in range(20) for f in (f"f{n}", f"sub{n}/f"))
+    assert sum(map(len, ends)) == 40 and max(map(len, ends)) < 25
+    tail(20)
+    later = [x for r, e in zip(readers, ends) for _, x in _tailed(r, e)[1]]
+    assert sorted(later) == ["f20", "sub20/f"]
+    for wrong in ({"files": ["a"], "share": (0, 1)}, {"directory": "a", "share": (2, 2)}):
+        with pytest.raises(ValueError, match="share"):
+            tail_lines(spark, **wrong)
+
+
 def test_scan_reports_missing_files(spark, tmp_path):
     append(tmp_path / "good", b"a\nb\n")
     files = [str(tmp_path / n) for n in ("good", "never")]
